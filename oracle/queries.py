@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from oracle import staging, warehouse  # noqa: F401  (they define the shared expressions)
-from oracle.sql import present, rate, statement
-from tradewind.plans.registry import QUERIES
+from oracle.sql import half_up, present, rate, statement, units
+from tradewind.queries import QUERIES
 from tradewind.sources import schemas
 
 BODIES: dict[str, str] = {}
@@ -176,5 +176,104 @@ SELECT order_date, sum(revenue) AS revenue, sum(units) AS units, sum(orders) AS
 FROM ({_product_day}) AS days WHERE order_date >= DATE '2001-08-01' - 14 GROUP BY order_date"""
 
 
+# --- scans, documents, loads ------------------------------------------------------------
+_scan = {
+    "sc01_scan_orders": "stg_orders",
+    "sc01_scan_line_items": "stg_order_line_items",
+    "in04_incremental_orders": "stg_orders",
+    "in03_incremental_children": "stg_order_transactions",
+    "sc16_snapshot_appends": "stg_inventory_levels",
+}
+for _name in QUERIES:
+    if _name.startswith("fl"):
+        _scan[_name] = f"stg_{_name[5:]}"
+for _name, _table in _scan.items():
+    BODIES[_name] = f"SELECT * FROM {_table}"
+BODIES["fl11_customers"] = "SELECT *, home_zip AS home_postal_code FROM stg_customers"
+_absent = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("email", "phone"))
+BODIES["fl16_abandoned_checkouts"] = f"SELECT *, {_absent} FROM stg_abandoned_checkouts"
+BODIES["fl18_gift_cards"] = "SELECT *, CAST(NULL AS TIMESTAMP) AS disabled_at, CAST(NULL AS VARCHAR) AS note FROM stg_gift_cards"
+BODIES["fl17_discount_codes"] = "SELECT *, TIMESTAMP '1995-01-01' AS created_at FROM stg_discount_codes"
+BODIES["sc18_oversized_documents"] = """
+SELECT count(*) AS oversized_parents FROM (SELECT order_id FROM stg_order_discount_applications GROUP BY 1 HAVING count(*) > 1) AS big"""
+BODIES["sc09_keyed_upsert"] = """
+SELECT * REPLACE (CASE WHEN CAST(regexp_extract(id, '[0-9]+$') AS BIGINT) % 3 = 0 THEN price + 1 ELSE price END AS price,
+                  CASE WHEN CAST(regexp_extract(id, '[0-9]+$') AS BIGINT) % 3 = 0 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at)
+FROM stg_product_variants"""
+BODIES["tf13_load_state"] = """
+SELECT 'stg_orders' AS entity, TIMESTAMP '2001-12-31' AS last_sync_at, 'success' AS last_run_status, count(*) AS records_processed FROM stg_orders
+UNION ALL SELECT 'stg_order_tax_lines', TIMESTAMP '2001-12-31', 'success', count(*) FROM stg_order_tax_lines"""
+BODIES["in02_high_water_window"] = """
+SELECT count(*) AS orders, min(updated_at) AS first_change, max(updated_at) AS mark FROM stg_orders
+WHERE updated_at >= TIMESTAMP '1999-01-01'"""
+BODIES["cf11_lookback_window"] = """
+SELECT count(*) AS orders, min(updated_at) AS first_change FROM stg_orders WHERE updated_at >= TIMESTAMP '1998-12-29'"""
+BODIES["in05_duplicate_keys"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1"""
+BODIES["sc10_row_counts"] = BODIES["vf9_staging_counts"]
+BODIES["ag19_completeness"] = "SELECT count(*) AS row_count, " + ", ".join(
+    f"count({c}) AS {c}_filled"
+    for c in ("email", "customer_id", "tags", "cancelled_at", "closed_at", "total_refunded", "source_name")
+) + " FROM stg_orders"
+BODIES["ag20_load_summary"] = """
+SELECT count(*) AS lines, count(DISTINCT order_id) AS orders, count(DISTINCT product_id) AS products, sum(quantity) AS units,
+       sum(discounted_total) AS net FROM stg_order_line_items"""
+BODIES["ol2_latest_products"] = "SELECT * FROM stg_products ORDER BY created_at DESC, id LIMIT 5"
+BODIES["ol3_locations_by_name"] = "SELECT * FROM stg_locations"
+BODIES["wn1_line_numbers"] = "SELECT id, row_number() OVER (ORDER BY id) AS line_item_key FROM stg_order_line_items"
+BODIES["wn2_latest_order_per_customer"] = """
+SELECT customer_id, created_at, id FROM stg_orders WHERE customer_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC, id) = 1"""
+BODIES["wn3_order_value_tiles"] = "SELECT id, total_price, ntile(5) OVER (ORDER BY total_price, id) AS tile FROM stg_orders"
+BODIES["ag2_payment_pivot"] = """
+SELECT order_id, p[1].g AS gateway_1, p[1].a AS amount_1, p[2].g AS gateway_2, p[2].a AS amount_2
+FROM (SELECT order_id, list({'g': gateway, 'a': amount} ORDER BY created_at, id) AS p FROM stg_order_transactions
+      WHERE status = 'SUCCESS' GROUP BY 1) AS paid_lists"""
+
+# --- scalar functions ---------------------------------------------------------------------
+BODIES["sf_text_functions"] = """
+SELECT o_num AS digits, split_part(id, '/', 5) AS tail, ship_city AS city,
+       lower(concat_ws('|', coalesce(ship_city, ''), coalesce(ship_province, ''), coalesce(ship_country, ''), coalesce(ship_postal_code, ''))) AS address_key,
+       sha256(concat_ws('|', trim(lower(coalesce(ship_city, ''))), trim(lower(coalesce(ship_province, ''))),
+                        trim(upper(coalesce(ship_province_code, ''))), trim(lower(coalesce(ship_country, ''))),
+                        trim(upper(coalesce(ship_country_code, ''))), trim(upper(coalesce(ship_postal_code, ''))))) AS address_digest,
+       upper(source_name) AS channel,
+       CASE WHEN tags LIKE '%VIP%' THEN 'vip' WHEN tags LIKE '%B2B%' THEN 'business' ELSE 'plain' END AS tag_class,
+       financial_status IN ('PAID', 'PARTIALLY_REFUNDED') AS paid, coalesce(tags LIKE '%GIFT%', false) AS gift, note,
+       replace(tags, ',', '; ') AS tag_list
+FROM stg_orders"""
+BODIES["sf_number_functions"] = f"""
+SELECT id, CASE WHEN compare_at_price > 0 THEN {half_up(units('compare_at_price - price') + ' * 100', units('compare_at_price'))} END AS discount_percent,
+       {rate('cost', 'price', '100')} AS cost_share,
+       {half_up("CAST(weight * 100 AS HUGEINT) * CASE upper(weight_unit) WHEN 'KILOGRAMS' THEN 10000000 WHEN 'POUNDS' THEN 4535920 WHEN 'OUNCES' THEN 283495 ELSE 10000 END", 'CAST(1000000 AS HUGEINT)')} AS grams,
+       coalesce(cost, 0) AS cost_or_zero, NULLIF(n % 4, 0) AS remainder, (n + 2) // 3 AS third,
+       {half_up(units('price'), 'CAST(700 AS HUGEINT)')} AS weekly
+FROM (SELECT *, CAST(regexp_extract(id, '[0-9]+$') AS BIGINT) AS n FROM stg_product_variants) AS v"""
+BODIES["sf_date_functions"] = """
+SELECT id, CAST(strftime(created_at, '%Y%m%d') AS BIGINT) AS day_key, hour(created_at) AS hour_key, quarter(created_at) AS quarter,
+       week(created_at) AS week, isodow(created_at) AS weekday, monthname(created_at) AS month_name, dayname(created_at) AS day_name,
+       last_day(created_at) = CAST(created_at AS DATE) AS month_end, CAST(created_at AS DATE) + 30 AS due,
+       CAST(updated_at AS DATE) - CAST(created_at AS DATE) AS days_to_change,
+       CAST(date_diff('microsecond', created_at, processed_at) AS DOUBLE) / CAST(3600000000 AS DOUBLE) AS hours_to_process,
+       created_at >= TIMESTAMP '1999-01-01' AS recent, hour(created_at) BETWEEN 9 AND 16 AS business_hours
+FROM stg_orders"""
+BODIES["tf_document_rules"] = """
+SELECT o.id, coalesce(total_refunded, 0) AS refunded, 0 AS presented, coalesce(t.tax, 0) AS tax_total, replace(tags, ',', '|') AS tag_text,
+       cancelled_at IS NOT NULL AS is_cancelled, fulfillment_status = 'FULFILLED' AS is_order_fulfilled,
+       fulfillment_status = 'PARTIALLY_FULFILLED' AS is_partially_fulfilled,
+       CAST(strftime(created_at, '%Y%m%d') AS BIGINT) AS date_key, hour(created_at) AS time_key
+FROM stg_orders o LEFT JOIN (SELECT order_id, sum(price) AS tax FROM stg_order_tax_lines GROUP BY 1) AS t ON t.order_id = o.id"""
+BODIES["tf07_field_defaults"] = """
+SELECT id, coalesce(total_refunded, 0) AS total_refunded, total_discounts, tags, cancel_reason FROM stg_orders"""
+BODIES["tf08_discount_kinds"] = """
+SELECT CASE WHEN discount_type = 'DiscountCodeApp' THEN 'app' ELSE 'basic' END AS kind, count(*) AS codes FROM stg_discount_codes GROUP BY 1"""
+BODIES["tf09_hash_keys"] = "SELECT count(*) AS rows, count(DISTINCT id) AS keys FROM stg_order_line_items"
+BODIES["tf12_by_currency"] = """
+SELECT currency_code, count(*) AS orders, sum(total_amount) AS revenue FROM fact_order GROUP BY 1"""
+BODIES["tf14_discount_types"] = """
+SELECT CASE WHEN value_percentage IS NOT NULL THEN 'percentage' ELSE 'fixed' END AS kind, discount_type, count(*) AS applications
+FROM stg_order_discount_applications GROUP BY ALL"""
+
+
 def statements() -> dict[str, str]:
     return {name: statement(present(body, QUERIES[name].shown)) for name, body in BODIES.items()}

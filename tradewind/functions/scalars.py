@@ -75,8 +75,12 @@ def zero(c: Column) -> Column:
 
 
 def percent_of(part: Column, whole: Column) -> Column:
-    """100 * part / whole, NULL unless whole is positive."""
-    return F.when(whole > 0, part / whole * 100)
+    """100 * part / whole as a decimal, NULL unless whole is positive.
+
+    Scaling before the division keeps at least sixteen decimals of the quotient, so the
+    later rounding to two places is exact.
+    """
+    return F.when(whole > 0, part.cast(MONEY) * 100 / whole.cast(MONEY))
 
 
 def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:

@@ -54,10 +54,13 @@ class Warehouse(Mapping):
         calendar: tuple[date, date] = (dim.CALENDAR_START, dim.CALENDAR_END),
         fiscal_start_month: int = 1,
         commission_rates: Callable[[], DataFrame] | None = None,
+        base: Mapping[str, DataFrame] | None = None,
     ):
         self.spark, self.stg, self.store = spark, staging, store
         self.as_of, self.calendar, self.fiscal_start_month = as_of, calendar, fiscal_start_month
         self.commission_rates = commission_rates
+        self.base = {} if base is None else base
+        self.document_paths: dict[str, str] = {}
         self.loaded_at = F.current_timestamp().cast("timestamp_ntz")
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -129,5 +132,6 @@ def open_generated(spark: SparkSession, folder: str) -> Warehouse:
             as_of=TEST_AS_OF,
             calendar=TEST_CALENDAR,
             commission_rates=lambda: adapter.commission_rates(base),
+            base=base,
         )
     return _open[key]

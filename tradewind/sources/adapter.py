@@ -75,6 +75,10 @@ def numbered(df: DataFrame, count: Column) -> DataFrame:
     return df.withColumn("i", F.explode(F.when(count > 0, F.sequence(F.lit(1), count.cast("int")))))
 
 
+def _voucher_code(k: Column) -> Column:
+    return F.concat(F.lit("VC"), pad(k, 14))
+
+
 def order_time(key: Column, day: Column) -> Column:
     return after(day, secs=(key * 7919) % 86400)
 
@@ -264,97 +268,108 @@ def orders(src: Sources) -> DataFrame:
     )
 
 
+def _children(src: Sources, table: str, count: Column, fields: Mapping[str, Column]) -> DataFrame:
+    """``count`` child rows per order, each a function of the order row and the number ``i``."""
+    named = [c.alias(name) for name, c in fields.items()]
+    rows = numbered(src["orders"], count).select(
+        gid("Order", F.col("o_orderkey")).alias("order_id"), *named, stamp(EXTRACTED_AT).alias("extracted_at")
+    )
+    return align(rows, table)
+
+
+def transaction_count(k: Column) -> Column:
+    return k % 5
+
+
+def transaction_fields(k: Column, i: Column) -> dict[str, Column]:
+    paid_at = order_time(k, F.col("o_orderdate")) + F.make_dt_interval(mins=F.least(i, F.lit(3)))
+    failed = (k + i) % 7 == 0
+    return {
+        "id": gid("Transaction", k * 10 + i),
+        "kind": F.when((k + i) % 11 == 0, "REFUND").otherwise("SALE"),
+        "status": F.when(failed, "FAILURE").otherwise("SUCCESS"),
+        "gateway": cycle(k + i, ["gift_card", "payfast", "payflex", "card_payments", "manual"]),
+        "amount": F.round(cents(F.col("o_totalprice")) * rate("0.25"), 2),
+        "currency_code": F.when(k % 20 == 0, "USD").otherwise("ZAR"),
+        "created_at": paid_at,
+        "processed_at": after(paid_at, secs=30),
+        "error_code": F.when(failed, "CARD_DECLINED"),
+    }
+
+
 def order_transactions(src: Sources) -> DataFrame:
     k, i = F.col("o_orderkey"), F.col("i")
-    created = order_time(k, F.col("o_orderdate"))
-    paid_at = created + F.make_dt_interval(mins=F.least(i, F.lit(3)))
-    failed = (k + i) % 7 == 0
-    return align(
-        numbered(src["orders"], k % 5).select(
-            gid("Transaction", k * 10 + i).alias("id"),
-            gid("Order", k).alias("order_id"),
-            F.when((k + i) % 11 == 0, "REFUND").otherwise("SALE").alias("kind"),
-            F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"),
-            cycle(k + i, ["gift_card", "payfast", "payflex", "card_payments", "manual"]).alias("gateway"),
-            F.round(cents(F.col("o_totalprice")) * rate("0.25"), 2).alias("amount"),
-            F.when(k % 20 == 0, "USD").otherwise("ZAR").alias("currency_code"),
-            paid_at.alias("created_at"),
-            after(paid_at, secs=30).alias("processed_at"),
-            F.when(failed, "CARD_DECLINED").alias("error_code"),
-            stamp(EXTRACTED_AT).alias("extracted_at"),
-        ),
-        "stg_order_transactions",
-    )
+    return _children(src, "stg_order_transactions", transaction_count(k), transaction_fields(k, i))
+
+
+def tax_line_count(k: Column) -> Column:
+    return F.when(k % 97 == 0, 3).otherwise(1 + k % 2)
+
+
+def tax_line_fields(k: Column, i: Column) -> dict[str, Column]:
+    tax_rate = F.when(i == 1, "0.15").when(i == 2, "0.02").otherwise("0.01")
+    return {
+        "line_number": i,
+        "title": F.when(i == 1, "VAT").when(i == 2, "Environmental Levy").otherwise("Duty"),
+        "rate": tax_rate,
+        "price": F.round(cents(F.col("o_totalprice")) * rate(tax_rate), 2),
+    }
 
 
 def order_tax_lines(src: Sources) -> DataFrame:
     k, i = F.col("o_orderkey"), F.col("i")
-    count = F.when(k % 97 == 0, 3).otherwise(1 + k % 2)
-    tax_rate = F.when(i == 1, "0.15").when(i == 2, "0.02").otherwise("0.01")
-    return align(
-        numbered(src["orders"], count).select(
-            gid("Order", k).alias("order_id"),
-            i.alias("line_number"),
-            F.when(i == 1, "VAT").when(i == 2, "Environmental Levy").otherwise("Duty").alias("title"),
-            tax_rate.alias("rate"),
-            F.round(cents(F.col("o_totalprice")) * rate(tax_rate), 2).alias("price"),
-            stamp(EXTRACTED_AT).alias("extracted_at"),
-        ),
-        "stg_order_tax_lines",
-    )
+    return _children(src, "stg_order_tax_lines", tax_line_count(k), tax_line_fields(k, i))
 
 
-def _voucher_code(k: Column) -> Column:
-    return F.concat(F.lit("VC"), pad(k, 14))
+def discount_count(k: Column) -> Column:
+    return F.when(k % 3 == 0, 0).when(k % 4 == 1, 2).otherwise(1)
 
 
-def order_discount_applications(src: Sources) -> DataFrame:
-    k, i = F.col("o_orderkey"), F.col("i")
-    count = F.when(k % 3 == 0, 0).when(k % 4 == 1, 2).otherwise(1)
-    manual = (k + i) % 3 == 1
+def discount_fields(k: Column, i: Column) -> dict[str, Column]:
     code = (
         F.when((k % 4 == 2) & (i == 1), _voucher_code(k))
         .when((k % 20 == 3) & (i == 1), _voucher_code(k - 1))
-        .when(~manual, F.concat(cycle(k, ["PROMO-", "STAFF-", "WELCOME-"]), pad(k % 12, 2)))
+        .when((k + i) % 3 != 1, F.concat(cycle(k, ["PROMO-", "STAFF-", "WELCOME-"]), pad(k % 12, 2)))
     )
     percentage = (k + i) % 2 == 0
-    return align(
-        numbered(src["orders"], count).select(
-            gid("Order", k).alias("order_id"),
-            i.alias("line_number"),
-            F.when(code.isNotNull(), "DiscountCodeApplication")
-            .otherwise("ManualDiscountApplication")
-            .alias("discount_type"),
-            code.alias("code"),
-            F.when(code.isNull(), "Goodwill").alias("title"),
-            F.when(code.isNull(), "Manual adjustment").alias("description"),
-            F.when(percentage, "PricingPercentageValue").otherwise("MoneyV2").alias("value_type"),
-            F.when(~percentage, (k % 500).cast("decimal(18,2)") + F.lit("0.99").cast("decimal(4,2)")).alias("value_amount"),
-            F.when(percentage, (k % 50).cast("decimal(5,2)") + F.lit("0.50").cast("decimal(4,2)")).alias("value_percentage"),
-            F.lit("LINE_ITEM").alias("target_type"),
-            F.lit("ACROSS").alias("allocation_method"),
-            stamp(EXTRACTED_AT).alias("extracted_at"),
-        ),
-        "stg_order_discount_applications",
-    )
+    return {
+        "line_number": i,
+        "discount_type": F.when(code.isNotNull(), "DiscountCodeApplication").otherwise("ManualDiscountApplication"),
+        "code": code,
+        "title": F.when(code.isNull(), "Goodwill"),
+        "description": F.when(code.isNull(), "Manual adjustment"),
+        "value_type": F.when(percentage, "PricingPercentageValue").otherwise("MoneyV2"),
+        "value_amount": F.when(~percentage, (k % 500).cast("decimal(18,2)") + F.lit("0.99").cast("decimal(4,2)")),
+        "value_percentage": F.when(percentage, (k % 50).cast("decimal(5,2)") + F.lit("0.50").cast("decimal(4,2)")),
+        "target_type": F.lit("LINE_ITEM"),
+        "allocation_method": F.lit("ACROSS"),
+    }
+
+
+def order_discount_applications(src: Sources) -> DataFrame:
+    k, i = F.col("o_orderkey"), F.col("i")
+    return _children(src, "stg_order_discount_applications", discount_count(k), discount_fields(k, i))
+
+
+def shipping_line_count(k: Column) -> Column:
+    return k % 3
+
+
+def shipping_line_fields(k: Column, i: Column) -> dict[str, Column]:
+    return {
+        "id": gid("ShippingLine", k * 10 + i),
+        "title": cycle(k + i, ["Standard Shipping", "Express Overnight", "Click and Collect"]),
+        "code": cycle(k + i, ["STD", "EXP", "CNC"]),
+        "source": F.lit("rates"),
+        "original_price": (50 + i * 10).cast("decimal(18,2)"),
+        "discounted_price": _shipping_fee(k, i),
+        "carrier_identifier": cycle(k + i, ["standard", "express", "pickup", None]),
+    }
 
 
 def order_shipping_lines(src: Sources) -> DataFrame:
     k, i = F.col("o_orderkey"), F.col("i")
-    return align(
-        numbered(src["orders"], k % 3).select(
-            gid("ShippingLine", k * 10 + i).alias("id"),
-            gid("Order", k).alias("order_id"),
-            cycle(k + i, ["Standard Shipping", "Express Overnight", "Click and Collect"]).alias("title"),
-            cycle(k + i, ["STD", "EXP", "CNC"]).alias("code"),
-            F.lit("rates").alias("source"),
-            (50 + i * 10).alias("original_price"),
-            _shipping_fee(k, i).alias("discounted_price"),
-            cycle(k + i, ["standard", "express", "pickup", None]).alias("carrier_identifier"),
-            stamp(EXTRACTED_AT).alias("extracted_at"),
-        ),
-        "stg_order_shipping_lines",
-    )
+    return _children(src, "stg_order_shipping_lines", shipping_line_count(k), shipping_line_fields(k, i))
 
 
 # --- fulfilment and refund grain ----------------------------------------------
