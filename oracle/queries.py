@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import staging, warehouse  # noqa: F401  (they define the shared expressions)
+from oracle import business
 from oracle.sql import half_up, present, rate, statement, units
 from tradewind.queries import QUERIES
 from tradewind.sources import schemas
@@ -275,5 +276,8 @@ SELECT CASE WHEN value_percentage IS NOT NULL THEN 'percentage' ELSE 'fixed' END
 FROM stg_order_discount_applications GROUP BY ALL"""
 
 
+BODIES.update(business.B)
+
+
 def statements() -> dict[str, str]:
     return {name: statement(present(body, QUERIES[name].shown)) for name, body in BODIES.items()}
