@@ -134,51 +134,3 @@ def micros_between(later: Column, earlier: Column) -> Column:
 
 def days_between(later: Column, earlier: Column) -> Column:
     return F.datediff(later.cast("date"), earlier.cast("date"))
-
-
-# --- addresses ----------------------------------------------------------------
-# fixed values: keys of an address document
-ADDRESS_FIELDS = {
-    "city": "city",
-    "province": "province",
-    "province_code": "provinceCode",
-    "country": "country",
-    "country_code": "countryCodeV2",
-    "postal_code": "zip",
-}
-_ADDRESS_TYPE = "struct<" + ",".join(f"{key}:string" for key in ADDRESS_FIELDS.values()) + ">"
-
-
-def parse_address(text: Column) -> Column:
-    """Address JSON to a struct of the six parts; empty text becomes NULL."""
-    parsed = F.from_json(text, _ADDRESS_TYPE)
-    return F.struct(*[null_if_empty(parsed[key]).alias(name) for name, key in ADDRESS_FIELDS.items()])
-
-
-def address_key(address: Column) -> Column:
-    """Lower-case ``city|province|country|zip``, the lookup key of a geography."""
-    parts = [F.coalesce(address[name], F.lit("")) for name in ("city", "province", "country", "postal_code")]
-    return F.lower(F.concat_ws("|", *parts))
-
-
-NO_ADDRESS = "|||"
-
-
-def address_digest(address: Column) -> Column:
-    """SHA-256 over the six normalised parts."""
-
-    def part(name: str, fold) -> Column:
-        return F.trim(fold(F.coalesce(address[name], F.lit(""))))
-
-    return F.sha2(
-        F.concat_ws(
-            "|",
-            part("city", F.lower),
-            part("province", F.lower),
-            part("province_code", F.upper),
-            part("country", F.lower),
-            part("country_code", F.upper),
-            part("postal_code", F.upper),
-        ),
-        256,
-    )

@@ -54,6 +54,24 @@ def with_member(df: DataFrame, table: str, **values) -> DataFrame:
     return df.unionByName(row)
 
 
+def packed(df: DataFrame, key: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """``key`` and one struct of the other columns.
+
+    A chain of joins over packed frames moves one value per input. Spread over dozens of
+    columns, the generated join code outgrows what the JVM compiles and is interpreted.
+    """
+    columns = columns or [c for c in df.columns if c != key]
+    return df.select(key, F.struct(*columns).alias(name))
+
+
+def join_packed(base: DataFrame, key: str, parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Left-join packed parts on ``key`` and lay all columns out again."""
+    out = packed(base, key, "_base")
+    for name, part in parts.items():
+        out = out.join(packed(part, key, name), key, "left")
+    return out.select(key, "_base.*", *[f"{name}.*" for name in parts])
+
+
 def first_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows of each group with their rank in ``_rank``.
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,9 @@ def _with_position(slices: DataFrame, offsets: list, name: str) -> DataFrame:
     local = F.col("_pos").bitwiseAND(F.lit(_POSITION_MASK))
     if len(offsets) <= 1:
         return slices.withColumn(name, local).drop("_pos")
-    table = slices.sparkSession.createDataFrame(offsets, "_slice bigint, _offset bigint")
+    # An Arrow table becomes a local relation; a list of rows would start Python workers.
+    columns = [pa.array(column, pa.int64()) for column in zip(*offsets)]
+    table = slices.sparkSession.createDataFrame(pa.table(columns, names=["_slice", "_offset"]))
     return (
         slices.withColumn("_slice", F.shiftright("_pos", _POSITION_BITS))
         .join(F.broadcast(table), "_slice")  # bounded by the partition count

@@ -15,11 +15,11 @@ from tradewind.functions.scalars import (
     id_digits,
     null_if_blank,
     one_of,
-    parse_address,
     percent_of,
     titled,
     weight_in_grams,
 )
+from tradewind.operators.addresses import FIELDS, NO_ADDRESS, address_key, parse_addresses
 from tradewind.operators.relational import align, with_member
 from tradewind.operators.row_index import row_index, tile_index
 
@@ -212,9 +212,8 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
     orders_made = F.col("lifetime_order_count")
     scores = [F.when(orders_made > 0, F.col(name)) for name in tiles]
     idle_days = F.datediff(F.lit(as_of), F.col("last_order_date"))
-    address = parse_address(F.col("default_address_json"))
     built = (
-        customers.withColumn("cust_num", num)
+        parse_addresses(customers.withColumn("cust_num", num), "default_address_json", "default_", ("country", "city"))
         .join(scored, "cust_num")
         .select(
             "customer_key",
@@ -227,8 +226,8 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
             one_of(F.col("email_marketing_state"), CONSENT_STATES).alias("accepts_email_marketing"),
             one_of(F.col("sms_marketing_state"), CONSENT_STATES).alias("accepts_sms_marketing"),
             F.col("created_at").cast("date").alias("customer_created_date"),
-            address["country"].alias("default_country"),
-            address["city"].alias("default_city"),
+            "default_country",
+            "default_city",
             "tags",
             first_match(F.col("tags"), MEMBERSHIP_TIERS).alias("membership_tier"),
             F.col("tax_exempt").alias("is_tax_exempt"),
@@ -253,16 +252,14 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
 
 def dim_geography(orders: DataFrame, loaded_at: Column) -> DataFrame:
     """One row per distinct address, shipping and billing together (one scan)."""
-    from tradewind.functions.scalars import ADDRESS_FIELDS, NO_ADDRESS, address_key
-
     roles = orders.select(
         F.explode(F.array("shipping_address_json", "billing_address_json")).alias("text")
     ).filter(F.col("text").isNotNull())
-    parts = roles.select(parse_address(F.col("text")).alias("a")).withColumn("address_hash", address_key(F.col("a")))
+    parts = parse_addresses(roles, "text").withColumn("address_hash", address_key())
     distinct = (
         parts.filter(F.col("address_hash") != NO_ADDRESS)
         .groupBy("address_hash")
-        .agg(*[F.max(F.col("a")[name]).alias(name) for name in ADDRESS_FIELDS])
+        .agg(*[F.max(name).alias(name) for name in FIELDS])
     )
     keyed = row_index(distinct.select("address_hash"), [F.col("address_hash")], "geography_key")
     region = F.lit(None).cast("string")

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import (
-    NO_ADDRESS,
-    address_key,
     date_key,
     days_between,
     first_match,
@@ -22,11 +20,11 @@ from tradewind.functions.scalars import (
     id_digits,
     micros_between,
     one_of,
-    parse_address,
     percent_of,
     zero,
 )
-from tradewind.operators.relational import align, ordinal_pivot, first_rows, spread_nulls
+from tradewind.operators.addresses import NO_ADDRESS, address_key, parse_addresses
+from tradewind.operators.relational import align, first_rows, join_packed, ordinal_pivot, spread_nulls
 from tradewind.operators.row_index import row_index
 
 Tables = Mapping[str, DataFrame]
@@ -39,6 +37,11 @@ APPLIED_VALUE_TYPES = {"Percentage": "percentage", "Money": "fixed"}
 PIVOT_WIDTHS = {"payments": 3, "taxes": 2, "discounts": 2}
 FULL_REFUND_PERCENT = 99
 LOW_STOCK, OVERSTOCK = 10, 500
+HEADER = (
+    "name email checkout_id source_name landing_site referring_site created_at processed_at cancelled_at closed_at "
+    "subtotal_price total_shipping total_tax total_discounts total_price total_refunded currency_code financial_status "
+    "fulfillment_status cancel_reason tags note"
+).split()
 _HOUR, _DAY = 3_600_000_000, 86_400_000_000
 
 
@@ -143,7 +146,8 @@ def order_geographies(orders: DataFrame, dim_geography: DataFrame) -> DataFrame:
             F.create_map(F.lit("ship"), F.col("shipping_address_json"), F.lit("bill"), F.col("billing_address_json"))
         ).alias("role", "text"),
     )
-    keyed = roles.select("oid", "role", address_key(parse_address(F.col("text"))).alias("address_hash"))
+    parts = parse_addresses(roles, "text", fields=("city", "province", "country", "postal_code"))
+    keyed = parts.select("oid", "role", address_key().alias("address_hash"))
     found = keyed.filter(F.col("address_hash") != NO_ADDRESS).join(
         dim_geography.select("address_hash", "geography_key", "city", "province", "country", "country_code"),
         "address_hash",
@@ -171,18 +175,21 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
     discounts = discounts.join(codes, F.col("lookup_code") == F.col("discount_code"), "left").drop(
         "lookup_code", "discount_code"
     )
-    full = orders.withColumn("oid", F.col("o_num"))
-    full = full.join(keyed, "oid")
-    for part in (
-        order_customers(orders, dims["dim_customer"]),
-        order_geographies(orders, dims["dim_geography"]),
-        order_payments(stg["stg_order_transactions"]),
-        order_taxes(stg["stg_order_tax_lines"]),
-        discounts,
-        order_shipping(stg["stg_order_shipping_lines"]),
-        order_lines(stg["stg_order_line_items"]),
-    ):
-        full = full.join(part, "oid", "left")
+    # Every part joins on the order number: the wide header is shuffled once.
+    full = join_packed(
+        orders.select(F.col("o_num").alias("oid"), *HEADER),
+        "oid",
+        {
+            "k": keyed,
+            "c": order_customers(orders, dims["dim_customer"]),
+            "g": order_geographies(orders, dims["dim_geography"]),
+            "p": order_payments(stg["stg_order_transactions"]),
+            "t": order_taxes(stg["stg_order_tax_lines"]),
+            "d": discounts,
+            "s": order_shipping(stg["stg_order_shipping_lines"]),
+            "l": order_lines(stg["stg_order_line_items"]),
+        },
+    )
 
     created = F.col("created_at")
     built = full.select(
@@ -192,7 +199,7 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
         F.coalesce("customer_key", F.lit(-1)).alias("customer_key"),
         F.coalesce("ship_key", F.lit(-1)).alias("shipping_geography_key"),
         F.coalesce("bill_key", F.lit(-1)).alias("billing_geography_key"),
-        F.col("o_num").alias("order_id"),
+        F.col("oid").alias("order_id"),
         F.col("name").alias("order_number"),
         F.col("email").alias("order_email"),
         "checkout_id",

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,9 +122,10 @@ def load_orders(
 
 def record_state(store: TableStore, results: list[LoadResult], run_ts: datetime, status: str = "success") -> None:
     """Keep one row per entity: last run, status, rows."""
-    rows = [(r.table, run_ts, status, r.rows, run_ts) for r in results]
     store.create_if_absent("etl_state")
-    state = store.spark.createDataFrame(
-        rows, "entity string, last_sync_at timestamp_ntz, last_run_status string, records_processed bigint, updated_at timestamp_ntz"
+    entries = pa.table({"entity": [r.table for r in results], "records_processed": [r.rows for r in results]})
+    now = F.lit(run_ts).cast("timestamp_ntz")
+    state = store.spark.createDataFrame(entries).withColumns(
+        {"last_sync_at": now, "last_run_status": F.lit(status), "updated_at": now}
     )
     store.upsert("etl_state", state, ["entity"])

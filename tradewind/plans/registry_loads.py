@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import scalars as sf
 from tradewind.operators import flatten as fl
+from tradewind.operators.addresses import FIELDS, address_digest, address_key, parse_addresses
 from tradewind.operators.relational import (
     completeness,
     duplicate_keys,
@@ -66,8 +67,7 @@ HIDDEN = ("extracted_at", "shipping_address_json", "billing_address_json", "defa
 def with_addresses(df: DataFrame, **roles: str) -> DataFrame:
     """Show address JSON as parsed columns, so that results compare by value."""
     for prefix, column in roles.items():
-        parsed = sf.parse_address(F.col(column))
-        df = df.withColumns({f"{prefix}_{part}": parsed[part] for part in sf.ADDRESS_FIELDS})
+        df = parse_addresses(df, column, f"{prefix}_")
     return df
 
 
@@ -81,7 +81,7 @@ def shown_of(table: str):
     extra = [
         (f"{prefix}_{part}", "s")
         for prefix in ROLES.get(table, {})
-        for part in (sf.ADDRESS_FIELDS if prefix != "home" else ("city", "country", "postal_code"))
+        for part in (FIELDS if prefix != "home" else ("city", "country", "postal_code"))
     ]
     return of_table(table, HIDDEN) + extra
 
@@ -293,19 +293,14 @@ register(
 
 
 # --- scalar functions (SF1-SF33, TF1-TF10) --------------------------------------------
-def _shipping(order_address: Column) -> Column:
-    return sf.parse_address(order_address)
-
-
 def text_functions(w: Warehouse) -> DataFrame:
-    address = _shipping(F.col("shipping_address_json"))
     tags = F.col("tags")
-    return w.stg["stg_orders"].select(
+    return parse_addresses(w.stg["stg_orders"], "shipping_address_json").select(
         sf.id_digits(F.col("id")).alias("digits"),
         sf.id_tail(F.col("id")).alias("tail"),
-        address["city"].alias("city"),
-        sf.address_key(address).alias("address_key"),
-        sf.address_digest(address).alias("address_digest"),
+        "city",
+        address_key().alias("address_key"),
+        address_digest().alias("address_digest"),
         F.upper("source_name").alias("channel"),
         sf.first_match(tags, {"VIP": "vip", "B2B": "business"}, F.lit("plain")).alias("tag_class"),
         sf.one_of(F.col("financial_status"), ("PAID", "PARTIALLY_REFUNDED")).alias("paid"),

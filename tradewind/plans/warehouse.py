@@ -6,7 +6,10 @@ store; later reads scan the stored Parquet.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import threading
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +28,12 @@ class StoredStaging(Mapping):
 
     def __init__(self, store: TableStore, frames: Callable[[str], DataFrame]):
         self.store, self._frames = store, frames
+        self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def __getitem__(self, table: str) -> DataFrame:
-        if not self.store.exists(table):
-            self.store.load_full(table, self._frames(table))
+        with self._locks[table]:
+            if not self.store.exists(table):
+                self.store.load_full(table, self._frames(table))
         return self.store.read(table)
 
     def __iter__(self):
@@ -62,10 +67,12 @@ class Warehouse(Mapping):
         self.base = {} if base is None else base
         self.document_paths: dict[str, str] = {}
         self.loaded_at = F.current_timestamp().cast("timestamp_ntz")
+        self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def __getitem__(self, table: str) -> DataFrame:
-        if not self.store.exists(table):
-            self.store.load_full(table, BUILDS[table](self))
+        with self._locks[table]:  # a table asked for twice at once is built once
+            if not self.store.exists(table):
+                self.store.load_full(table, BUILDS[table](self))
         return self.store.read(table)
 
     def __iter__(self):
@@ -74,6 +81,14 @@ class Warehouse(Mapping):
     def __len__(self):
         return len(BUILDS)
 
+    def prepare(self, tables: Iterable[str] | None = None, at_once: int = 4) -> None:
+        """Build tables that are missing, independent ones side by side.
+
+        Each build submits its own Spark jobs; a fact waits for the dimensions it reads.
+        """
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(self.__getitem__, tables or BUILDS))
+
     def rebuild(self) -> None:
         """Build every table again, dimensions before facts, each into a new version."""
         for table, build in BUILDS.items():

@@ -30,11 +30,25 @@ class BaseTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise KeyError(name)
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
         self[name] = df
         return df
 
 
+def spread_small(df: DataFrame, limit: int = 256 << 20) -> DataFrame:
+    """Use every core on a small file that Parquet cannot split below one row group.
+
+    Only inputs below ``limit`` bytes that open in fewer tasks than there are cores are
+    redistributed; a large table already scans in parallel and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
+    if 1 << 20 < size < limit and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 # --- small helpers ------------------------------------------------------------
 def gid(kind: str, number: Column) -> Column:
     return F.concat(F.lit(f"gid://store/{kind}/"), number.cast("string"))

@@ -55,7 +55,7 @@ class TableStore:
         """Write an empty table from its declared schema; False when it was there."""
         if self.exists(table):
             return False
-        self.load_full(table, self.spark.createDataFrame([], schemas.ddl(table)))
+        self.load_full(table, self.spark.range(0).drop("id"))
         return True
 
     def columns(self, table: str) -> list[str]:
