@@ -123,18 +123,17 @@ def order_customers(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
         "customer_segment",
         (F.col("lifetime_order_count") > 1).alias("repeats"),
     )
-    return (
-        slim.join(people, "cust_num", "left")
-        .join(first_seen, "cust_num", "left")
-        .select(
-            "oid",
-            "customer_key",
-            "known_email",
-            "customer_name",
-            "customer_segment",
-            "repeats",
-            flag(F.col("has_customer") & (F.col("created_at") == F.col("first_created"))).alias("is_first_order"),
-        )
+    # Both lookups hold one row per customer and meet first, so the orders take part in a
+    # single join that can be split where one customer holds a large share of them.
+    lookup = first_seen.join(people, "cust_num", "full")
+    return slim.join(lookup, "cust_num", "left").select(
+        "oid",
+        "customer_key",
+        "known_email",
+        "customer_name",
+        "customer_segment",
+        "repeats",
+        flag(F.col("has_customer") & (F.col("created_at") == F.col("first_created"))).alias("is_first_order"),
     )
 
 

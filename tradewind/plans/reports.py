@@ -34,8 +34,10 @@ def compare_orders(left: DataFrame, right: DataFrame, key: str, value: str) -> D
 
 def presence(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys present in only one of two lists."""
-    only_left = left.select(key).distinct().join(right, key, "left_anti").withColumn("present_in", F.lit("left"))
-    only_right = right.select(key).distinct().join(left, key, "left_anti").withColumn("present_in", F.lit("right"))
+    # Distinct first on both sides: a key that repeats often is reduced before the shuffle.
+    left, right = left.select(key).distinct(), right.select(key).distinct()
+    only_left = left.join(right, key, "left_anti").withColumn("present_in", F.lit("left"))
+    only_right = right.join(left, key, "left_anti").withColumn("present_in", F.lit("right"))
     return only_left.unionByName(only_right)
 
 

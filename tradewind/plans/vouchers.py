@@ -243,7 +243,7 @@ def dual_redemption_orders(stg: Tables) -> DataFrame:
     """Orders paid by gift card that also carry a discount application."""
     by_card = stg["stg_order_transactions"].filter(F.col("gateway") == GIFT_CARD).select("order_id").distinct()
     return by_card.join(
-        stg["stg_order_discount_applications"].select("order_id"), "order_id", "left_semi"
+        stg["stg_order_discount_applications"].select("order_id").distinct(), "order_id", "left_semi"
     ).select(id_digits(F.col("order_id")).alias("redemption_order_id"))
 
 
