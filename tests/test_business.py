@@ -114,3 +114,5 @@ def test_scans_push_filters(warehouse):
     plan = checks.headline_orders(warehouse, date(2001, 1, 1))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(order_created_at" in plan
     assert "shipping_city" not in plan
+    plan = checks.window_report(warehouse, date(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_date_key,20010602)" in plan

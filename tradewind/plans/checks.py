@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -231,8 +231,7 @@ def top_products(dwh: Tables, since: date, limit: int = 15) -> DataFrame:
 def headline_view(dwh: Tables, since: date) -> DataFrame:
     """The headline through the product-day view. Its products are product ids, not variants."""
     return (
-        views.revenue_by_product_by_day(dwh)
-        .filter(F.col("order_date") >= F.lit(since))
+        views.revenue_by_product_by_day(dwh, since)
         .agg(
             F.countDistinct("product_id").alias("products"),
             F.sum("revenue").alias("total_revenue"),
@@ -243,8 +242,7 @@ def headline_view(dwh: Tables, since: date) -> DataFrame:
 
 def window_report(dwh: Tables, as_of: date, days: int = 60) -> DataFrame:
     return (
-        views.revenue_by_product_by_day(dwh)
-        .filter(F.col("order_date") >= F.date_sub(F.lit(as_of), days))
+        views.revenue_by_product_by_day(dwh, as_of - timedelta(days=days))
         .agg(
             F.count(F.lit(1)).alias("product_day_rows"),
             F.countDistinct("order_date").alias("distinct_days"),
@@ -257,8 +255,7 @@ def window_report(dwh: Tables, as_of: date, days: int = 60) -> DataFrame:
 
 def daily_trend(dwh: Tables, as_of: date, days: int = 14) -> DataFrame:
     return (
-        views.revenue_by_product_by_day(dwh)
-        .filter(F.col("order_date") >= F.date_sub(F.lit(as_of), days))
+        views.revenue_by_product_by_day(dwh, as_of - timedelta(days=days))
         .groupBy("order_date")
         .agg(F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), F.sum("orders").alias("orders"))
         .orderBy("order_date")
