@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -193,21 +194,23 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
         "last_order_date",
     )
     # Prospects take part in the tiles (NULL dates last) and lose their scores afterwards.
-    scored = history
     tiles = {
         "rfm_recency_score": "last_order_date",
         "rfm_frequency_score": "lifetime_order_count",
         "rfm_monetary_score": "lifetime_revenue",
     }
-    for score, measure in tiles.items():
-        ranked = tile_index(
-            history.select("cust_num", measure),
-            [F.col(measure).asc_nulls_last(), F.col("cust_num")],
-            RFM_TILES,
-            score,
-        ).select("cust_num", score)
-        scored = scored.join(ranked, "cust_num")
-    scored = scored.join(row_index(history.select("cust_num"), [F.col("cust_num")], "customer_key"), "cust_num")
+
+    def ranked(score: str) -> DataFrame:
+        measure = tiles[score]
+        order = [F.col(measure).asc_nulls_last(), F.col("cust_num")]
+        return tile_index(history.select("cust_num", measure), order, RFM_TILES, score).select("cust_num", score)
+
+    with ThreadPoolExecutor(len(tiles) + 1) as pool:  # four independent sorts
+        numbers = pool.submit(row_index, history.select("cust_num"), [F.col("cust_num")], "customer_key")
+        scored = history
+        for part in pool.map(ranked, tiles):
+            scored = scored.join(part, "cust_num")
+        scored = scored.join(numbers.result(), "cust_num")
 
     orders_made = F.col("lifetime_order_count")
     scores = [F.when(orders_made > 0, F.col(name)) for name in tiles]

@@ -76,6 +76,9 @@ class Warehouse(Mapping):
         return self.store.read(table)
 
     def _build(self, table: str) -> None:
+        needed = NEEDS.get(table, ())
+        with ThreadPoolExecutor(max(len(needed), 1)) as pool:
+            list(pool.map(lambda name: (self.stg if name in schemas.STAGING else self)[name], needed))
         self.store.load_full(table, BUILDS[table](self), sort_by=FILE_ORDER.get(table, ()))
 
     def __iter__(self):
@@ -128,6 +131,28 @@ BUILDS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
 }
 
+# Inputs that do not depend on each other and are made ready side by side. Waiting on a
+# table that another thread builds cannot deadlock: the graph has no cycles.
+NEEDS = {
+    "dim_product": ("stg_products", "stg_product_variants"),
+    "dim_customer": ("stg_customers", "stg_orders"),
+    "fact_order": (
+        "dim_customer",
+        "dim_geography",
+        "dim_discount",
+        "stg_order_line_items",
+        "stg_order_transactions",
+        "stg_order_tax_lines",
+        "stg_order_shipping_lines",
+    ),
+    "fact_order_line_item": ("fact_order", "dim_product"),
+    "fact_fulfillment": ("fact_order", "dim_location", "stg_fulfillments", "stg_fulfillment_line_items"),
+    "fact_refund": ("fact_order", "stg_refunds", "stg_refund_line_items"),
+    "fact_inventory_snapshot": ("dim_product", "dim_location", "stg_inventory_levels"),
+    "dim_voucher": ("dim_channel", "dim_discount", "stg_orders", "stg_gift_cards"),
+    "fact_voucher_lifecycle": ("dim_voucher", "fact_order_line_item"),
+}
+
 # Columns that reports filter on, kept in order inside each file.
 FILE_ORDER = {
     "fact_order": ("order_date_key",),
