@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import sampled_rows
+from tradewind.llm.common import sampled_rows, stored
 
 #: At most so many labelled rows are learned from, and so many terms kept.
 MAX_TRAINING = 12_000
@@ -29,9 +30,12 @@ MAX_TERMS = 200
 MAX_CANDIDATES = 20_000
 STEM_LENGTHS = range(4, 10)
 FUZZY_LENGTH = 5
+#: From so many hits of a term on, a text is judged by its own weight.
+OFTEN = 3
 WINDOW = 8
 CHUNK = 1 << 18
 _LATIN = 0x250
+_WORD = regex.compile(r"\p{L}+")
 _QUOTES = "\"“”„«»‘‹›`"
 
 
@@ -139,29 +143,35 @@ class Automaton:
 
 
 class Model:
-    """The automaton, a weight for each term's exact and misspelled hits, ordinary words, and a logistic score."""
+    """The automaton, weights of each term's exact and misspelled hits (few, often), ordinary words, a logistic score."""
 
     def __init__(self, automaton: Automaton, base: float):
         self.automaton = automaton
-        self.exact = np.zeros(len(automaton.terms))
-        self.fuzzy = np.zeros(len(automaton.terms))
+        self.weights = np.zeros((len(automaton.terms), 2, 2))  # term, misspelled, often
         self.ordinary: set[str] = set()
         self.coefficients = np.array([base, 1.0, 0.25])
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Of each text: 1, the log odds of its abusive hits, the log odds of its quoted hits (each term counts once)."""
+        """Of each text: 1, the log odds of its abusive terms, the log odds of its quoted terms."""
         out = np.zeros((len(texts), 3))
         out[:, 0] = 1
         if not self.automaton.terms:
             return out
-        seen: dict[tuple[int, int, bool], float] = defaultdict(float)
-        for row, term, edits, quoted, a, b, in zip(*(found := self.automaton.find(texts))[:6]):
-            if edits and found[6][a:b] in self.ordinary:
-                continue
-            key = (int(row), int(term), bool(quoted))
-            seen[key] = max(seen[key], float(self.fuzzy[term] if edits else self.exact[term]))
-        for (row, _, quoted), weight in seen.items():
-            out[row, 2 if quoted else 1] += weight
+        rows, terms, edits, quoted, starts, ends, joined = self.automaton.find(texts)
+        wrong = np.flatnonzero(edits)
+        usual = [k for k in wrong if joined[starts[k] : ends[k]] in self.ordinary]
+        kept = np.ones(len(rows), bool)
+        kept[usual] = False
+        keys = np.stack([rows, terms, edits, quoted], axis=1)[kept].astype(np.int64)
+        if len(keys):
+            keys, counts = np.unique(keys, axis=0, return_counts=True)
+            weight = self.weights[keys[:, 1], keys[:, 2], (counts >= OFTEN).astype(int)]
+            # a term counts once in each context: by its exact or its misspelled hits, whichever tell more
+            _, group = np.unique(keys[:, [0, 1, 3]], axis=0, return_inverse=True)
+            best = np.zeros(int(group.max()) + 1)
+            np.maximum.at(best, group.ravel(), weight)
+            first = np.unique(group.ravel(), return_index=True)[1]
+            np.add.at(out, (keys[first, 0], 1 + keys[first, 3]), best)
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -184,19 +194,20 @@ def _runs(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def choose_terms(counts: list[tuple[str, bool, int, int]], toxic: int, clean: int) -> list[tuple[str, bool]]:
-    """Terms from (text, is_stem, toxic rows, clean rows): nearly always toxic, and too often to be chance.
-
-    Of nested stems that cover the same rows the longest stands, a whole word before an equal stem.
+def choose_terms(counts: list[tuple], toxic: int, clean: int) -> list[tuple[str, bool]]:
+    """Terms from (text, is_stem, toxic rows, clean rows, toxic rows with OFTEN hits, clean ones): mostly toxic, and too
+    often to be chance. Of nested stems that cover the same rows the longest stands, a whole word before an equal stem.
     """
     share = toxic / (toxic + clean)
     least = math.log(len(counts) + 1) + 2
-    strong: dict[tuple[str, bool], int] = {}
-    for term, stem, t, c in counts:
-        p = t / (t + c)
-        evidence = t * math.log(p / share) + (c * math.log((1 - p) / (1 - share)) if c else 0) if p > share else 0
-        if p >= 0.9 and evidence >= least:
-            strong[term, stem] = t
+
+    def telling(t: int, c: int) -> bool:
+        p = t / max(t + c, 1)
+        if p <= max(0.8, share):
+            return False
+        return t * math.log(p / share) + (c * math.log((1 - p) / (1 - share)) if c else 0) >= least
+
+    strong = {(term, stem): max(t, t2) for term, stem, t, c, t2, c2 in counts if telling(t, c) or telling(t2, c2)}
     chosen: dict[tuple[str, bool], int] = {}
     for (term, stem), t in strong.items():
         shorter = [(term[:n], True) for n in range(1, len(term) + (0 if stem else 1))]
@@ -209,26 +220,52 @@ def choose_terms(counts: list[tuple[str, bool, int, int]], toxic: int, clean: in
     return sorted(sorted(chosen, key=lambda x: (-chosen[x], x))[:MAX_TERMS])
 
 
+def _term_counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) -> DataFrame:
+    """(term, stem, once, often): in how many rows (id, text, label) the term occurs, and occurs OFTEN times."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, often = Counter(), Counter()
+        for batch in batches:
+            for text in _folded(batch.column(1).to_pylist()):
+                own: Counter = Counter()
+                for word, n in Counter(_WORD.findall(text)).items():
+                    if 4 <= len(word) <= 24:
+                        own[word, False] += n
+                        for k in STEM_LENGTHS:
+                            if k > len(word):
+                                break
+                            own[word[:k], True] += n
+                for key, n in own.items():
+                    if only is None or key in only:
+                        once[key] += 1
+                        often[key] += n >= OFTEN
+        keys = list(once)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([once[k] for k in keys], pa.int64()), pa.array([often[k] for k in keys], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "stem", "once", "often"])
+
+    found = rows.mapInArrow(count, "term string, stem boolean, once long, often long")
+    return found.groupBy("term", "stem").agg(F.sum("once").alias("once"), F.sum("often").alias("often"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_TRAINING) -> Model:
-    """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id."""
+    """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id.
+
+    Candidate terms are the MAX_CANDIDATES that most of those toxic texts hold.
+    """
     chosen = sampled_rows(labels.where("label in (0, 1)").dropDuplicates(["id"]), "id", max_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    rows = rows.select("id", "text", "label")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    rows = stored(rows.select("id", "text", F.col("label").cast("int").alias("label")), "labelled")
     totals = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     base = math.log((toxic + 0.5) / (clean + 0.5))
     if not toxic or not clean:
         return Model(Automaton([]), base)
-    words = rows.select("label", F.explode(F.array_distinct(F.array_remove(F.split("text", "[^\\p{L}]+"), ""))).alias("word"), "id")
-    pieces = [F.struct(F.left("word", F.lit(n)).alias("term"), F.lit(True).alias("stem")) for n in STEM_LENGTHS]
-    pieces.append(F.struct(F.col("word").alias("term"), F.lit(False).alias("stem")))
-    terms = words.where(F.length("word").between(4, 24)).select("label", "id", F.explode(F.array(*pieces)).alias("t"))
-    terms = terms.where(~F.col("t.stem") | (F.length("t.term") >= 4)).select("id", "label", "t.term", "t.stem").distinct()
-    counted = terms.groupBy("term", "stem").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
-    counted = counted.where("t >= 3").orderBy(F.expr("t / (t + c)").desc(), F.desc("t"), "term", "stem").limit(MAX_CANDIDATES)
-    lexicon = choose_terms([(r.term, r.stem, r.t, r.c) for r in counted.collect()], toxic, clean)
-    model = Model(Automaton(lexicon), base)
-    if not lexicon:
+    most = _term_counts(rows.where("label = 1")).where("once >= 3").orderBy(F.desc("once"), "term", "stem").limit(MAX_CANDIDATES)
+    of_toxic = {(r.term, r.stem): (r.once, r.often) for r in most.collect()}
+    of_clean = {(r.term, r.stem): (r.once, r.often) for r in _term_counts(rows.where("label = 0"), set(of_toxic)).collect()}
+    counts = [(*key, t, of_clean.get(key, (0, 0))[0], t2, of_clean.get(key, (0, 0))[1]) for key, (t, t2) in of_toxic.items()]
+    model = Model(Automaton(choose_terms(counts, toxic, clean)), base)
+    if not model.automaton.terms:
         return model
     return _weigh(model, _training_hits(rows, model.automaton), toxic, clean)
 
@@ -254,25 +291,64 @@ def _training_hits(rows: DataFrame, automaton: Automaton) -> list[tuple]:
 
 
 def _weigh(model: Model, hits: list[tuple], toxic: int, clean: int) -> Model:
-    words: dict[str, Counter] = defaultdict(Counter)
+    odds = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+    words: dict[str, set] = defaultdict(set)
     for i, label, _, edits, _, word in hits:
         if edits:
-            words[word][label, i] = 1
+            words[word].add((label, i))
     for word, seen in words.items():
-        of_clean = sum(label == 0 for label, _ in seen)
-        if of_clean >= 2 and of_clean / clean >= 0.5 * (len(seen) - of_clean) / toxic:
+        of_toxic = sum(label for label, _ in seen)
+        if len(seen) - of_toxic >= 2 and odds(of_toxic, len(seen) - of_toxic) < 1:
             model.ordinary.add(word)
-    rows: dict[tuple[int, bool], Counter] = defaultdict(Counter)
+    rows: dict[tuple[int, int], Counter] = defaultdict(Counter)
     for i, label, term, edits, _, word in hits:
         if not (edits and word in model.ordinary):
-            rows[term, bool(edits)][label, i] = 1
+            rows[term, int(bool(edits))][label, i] += 1
     for k in range(len(model.automaton.terms)):
-        for fuzzy, weights in ((False, model.exact), (True, model.fuzzy)):
-            seen = rows[k, fuzzy]
-            t, c = sum(label for label, _ in seen), sum(1 - label for label, _ in seen)
-            weights[k] = max(0.0, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
-        if not rows[k, True]:  # no misspelling seen: as telling as the term, with some doubt
-            model.fuzzy[k] = max(0.0, model.exact[k] - 1.5)
+        for wrong in (0, 1):
+            for often in (0, 1):
+                seen = [label for (label, _), n in rows[k, wrong].items() if (n >= OFTEN) == bool(often)]
+                if seen:
+                    model.weights[k, wrong, often] = max(0.0, odds(sum(seen), len(seen) - sum(seen)))
+        # without an example: a misspelling is nearly as telling as the term, and many hits as few
+        for wrong in (0, 1):
+            if not rows[k, wrong]:
+                model.weights[k, wrong] = np.maximum(model.weights[k, 0] - 1.5, 0)
+            elif not any(n >= OFTEN for n in rows[k, wrong].values()):
+                model.weights[k, wrong, 1] = model.weights[k, wrong, 0]
+    return _calibrated(model, hits, toxic, clean)
+
+
+def _calibrated(model: Model, hits: list[tuple], toxic: int, clean: int, ridge: float = 2.0) -> Model:
+    """Logistic regression on the training rows' features, held near the coefficients the model starts with."""
+    own: dict[tuple, list[Counter]] = defaultdict(lambda: [Counter(), Counter()])
+    for i, label, term, edits, quoted, word in hits:
+        if not (edits and word in model.ordinary):
+            own[i, label][int(quoted)][term, int(bool(edits))] += 1
+    x, y = [], []
+    for (_, label), contexts in own.items():
+        row = [1.0]
+        for seen in contexts:
+            best: dict[int, float] = defaultdict(float)
+            for (term, wrong), n in seen.items():
+                best[term] = max(best[term], model.weights[term, wrong, int(n >= OFTEN)])
+            row.append(sum(best.values()))
+        x.append(row), y.append(label)
+    with_hits = Counter(label for _, label in own)
+    x += [[1.0, 0.0, 0.0]] * 2
+    y += [1, 0]
+    weight = np.array([1.0] * len(own) + [toxic - with_hits[1], clean - with_hits[0]])
+    x, y, start = np.array(x), np.array(y, float), model.coefficients
+    at = start.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        gradient = x.T @ (weight * (y - p)) - ridge * (at - start)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(3)
+        step = np.linalg.solve(hessian, gradient)
+        at = at + np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-8:
+            break
+    model.coefficients = at
     return model
 
 
