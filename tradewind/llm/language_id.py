@@ -9,7 +9,7 @@ Defined results: null texts and texts without a letter are ``und`` with score 0
 fewer than three bytes of letters use the n-grams there are; equal losses go to the language that sorts
 first; rows are judged one by one, so repeated rows get equal answers; with no training rows every
 document is ``und``; a single training language is predicted for every document with a letter. Other
-columns are ignored, and kept when ``keep`` names them.
+columns are kept, but for those named like the added ones.
 """
 
 from __future__ import annotations
@@ -133,7 +133,8 @@ def predict(docs: DataFrame, model: Codes, text_col: str = "text", keep: list[st
     """The kept columns of every row, then lang_pred, score (0 to 1) and ambiguous. One pass, no shuffle."""
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-    chosen = docs.select(*(keep if keep is not None else docs.columns), F.col(text_col).alias("__text"))
+    added = ("lang_pred", "score", "ambiguous", "__text")
+    chosen = docs.select(*(keep if keep is not None else [c for c in docs.columns if c not in added]), F.col(text_col).alias("__text"))
     schema = StructType([*chosen.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

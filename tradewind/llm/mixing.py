@@ -6,8 +6,7 @@ are exploded by their counts and shuffled globally by a hash of seed, id and cop
 
 Defined results: rows with equal ids get equal counts; a null source is a source of its own (weighted by
 the key None); sources without a weight get weight 0 when weights are given; a null id is hashed as the
-word null; an empty table gives an empty result; the added columns are named by parameters, so a clash is
-refused with an error rather than resolved.
+word null; an empty table gives an empty result; a column of the input named like the copy column is replaced.
 """
 
 from __future__ import annotations
@@ -50,7 +49,7 @@ def poisson(mean: Column, u: Column) -> Column:
 
 def source_means(docs: DataFrame, source_col: str, weights: dict[str | None, float] | None, size: float | None = None) -> DataFrame:
     """(source, mean) of every source. Weights default to equal ones; ``size`` is the expected rows out, as many as in by default."""
-    counts = stored(docs.groupBy(F.col(source_col).alias("__source")).agg(F.count("*").alias("n")), "source-counts")
+    counts = stored(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n")), "source-counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("k")).first()
     if weights is None:
         share = F.lit(1.0 / max(totals.k, 1))
@@ -59,9 +58,9 @@ def source_means(docs: DataFrame, source_col: str, weights: dict[str | None, flo
         share = F.lit(float(weights.get(None, 0.0)) / total)
         named = [x for kv in weights.items() if kv[0] is not None for x in (F.lit(kv[0]), F.lit(kv[1] / total))]
         if named:
-            share = F.when(F.col("__source").isNull(), share).otherwise(F.coalesce(F.element_at(F.create_map(*named), F.col("__source")), F.lit(0.0)))
+            share = F.when(F.col("source").isNull(), share).otherwise(F.coalesce(F.element_at(F.create_map(*named), F.col("source")), F.lit(0.0)))
     mean = share * float(size if size is not None else totals.n) / F.col("n")
-    return counts.select("__source", mean.alias("__mean"))
+    return counts.select("source", mean.alias("mean"))
 
 
 def mix(
@@ -74,18 +73,17 @@ def mix(
     copy_col: str = "copy",
 ) -> DataFrame:
     """``docs`` with each row as often as drawn, numbered from 1 in ``copy_col``, in shuffled order."""
-    if copy_col in docs.columns:
-        raise ValueError(f"the input has a column {copy_col}")
+    kept = [c for c in docs.columns if c != copy_col]
+    rows = docs.select(F.struct(*kept).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("of"))
     means = source_means(docs, source_col, weights, size)
-    few = means.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    if few:
-        placed = docs.join(F.broadcast(means), docs[source_col].eqNullSafe(F.col("__source")))
+    if means.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        placed = rows.join(F.broadcast(means), F.col("of").eqNullSafe(F.col("source")))
     else:  # a hot source is spread over salts
-        salted = means.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        placed = docs.withColumn("__row_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-        placed = placed.join(salted, F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__row_salt") == F.col("__salt")))
-    placed = placed.withColumn("__u", uniform(seed, F.col(id_col)))
-    drawn = placed.withColumn("__count", poisson(F.col("__mean"), F.col("__u"))).where("__count > 0")
-    copies = drawn.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__count")))).select(*docs.columns, copy_col)
-    order = F.xxhash64(F.lit(seed), F.col(id_col), F.col(copy_col))
-    return copies.repartition(order).sortWithinPartitions(order, id_col, copy_col)
+        salted = means.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        placed = rows.withColumn("own_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+        placed = placed.join(salted, F.col("of").eqNullSafe(F.col("source")) & (F.col("own_salt") == F.col("salt")))
+    drawn = placed.withColumn("n", poisson(F.col("mean"), uniform(seed, F.col("id")))).where("n > 0")
+    copies = drawn.select("row", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    order = F.xxhash64(F.lit(seed), F.col("id"), F.col("copy"))
+    shuffled = copies.repartition(order).sortWithinPartitions(order, "id", "copy")
+    return shuffled.select("row.*", F.col("copy").alias(copy_col))

@@ -6,7 +6,7 @@ the data. Reading: files are the partitions, packed up to ``split`` bytes by the
 on record type and on other header fields are pushed down: headers are parsed first, and the payload of a
 record that fails them, or that ``payload=false`` does not want, is skipped by seeking over its length.
 
-Defined results: a null payload is empty; null header values are left out and read back as null; equal
+Defined results: rows with a null id are left out; a null payload is empty; null header values are left out and read back as null; equal
 payloads below the least size are all responses; of larger ones the record with the smallest id is the
 response; an archive without records reads as no rows; a payload that does not match its digest is an error.
 """
@@ -243,7 +243,7 @@ def register(spark: SparkSession) -> None:
 def deduplicated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST) -> DataFrame:
     """The records to write. Only ids and digests are shuffled to find the first page of each digest."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(
+    rows = pages.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("record_id"), F.col(url_col).alias("target_uri"), F.sha2(payload, 256).alias("payload_digest"),
         F.length(payload).cast("long").alias("payload_bytes"), payload.alias("payload"),
     )
