@@ -5,8 +5,10 @@ from compare import connect, differences
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from oracle.queries import statements
+from tradewind.queries import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,8 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == set(statements())
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
