@@ -36,6 +36,64 @@ def test_full_load_replaces_and_appends(spark, store):
     assert store.load_full("stg_products", df) == 2 and store.count("stg_products") == 2
     store.load_full("stg_products", df, truncate=False)
     assert store.count("stg_products") == 4
+    for _ in range(2):  # a named batch may be repeated
+        store.load_full("stg_products", df, truncate=False, batch="b1")
+    assert store.count("stg_products") == 6
+
+
+def failing(spark, n):
+    rows = products(spark, *[(f"p{i}", "T", "2001-01-01") for i in range(n)])
+    return rows.withColumn("title", F.when(F.col("ID") == "p3", F.raise_error(F.lit("no"))).otherwise(F.col("title")))
+
+
+def test_failed_loads_can_be_repeated(spark, store):
+    good = products(spark, ("p1", "A", "2001-01-01"), ("p2", "B", "2001-01-01"))
+    for before in (0, 2):
+        with pytest.raises(Exception, match="no"):
+            store.load_full("stg_products", failing(spark, 5))
+        with pytest.raises(Exception, match="no"):
+            store.upsert("stg_products", failing(spark, 5))
+        assert (store.count("stg_products") if before else store.exists("stg_products")) == before
+        store.load_full("stg_products", good)
+    assert store.count("stg_products") == 2
+    assert len(store._names(f"{store.root}/stg_products/data")) == store.keep
+
+
+def test_upsert_leaves_other_buckets_alone(spark, store):
+    store.load_full("stg_products", products(spark, *[(f"p{i}", "A", "2001-01-01") for i in range(200)]))
+    store.upsert("stg_products", products(spark, ("p1", "B", "2001-02-01")))
+    first = store._current("stg_products")["parts"]
+    store.upsert("stg_products", products(spark, ("p1", "C", "2001-03-01")))
+    second = store._current("stg_products")["parts"]
+    assert first.keys() == second.keys() and sum(first[k] != second[k] for k in first) == 1
+    assert store.count("stg_products") == 200
+    assert [r.title for r in store.read("stg_products").filter("id = 'p1'").collect()] == ["C"]
+    assert len(store._versions("stg_products")) == store.keep
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, store):
+    good = products(spark, ("p1", "A", "2001-01-01"))
+    store.load_full("stg_products", good)
+    other = type(store)(spark, store.root)
+    assert other.count("stg_products") == 1
+    store.load_full("stg_products", good)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        other.load_full("stg_products", good)
+    other.load_full("stg_products", good)
+    store.forget("stg_products")
+    assert store.count("stg_products") == 1 and store._versions("stg_products")[-1] == 3
+
+
+def test_snapshot_days_are_pruned(spark, store):
+    levels = spark.sql("select 'i' || id inventory_item_id, 'l' location_id, cast(id as int) available, date_add(date'2001-01-01', cast(id % 3 as int)) snapshot_date from range(30)")
+    store.upsert_partitions("stg_inventory_levels", levels, "snapshot_date")
+    day = store.read("stg_inventory_levels").filter("snapshot_date = date'2001-01-02'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and day.count() == 10
+    before = store._current("stg_inventory_levels")["parts"]
+    store.upsert_partitions("stg_inventory_levels", levels.filter("snapshot_date = date'2001-01-03'"), "snapshot_date")
+    after = store._current("stg_inventory_levels")["parts"]
+    assert sum(before[k] != after[k] for k in before) == 1 and store.count("stg_inventory_levels") == 30
 
 
 def test_missing_and_created_tables(store):

@@ -33,7 +33,7 @@ class StoredStaging(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         with self._locks[table]:
             if not self.store.exists(table):
-                self.store.load_full(table, self._frames(table))
+                self.store.load_full(table, self._frames(table), partition_by=PARTITIONS.get(table))
         return self.store.read(table)
 
     def __iter__(self):
@@ -79,7 +79,8 @@ class Warehouse(Mapping):
         needed = NEEDS.get(table, ())
         with ThreadPoolExecutor(max(len(needed), 1)) as pool:
             list(pool.map(lambda name: (self.stg if name in schemas.STAGING else self)[name], needed))
-        self.store.load_full(table, BUILDS[table](self), sort_by=FILE_ORDER.get(table, ()))
+        frame = BUILDS[table](self)
+        self.store.load_full(table, frame, partition_by=PARTITIONS.get(table), sort_by=FILE_ORDER.get(table, ()))
 
     def __iter__(self):
         return iter(BUILDS)
@@ -164,6 +165,9 @@ FILE_ORDER = {
     "fact_channel_daily": ("date_key",),
 }
 
+# Columns that tables are dealt by into folders, so that a filter on them lists those folders only.
+PARTITIONS = {"stg_inventory_levels": "snapshot_date", "fact_inventory_snapshot": "snapshot_date"}
+
 # --- the generated tables as a warehouse -----------------------------------------
 # fixed values: their orders run from 1995 to 2001
 TEST_AS_OF = date(2001, 12, 31)

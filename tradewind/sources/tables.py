@@ -1,12 +1,15 @@
 """Versioned Parquet tables: full load, keyed upsert, snapshot partitions.
 
-A table is a folder of numbered versions. A load writes the next version and becomes
-visible when Spark's commit protocol puts ``_SUCCESS`` into it, so readers never see
-an empty or half-written table and a failed load leaves the old one in place.
+Data files of a load stand in a folder of their own, ``data/load=<id>``. A version is a manifest that names the
+folders it consists of: whole loads, partitions, or buckets of the key. A load becomes visible when its manifest is
+created, which Hadoop does at once or not at all; what a failed load leaves behind is never read and is
+removed. An upsert rewrites only the buckets or partitions it touches and names the others again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,38 +21,86 @@ from tradewind.sources import schemas
 
 # Newest first, when a batch holds the same key twice.
 _RECENCY = ("updated_at", "extracted_at")
+_BUCKET = "key_bucket"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``buckets`` is the number of parts an upserted table is kept in: choose it so that a bucket is about a GB.
+
+    ``keep`` is the number of versions whose files stay, so that readers of the version before can finish.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 8, keep: int = 2):
+        self.spark, self.root, self.buckets, self.keep = spark, root.rstrip("/"), buckets, keep
+        self._known: dict[str, dict] = {}
+
+    # --- files ------------------------------------------------------------------
+    def _fs(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._fs(folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _remove(self, folder: str) -> None:
+        fs, path = self._fs(folder)
+        fs.delete(path, True)
 
     # --- catalogue --------------------------------------------------------------
     def _versions(self, table: str) -> list[int]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        found = []
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("v") and name[1:].isdigit() and fs.exists(marker):
-                found.append(int(name[1:]))
-        return sorted(found)
-
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:06d}"
-
-    def current_path(self, table: str) -> str:
+        names = self._names(f"{self.root}/{table}/versions")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def _manifest(self, table: str, version: int) -> dict:
+        fs, path = self._fs(f"{self.root}/{table}/versions/{version:08d}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _current(self, table: str) -> dict | None:
+        """The manifest in force; remembered until this store loads the table or forgets it."""
+        if table not in self._known:
+            versions = self._versions(table)
+            if not versions:
+                return None
+            self._known[table] = self._manifest(table, versions[-1]) | {"version": versions[-1]}
+        return self._known[table]
+
+    def forget(self, table: str) -> None:
+        """Look for versions of other writers at the next use."""
+        self._known.pop(table, None)
+
+    def _publish(self, table: str, by: str | None, parts: dict[str, str]) -> None:
+        """Create the next manifest. If another writer took the number, theirs stands and this load fails."""
+        current = self._current(table)
+        version = current["version"] + 1 if current else 1
+        fs, path = self._fs(f"{self.root}/{table}/versions/{version:08d}.json")
+        fs, hidden = self._fs(f"{self.root}/{table}/versions/.{uuid.uuid4().hex}")
+        stream = fs.create(hidden, True)
+        stream.write(bytearray(json.dumps({"by": by, "parts": parts}).encode()))
+        stream.close()
+        if fs.exists(path) or not fs.rename(hidden, path):
+            fs.delete(hidden, False)
+            self.forget(table)
+            raise RuntimeError(f"{table}: version {version} was written meanwhile")
+        self._known[table] = {"by": by, "parts": parts, "version": version}
+        self._expire(table)
+
+    def _expire(self, table: str) -> None:
+        """Delete manifests before the last ``keep``, and the folders that only they name."""
         versions = self._versions(table)
-        if not versions:
-            raise LookupError(f"no such table: {table}")
-        return self._path(table, versions[-1])
+        old = {v: self._manifest(table, v) for v in versions}
+        named = {folder for v in versions[-self.keep :] for folder in old[v]["parts"].values()}
+        for v in versions[: -self.keep]:
+            for folder in set(old[v]["parts"].values()) - named:
+                self._remove(f"{self.root}/{table}/{folder}")
+            self._remove(f"{self.root}/{table}/versions/{v:08d}.json")
 
     def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        return self._current(table) is not None
 
     def create_if_absent(self, table: str) -> bool:
         """Write an empty table from its declared schema; False when it was there."""
@@ -67,39 +118,70 @@ class TableStore:
 
     # --- scans ------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
-        """Scan the current version with the declared types; nothing is inferred."""
-        df = self.spark.read.schema(schemas.ddl(table)).parquet(self.current_path(table))
+        """Scan the current version with the declared types; partitions are pruned by its folders."""
+        current = self._current(table)
+        if current is None:
+            raise LookupError(f"no such table: {table}")
+        return self._scan(table, current, current["parts"].values())
+
+    def _scan(self, table: str, current: dict, folders) -> DataFrame:
+        kinds = schemas.ddl(table)
+        if current["by"] and current["by"] not in dict(schemas.columns(table)):
+            kinds += f", {current['by']} int"
+        base = f"{self.root}/{table}/data"
+        df = self.spark.read.schema(kinds).option("basePath", base).parquet(*[f"{self.root}/{table}/{f}" for f in folders])
         return df.select([name for name, _ in schemas.columns(table)])
 
     # --- sinks ------------------------------------------------------------------
+    def _write(self, table: str, df: DataFrame, by: str | None = None, sort_by: Sequence[str] = ()) -> tuple[int, dict[str, str]]:
+        """(rows, parts) of a new load that is not yet visible. A load that fails leaves nothing."""
+        load = f"data/load={uuid.uuid4().hex}"
+        if sort_by:
+            df = df.sortWithinPartitions(*([by] if by else []), *sort_by)
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        try:
+            (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{table}/{load}")
+        except BaseException:
+            self._remove(f"{self.root}/{table}/{load}")
+            raise
+        if not by:
+            return seen.get["rows"], {load: load}
+        names = [n for n in self._names(f"{self.root}/{table}/{load}") if n.startswith(f"{by}=")]
+        return seen.get["rows"], {n: f"{load}/{n}" for n in names} or {load: load}
+
     def load_full(
         self,
         table: str,
         df: DataFrame,
         truncate: bool = True,
-        partition_by: Sequence[str] = (),
+        partition_by: str | None = None,
         sort_by: Sequence[str] = (),
+        batch: str | None = None,
     ) -> int:
         """Replace the table (or append with ``truncate=False``); returns the rows loaded.
 
-        ``sort_by`` orders rows inside each file, without a shuffle, so that the min/max
-        values of its row groups let scans skip what a filter rules out.
+        ``partition_by`` deals the rows into one folder for each value of that column, and filters on it prune
+        folders. ``sort_by`` orders rows inside each file, so that row groups can be skipped. An append under
+        the name of an earlier ``batch`` takes its place, so that it may be repeated.
         """
-        versions = self._versions(table)
+        current = self._current(table)
         aligned = align(df, table)
-        if sort_by:
-            aligned = aligned.sortWithinPartitions(*sort_by)
-        seen = Observation()
-        writer = aligned.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        if truncate or not versions:
-            writer.parquet(self._path(table, versions[-1] + 1 if versions else 1))
-        else:
-            writer.mode("append").parquet(self._path(table, versions[-1]))
-        return seen.get["rows"]
-
-    def _merged(self, table: str, target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        if not truncate and current and current["by"] == _BUCKET:
+            raise ValueError(f"{table} is kept in buckets of its key: use upsert")
+        if not truncate and current:
+            partition_by = current["by"]
+        if partition_by:  # few files for each folder; large ones are split
+            aligned = aligned.hint("rebalance", partition_by)
+        rows, parts = self._write(table, aligned, partition_by, sort_by)
+        if not truncate and current:
+            mark = f"@{batch or uuid.uuid4().hex}"
+            kept = {k: f for k, f in current["parts"].items() if not (batch and k.endswith(mark))}
+            parts = {**kept, **{f"{k}{mark}": f for k, f in parts.items()}}
+        self._publish(table, partition_by, parts)
+        return rows
+
+    def _merged(self, target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Source rows replace target rows of the same key; NULL keys never match."""
         untouched = target.join(source.select(*keys), list(keys), "left_anti")
         return untouched.select(target.columns).unionByName(source)
@@ -115,44 +197,50 @@ class TableStore:
     def upsert(
         self, table: str, df: DataFrame, keys: Sequence[str] | None = None, newest: Sequence[Column] | None = None
     ) -> int:
-        """Update matching keys, insert the rest, into a new version. Idempotent.
+        """Update matching keys, insert the rest. Idempotent but for NULL keys.
 
-        Returns the number of source rows merged; an empty source changes nothing.
+        Only the buckets of the key that the source touches are written again. Returns the number of source rows
+        merged; an empty source changes nothing.
         """
         keys = keys or schemas.STAGING_KEYS[table]
-        source = self._latest(table, df, keys, newest)
-        staged = self._stage(table, source)
-        merged = staged.count()
-        if merged:
-            self.load_full(table, self._merged(table, self.read(table), staged, keys))
-        return merged
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        return self._upsert(table, self._latest(table, df, keys, newest), keys, _BUCKET, bucket)
 
     def upsert_partitions(self, table: str, df: DataFrame, partition: str, keys: Sequence[str] | None = None) -> int:
-        """Upsert that rewrites only the partitions the source touches.
+        """Upsert that writes only the partitions the source touches.
 
         For tables whose key contains the partition column, such as daily snapshots:
         a repeated run of the same day replaces its rows, earlier days stay as they are.
         """
         keys = keys or schemas.STAGING_KEYS[table]
-        source = self._latest(table, df, keys, None)
-        staged = self._stage(table, source)
-        merged = staged.count()
-        if not merged:
-            return 0
-        if not self.exists(table):
-            return self.load_full(table, staged, partition_by=[partition])
-        touched = [row[0] for row in staged.select(partition).distinct().collect()]  # a few days
-        target = self.read(table).filter(F.col(partition).isin(*touched))
-        merged_rows = self._stage(table, self._merged(table, target, staged, keys))
-        (
-            merged_rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self.current_path(table))
-        )
-        return merged
-
-    def _stage(self, table: str, df: DataFrame) -> DataFrame:
+        return self._upsert(table, self._latest(table, df, keys, None), keys, partition, F.col(partition))
+
+    def _upsert(self, table: str, source: DataFrame, keys: Sequence[str], by: str, value: Column) -> int:
         path = scratch_path(self.spark, f"stage-{table}")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        seen = Observation()
+        try:
+            source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+            staged = self.spark.read.schema(source.schema).parquet(path)
+            merged = seen.get["rows"]
+            if not merged:
+                return 0
+            current = self._current(table)
+            parts, target = {}, None
+            if current and current["by"] == by and not any("@" in k for k in current["parts"]):
+                touched = {self._folder(by, r[0]) for r in staged.select(value.alias(by)).distinct().collect()}  # few: buckets or days
+                parts = {k: f for k, f in current["parts"].items() if k not in touched}
+                folders = [f for k, f in current["parts"].items() if k in touched]
+                target = self._scan(table, current, folders) if folders else None
+            elif current:  # the first upsert deals the whole table
+                target = self.read(table)
+            rows = self._merged(target, staged, keys) if target is not None else staged
+            dealt = rows.withColumn(by, value) if by == _BUCKET else rows
+            _, new = self._write(table, dealt.hint("rebalance", by), by)
+            self._publish(table, by, {**parts, **new})
+            return merged
+        finally:
+            self._remove(path)
+
+    @staticmethod
+    def _folder(by: str, value) -> str:
+        return f"{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
