@@ -8,10 +8,11 @@ document) is removed wherever it recurs. Strings are judged on the input; overla
    contexts of equal grams need comparing. Contexts travel as two hashes, packed by block of the gram's hash.
 2. In a block, a context that equals an earlier one is removed whole. Of grams with different contexts, one
    context of each kind is fetched from its text.
-3. Those contexts, a small and repetitive rest of the corpus, are halved by document order over and over. Each
-   time, the grams found on both sides take part: a run-compressed Burrows-Wheeler transform with sampled run
-   ends is built over the earlier contexts, matching statistics of the later ones are streamed against it,
-   and every start with a match of ``length`` bytes is marked.
+3. Those contexts, a small and repetitive rest of the corpus, are cut into quarters by the reach of their windows
+   to the left, and quarters without a counterpart, or with an equal one, are settled. The others are compared in rounds
+   that double the blocks of document order. Each time, a run-compressed Burrows-Wheeler transform with sampled run ends is built over the
+   earlier block of every pair, matching statistics of the later ones are streamed against it, and every
+   start with a match of ``length`` bytes is marked.
 4. Grams with more than CROWDED different contexts, as at the edges of a passage that very many documents
    share, are compared window by window instead: their windows' hashes are dealt out on their own.
 
@@ -43,6 +44,8 @@ CHUNK = 1 << 20
 BLOCK_BYTES = 16 << 20
 #: A gram with more different contexts than this is compared window by window.
 CROWDED = 512
+#: Pieces that share an index.
+RUN = 10_000
 _PACKED = "block int, crowded boolean, key binary, context binary, owner binary, first binary, more binary, ids binary, bytes binary, sure_owner binary, sure_first binary, sure_more binary, sure_ids binary"
 
 
@@ -185,36 +188,37 @@ def _compare_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def repeated_starts(keys: np.ndarray, pieces: list[np.ndarray], length: int = LENGTH) -> list[np.ndarray]:
-    """Starts in each piece whose window also occurs in an earlier piece of the same key. Pieces are in document order."""
+    """Starts in each piece whose window also occurs in an earlier piece of the same key. Pieces are in document order.
+
+    Round r pairs the blocks of 2**r pieces of each key: the left block of each pair is indexed, the right one is
+    streamed. All keys and pairs share one index; a pair has symbols of its own, so that only its two blocks match.
+    """
     marked = [np.zeros(max(len(p) - length + 1, 0), bool) for p in pieces]
-    ranges = [(0, len(pieces))]
-    while ranges:
-        lo, hi = ranges.pop()
-        if hi - lo < 2:
+    _, kind, copies = np.unique(keys, return_inverse=True, return_counts=True)
+    order = np.argsort(kind, kind="stable")
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys)) - np.repeat(np.cumsum(copies) - copies, copies)
+    copies = copies[kind]
+    for r in range(int(copies.max(initial=1) - 1).bit_length()):
+        block, pair = rank >> r, rank >> (r + 1)
+        later = [k for k in np.flatnonzero(block & 1) if not marked[k].all()]
+        if not later:
             continue
-        middle = (lo + hi) // 2
-        shared = np.intersect1d(keys[lo:middle], keys[middle:hi])
-        if len(shared):
-            earlier = [k for k in np.flatnonzero(np.isin(keys[lo:middle], shared)) + lo]
-            later = [k for k in np.flatnonzero(np.isin(keys[middle:hi], shared)) + middle if not marked[k].all()]
-            if later:
-                index = RunLengthIndex([pieces[k] for k in earlier])
-                for k, statistics in zip(later, index.matching_statistics([pieces[k] for k in later])):
-                    marked[k] |= statistics[: len(marked[k])] >= length
-        # only keys that still have two pieces on a side go deeper
-        for a, b in ((lo, middle), (middle, hi)):
-            if len(np.unique(keys[a:b])) < b - a:
-                ranges.append((a, b))
+        earlier = np.flatnonzero((block & 1 == 0) & (((block + 1) << r) < copies))
+        symbols = lambda k: pieces[k].astype(np.int64) + (1 + (int(pair[k]) << 8))
+        index = RunLengthIndex([symbols(k) for k in earlier])
+        for k, statistics in zip(later, index.matching_statistics([symbols(k) for k in later])):
+            marked[k] |= statistics[: len(marked[k])] >= length
     return [np.flatnonzero(m) for m in marked]
 
 
 def _groups_in_order(keys: np.ndarray) -> list[np.ndarray]:
-    """Keys dealt into runs of about 2,000 pieces with whole keys, so that an index stays small."""
+    """Keys dealt into runs of about RUN pieces with whole keys, so that an index stays small."""
     order = np.argsort(keys, kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
     runs, begin = [], 0
     for edge in [*edges[1:], len(keys)]:
-        if edge - begin >= 2000:
+        if edge - begin >= RUN:
             runs.append(np.sort(order[begin:edge]))
             begin = edge
     if begin < len(keys):
@@ -229,14 +233,31 @@ def _runs_of(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, last - first
 
 
-def _compare_texts(length: int):
+def _quarters(first, more, anchor, bounds, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The windows of each piece by how far they reach left of the gram: (piece, first, further, from, to).
+
+    All windows of a quarter hold the bytes from .. to of the packed pieces, so pieces that differ there need no comparing.
+    """
+    reach, width = length - gram, -(-(length - gram + 1) // 4)
+    out = []
+    for q in range(4):
+        low, high = np.maximum(q * width, anchor - more), np.minimum(min((q + 1) * width - 1, reach), anchor)
+        piece = np.flatnonzero(low <= high)
+        core = bounds[piece] + anchor[piece] - q * width
+        out.append((piece, (first + anchor - high)[piece], (high - low)[piece], core, core + length - width + 1))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _compare_texts(length: int, gram: int):
+    """Step 3, and step 4 for crowded grams."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in batch.to_pylist()]
         for crowded in (False, True):
             some = [r for r in rows if r["crowded"] == crowded]
             if not some:
                 continue
-            ids, first, more, key, _, _, s_ids, s_first, s_more = _unpack(some)
+            ids, first, more, key, context, _, s_ids, s_first, s_more = _unpack(some)
             yield _found(s_ids, s_first, s_more)
             if crowded:  # single windows: key is the window's hash
                 order = np.lexsort((first, ids, key))
@@ -245,13 +266,24 @@ def _compare_texts(length: int):
                 continue
             texts = np.frombuffer(b"".join(r["bytes"] for r in some), np.uint8)
             bounds = np.concatenate([[0], np.cumsum(more + length)])
-            order = np.lexsort((first, ids))
-            for run in _groups_in_order(key[order]):
-                own = order[run]
-                for k, starts in zip(own, repeated_starts(key[own], [texts[bounds[x] : bounds[x + 1]] for x in own], length)):
-                    if len(starts):
-                        at, further = _runs_of(starts)
-                        yield _found(np.full(len(at), ids[k]), at + first[k], further)
+            piece, start, further, low, high = _quarters(first, more, context.astype(np.int64), bounds, length, gram)
+            sums = prefix_hashes(texts)
+            group = mixed(key[piece] ^ substring_hashes(sums, low, high))
+            begin = bounds[piece] + start - first[piece]
+            end = begin + further + length
+            order = np.lexsort((start, ids[piece]))
+            piece, start, further, group, begin, end = (x[order] for x in (piece, start, further, group, begin, end))
+            again = _not_first(substring_hashes(sums, begin, end), group)
+            yield _found(ids[piece[again]], start[again], further[again])
+            piece, start, group, begin, end = (x[~again] for x in (piece, start, group, begin, end))
+            _, kind, copies = np.unique(group, return_inverse=True, return_counts=True)
+            several = copies[kind] > 1
+            piece, start, group, begin, end = (x[several] for x in (piece, start, group, begin, end))
+            for run in _groups_in_order(group):
+                for k, marked in zip(run, repeated_starts(group[run], [texts[begin[x] : end[x]] for x in run], length)):
+                    if len(marked):
+                        at, more_at = _runs_of(marked)
+                        yield _found(np.full(len(at), ids[piece[k]]), at + start[k], more_at)
 
     return compare
 
@@ -269,7 +301,7 @@ def _squeezed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(squeeze, "id long, z binary")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Rows (id, first, more): the window starts first .. first + more of text ``id`` are repeats. ``docs`` is (id, text)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = int(size // BLOCK_BYTES) + 1
@@ -278,7 +310,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = packed(batch.column(1))
-            row, first, more, key, context = contexts(data, offsets, length)
+            row, first, more, key, context = contexts(data, offsets, length, gram)
             by_doc = np.lexsort((first, ids[row]))
             for r in _pack(n_blocks, ids, *(x[by_doc] for x in (row, first, more, key, context))):
                 yield _batch([r])
@@ -293,23 +325,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         codec = zstandard.ZstdDecompressor()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            plain: list[list] = [[], [], [], [], []]  # owner, first, more, key, bytes
+            plain: list[list] = [[], [], [], [], []]  # owner, first, more, key, place of the gram from first on
+            pieces: list[bytes] = []
             single: list[list] = [[], [], []]  # owner, start, hash
             for k, (z, of) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 text = codec.decompress(z)
                 crowd = sorted((c["first"], c["more"]) for c in of if c["crowded"])
-                for c in sorted((c for c in of if not c["crowded"]), key=lambda c: c["first"]):
-                    for column, value in zip(plain, (k, c["first"], c["more"], c["key"], text[c["first"] : c["first"] + c["more"] + length])):
+                sums = prefix_hashes(np.frombuffer(text, np.uint8))
+                some = sorted((c["first"], c["more"], c["key"]) for c in of if not c["crowded"])
+                if some:
+                    first, more, key = np.array(some, np.int64).T
+                    at = first[:, None] + np.arange(length - gram + 1)
+                    at = np.minimum(at, len(text) - gram)
+                    anchor = (substring_hashes(sums, at, at + gram) == key.view(np.uint64)[:, None]).argmax(axis=1)
+                    for column, value in zip(plain, (np.full(len(some), k), first, more, key, anchor)):
                         column.append(value)
+                    pieces += [text[a : a + m + length] for a, m in zip(first, more)]
                 if crowd:
-                    sums = prefix_hashes(np.frombuffer(text, np.uint8))
                     starts = np.concatenate([np.arange(f, f + m + 1) for f, m in crowd])
                     for column, value in zip(single, (np.full(len(starts), k), starts, substring_hashes(sums, starts, starts + length))):
                         column.append(value)
             if plain[0]:
-                owner, first, more = (np.array(c, np.int64) for c in plain[:3])
-                key = np.array(plain[3], np.int64).view(np.uint64)
-                for r in _pack(n_blocks, ids, owner, first, more, mixed(key), np.zeros(len(key), np.uint64), plain[4]):
+                owner, first, more, key, anchor = (np.concatenate(c) for c in plain)
+                for r in _pack(n_blocks, ids, owner, first, more, mixed(key.view(np.uint64)), anchor.astype(np.uint64), pieces):
                     yield _batch([r])
             if single[0]:
                 owner, first, key = (np.concatenate(c) for c in single)
@@ -317,7 +355,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 for r in _pack(n_blocks, ids, owner[by_doc], first[by_doc], np.zeros(len(owner), np.int64), key[by_doc], np.zeros(len(owner), np.uint64), crowded=True):
                     yield _batch([r])
 
-    compared = fetched.mapInArrow(fetch, _PACKED).repartition(n_blocks, "block").mapInArrow(_compare_texts(length), _FOUND)
+    compared = fetched.mapInArrow(fetch, _PACKED).repartition(n_blocks, "block").mapInArrow(_compare_texts(length, gram), _FOUND)
     compared = stored(compared, "matches")
     return found.where("key is null").unionByName(compared).select("id", "first", "more")
 
