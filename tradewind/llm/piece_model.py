@@ -10,7 +10,7 @@ import re
 
 import numpy as np
 
-from tradewind.llm.common import prefix_hashes, substring_hashes
+from tradewind.llm.common import powers, prefix_hashes
 
 META = "▁".encode()
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -51,15 +51,18 @@ class PieceModel:
         self.lengths = np.array(sorted({len(e) for e in encoded}), np.int64)
         flat = np.frombuffer(b"".join(encoded), np.uint8)
         ends = np.cumsum([len(e) for e in encoded])
-        hashes = substring_hashes(prefix_hashes(flat), np.concatenate([[0], ends[:-1]]), ends)
+        begins = np.concatenate([[0], ends[:-1]])
+        sums = prefix_hashes(flat)
+        hashes = (sums[ends] - sums[begins]) * powers(len(sums))[1][begins]
         order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], ids[order]
+        self.hashes, self.ids = hashes[order], ids[order].astype(np.int32)
         # most strings are no piece: a table of the hashes' low bits tells
         self.known = np.zeros(1 << 20, bool)
         self.known[(hashes & np.uint64(len(self.known) - 1)).astype(np.int64)] = True
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(which of the hashed strings are pieces, their ids)"""
+    def find(self, sums: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the strings of ``size`` bytes from ``starts`` on are pieces, their ids), by sums of prefix_hashes"""
+        hashes = (sums[starts + size] - sums[starts]) * powers(len(sums))[1][starts]
         maybe = np.flatnonzero(self.known[(hashes & np.uint64(len(self.known) - 1)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
         hit = self.hashes[at] == hashes[maybe]

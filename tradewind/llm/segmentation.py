@@ -23,59 +23,77 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import mixed, prefix_hashes, substring_hashes
+from tradewind.llm.common import mixed, prefix_hashes
 from tradewind.llm.piece_model import META, PieceModel
 
 K = 2
 UNIT_BYTES = 40
-CHUNK = 1_000_000
+CHUNK = 3_000_000
 #: Siblings of nodes below this log-probability are looked at only if none above arrives early enough.
-_DEEP = -60.0
+_DEEP = -42.0
 #: No exponential number drawn is below this logarithm.
 _LEAST = -37.5
-_UNIT = regex.compile(" *[^ ]+| +$")
+GOES_ON = "\ue000"
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
 def units_of(text: str) -> list[str]:
-    """The text, with one blank in front, cut before every run of blanks; long units are cut again."""
-    out = _UNIT.findall(" " + text)
-    if max(map(len, out)) * 3 <= UNIT_BYTES:
+    """The text, with one blank in front, cut before every run of blanks; long units are cut again.
+
+    The first blank of a unit is left out; a unit that goes on after a cut starts with GOES_ON.
+    """
+    out = text.split(" ")
+    if "" in out:
+        runs, blanks = [], 0
+        for word in out:
+            if word:
+                runs.append(" " * blanks + word)
+                blanks = 0
+            else:
+                blanks += 1
+        out = [*runs, " " * (blanks - 1)] if blanks else runs
+    short = (UNIT_BYTES - 3) // 3
+    if all(len(u.encode()) + 2 * u.count(" ") + 3 <= UNIT_BYTES for u in out if len(u) > short):
         return out
     cut = []
     for unit in out:
-        if len(unit) * 4 <= UNIT_BYTES or len(unit.encode().replace(b" ", META)) <= UNIT_BYTES:
+        if len(unit.encode().replace(b" ", META)) + 3 <= UNIT_BYTES:
             cut.append(unit)
             continue
-        part, size = [], 0
+        part, size = [], 3
         for c in unit:
             width = len(c.encode().replace(b" ", META))
             if size + width > UNIT_BYTES:
                 cut.append("".join(part))
-                part, size = [], 0
+                part, size = [GOES_ON], 0
             part.append(c)
             size += width
         cut.append("".join(part))
     return cut
 
 
+def _encoded(units: list[str]) -> list[bytes]:
+    """The units as bytes, with their first blank, a literal U+2581 marked, and blanks as pieces write them."""
+    joined = "\0".join(units)
+    if "\0" in "".join(units) or GOES_ON in joined:
+        return [(u[1:] if u[:1] == GOES_ON else " " + u).encode().replace(META, _SPELLED).replace(b" ", META) for u in units]
+    raw = joined.encode().replace(META, _SPELLED).replace(b" ", META)
+    return [META + u for u in raw.split(b"\0")]
+
+
 class Lattices:
     """Lattices of distinct units. Node ``start[u] + p`` stands before byte p; edges first[node] .. first[node + 1] are pieces."""
 
     def __init__(self, units: list[str], model: PieceModel):
-        raw = "\n\n".join(units).encode()
-        if META in raw:
-            encoded = [u.encode().replace(META, _SPELLED).replace(b" ", META) for u in units]
-        else:
-            encoded = [u.encode().replace(b" ", META) for u in units]
+        encoded = _encoded(units)
         width = np.fromiter(map(len, encoded), np.int64, len(encoded))
         self.start = np.concatenate([[0], np.cumsum(width + 1)])
         n = int(self.start[-1])
@@ -83,30 +101,37 @@ class Lattices:
         flat = np.frombuffer(joined, np.uint8)
         original = np.frombuffer(joined.replace(_SPELLED, META), np.uint8)
         sums = prefix_hashes(flat)
-        left = np.repeat(self.start[1:] - 1, width + 1) - np.arange(n)
+        left = (np.repeat(self.start[1:] - 1, width + 1) - np.arange(n)).astype(np.uint8)
         self.last = left == 0
-        nodes, pieces, sizes = [], [], []
-        at = np.flatnonzero(left)
-        found = np.zeros(n, bool)
+        nodes, pieces, sizes, slots = [], [], [], []
+        count = np.zeros(n, np.int32)
+
+        def add(at: np.ndarray, ids: np.ndarray, size: int) -> None:
+            nodes.append(at), pieces.append(ids), sizes.append(np.full(len(at), size, np.int32)), slots.append(count[at])
+            count[at] += 1
+
+        at = np.flatnonzero(left).astype(np.int32)
         for size in model.lengths:
             at = at[left[at] >= size]
             if len(at) == 0:
                 break
-            hit, ids = model.find(substring_hashes(sums, at, at + size))
-            nodes.append(at[hit]), pieces.append(ids), sizes.append(np.full(len(hit), size))
-            found[at[hit]] = True
-        bare = np.flatnonzero(~found & ~self.last)  # spelled out byte by byte
-        nodes.append(bare), pieces.append(model.byte_ids[original[bare]]), sizes.append(np.ones(len(bare), np.int64))
-        node, piece, size = np.concatenate(nodes), np.concatenate(pieces), np.concatenate(sizes)
-        order = np.argsort(node, kind="stable")
-        node, self.piece, self.size = node[order], piece[order], size[order]
-        self.target = node + self.size
-        self.first = np.searchsorted(node, np.arange(n + 1))
+            hit, ids = model.find(sums, at, size)
+            add(at[hit], ids, size)
+        bare = np.flatnonzero((count == 0) & ~self.last)  # spelled out byte by byte
+        add(bare, model.byte_ids[original[bare]], 1)
+        self.first = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+        node, slot = np.concatenate(nodes), np.concatenate(slots)
+        place = self.first[node] + slot
+        order = np.empty(len(place), np.int32)
+        order[place] = np.arange(len(place), dtype=np.int32)
+        node, slot, self.piece, size = node[order], slot[order], np.concatenate(pieces)[order], np.concatenate(sizes)[order]
+        self.target = node + size
         # probabilities of all ways to finish, from the units' ends backwards
         finish = self.last.astype(np.float64)
         p = model.probability[self.piece]
-        by_left = np.argsort(left[node], kind="stable")
-        edges = np.searchsorted(left[node][by_left], np.arange(int(left.max(initial=0)) + 2))
+        of_edge = left[node]
+        by_left = np.argsort(of_edge, kind="stable")
+        edges = np.concatenate([[0], np.cumsum(np.bincount(of_edge, minlength=int(left.max(initial=0)) + 1))])
         for d in range(1, len(edges) - 1):
             own = by_left[edges[d] : edges[d + 1]]
             if len(own):
@@ -117,7 +142,6 @@ class Lattices:
         share = p / finish[node]
         with np.errstate(divide="ignore"):
             self.log_share = np.log(share)
-        slot = np.arange(len(node)) - self.first[node]
         self.upto = np.full((n, int(slot.max(initial=0)) + 1), 2.0)  # running shares of each node's edges
         running = np.cumsum(share)
         before = np.concatenate([[0.0], running])[self.first[node]]
@@ -183,8 +207,8 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
     """For each text up to k of (piece ids, log-probability, log inclusion score), in the order they were drawn."""
     per_text = [units_of(t) for t in texts]
     sizes = np.array([len(u) for u in per_text], np.int64)
-    numbers: dict[str, int] = {}
-    unit = np.fromiter((numbers.setdefault(u, len(numbers)) for us in per_text for u in us), np.int64, int(sizes.sum()))
+    numbers = {u: k for k, u in enumerate(dict.fromkeys(chain.from_iterable(per_text)))}
+    unit = np.fromiter(map(numbers.__getitem__, chain.from_iterable(per_text)), np.int64, int(sizes.sum()))
     lattices = Lattices(list(numbers), model)
     node_of = np.repeat(np.arange(len(lattices.first) - 1), np.diff(lattices.first))
     log_finish = np.log(lattices.finish[lattices.start[:-1]])
@@ -194,7 +218,7 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
     start = lattices.start[unit]
     log_z = np.add.reduceat(log_finish[unit], bounds[:-1]) if len(texts) else np.zeros(0)
 
-    keys = mixed(seeds)
+    keys = mixed(seeds + _A)
     edges, at = walk(lattices, start, keys[text_of] + place * _B)
     paths = [[edges[at[bounds[i]] : at[bounds[i + 1]]]] for i in range(len(texts))]
     times = np.log(-np.log(_uniform(keys ^ _C)))
@@ -203,7 +227,7 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
 
     def opened(i: int, path: int, begin: int, before: float, log_time: float) -> list[tuple]:
         arrival, where, edge = _siblings(lattices, node_of, paths[i][path], begin, before, log_time, _later(keys[i], path, _A))
-        few = np.argsort(arrival, kind="stable")[: 2 * k + 2]
+        few = np.argpartition(arrival, 2 * k + 1)[: 2 * k + 2] if len(arrival) > 2 * k + 2 else range(len(arrival))
         return [(float(arrival[x]), path, int(where[x]), int(edge[x])) for x in few]
 
     for i in range(len(texts)):
