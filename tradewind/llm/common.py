@@ -63,6 +63,13 @@ def chunks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what a task derives from one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (splitmix)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import chunks, mixed, packed, prefix_hashes, stored, substring_hashes
+from tradewind.llm.common import chunks, mixed, packed, prefix_hashes, sliced, stored, substring_hashes
 from tradewind.llm.run_length_index import RunLengthIndex
 
 LENGTH = 100
@@ -45,7 +45,7 @@ BLOCK_BYTES = 16 << 20
 #: A gram with more different contexts than this is compared window by window.
 CROWDED = 512
 #: Pieces that share an index.
-RUN = 10_000
+RUN = 4_000
 _PACKED = "block int, crowded boolean, key binary, context binary, owner binary, first binary, more binary, ids binary, bytes binary, sure_owner binary, sure_first binary, sure_more binary, sure_ids binary"
 
 
@@ -293,7 +293,7 @@ def _squeezed(docs: DataFrame) -> DataFrame:
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             data, offsets = packed(batch.column(1))
             z = [codec.compress(data[offsets[k] : offsets[k + 1]].tobytes()) for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], ["id", "z"])
@@ -307,7 +307,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     n_blocks = int(size // BLOCK_BYTES) + 1
 
     def hash_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4000):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = packed(batch.column(1))
             row, first, more, key, context = contexts(data, offsets, length, gram)
@@ -323,7 +323,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in sliced(batches, 1000):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             plain: list[list] = [[], [], [], [], []]  # owner, first, more, key, place of the gram from first on
             pieces: list[bytes] = []
@@ -372,7 +372,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in sliced(batches, 1000):
             out = []
             for z, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 text, n_spans = codec.decompress(z), 0
