@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import mixed, prefix_hashes
+from tradewind.llm.common import mixed, prefix_hashes, sliced
 from tradewind.llm.piece_model import META, PieceModel
 
 K = 2
 UNIT_BYTES = 40
-CHUNK = 3_000_000
+CHUNK = 2_000_000
 #: Siblings of nodes below this log-probability are looked at only if none above arrives early enough.
 _DEEP = -42.0
 #: No exponential number drawn is below this logarithm.
@@ -291,7 +291,7 @@ def encode(docs: DataFrame, vocabulary: str, k: int = K, seed: int = 7, id_col:
     )
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2500):
             texts = batch.column(1).to_pylist()
             seeds = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
             for a, b in _chunks(texts):
