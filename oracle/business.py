@@ -13,7 +13,9 @@ _month = "order_date_key // 100"
 B["me01_sales_growth"] = f"""
 SELECT month, revenue, lag(revenue) OVER (ORDER BY month) AS prior_revenue,
        {rate('revenue - lag(revenue) OVER (ORDER BY month)', 'lag(revenue) OVER (ORDER BY month)', '100')} AS growth_rate
-FROM (SELECT {_month} AS month, sum(total_amount) AS revenue FROM fact_order GROUP BY 1) AS m"""
+FROM (SELECT c.month, coalesce(r, 0) AS revenue FROM (SELECT DISTINCT date_key // 100 AS month FROM dim_date) AS c
+      LEFT JOIN (SELECT {_month} AS month, sum(total_amount) AS r FROM fact_order GROUP BY 1) AS s ON s.month = c.month
+      WHERE c.month BETWEEN (SELECT min({_month}) FROM fact_order) AND (SELECT max({_month}) FROM fact_order)) AS m"""
 _cm = f"""(SELECT customer_key AS c, {_month} AS month, sum(total_amount) AS revenue FROM fact_order WHERE customer_key > 0 GROUP BY ALL)"""
 _cm_index = f"""(SELECT c, month, (month // 100) * 12 + month % 100 AS ix, min(month) OVER (PARTITION BY c) AS first_month FROM {_cm} AS q)"""
 B["me02_retention_churn"] = f"""
@@ -46,7 +48,7 @@ WHERE f.product_key > 0 GROUP BY 1"""
 B["me08_sell_through"] = f"""
 SELECT h.product_key, opening AS opening_units, coalesce(sold, 0) AS units_sold, {rate('coalesce(sold, 0)', 'opening', '100')} AS sell_through_rate
 FROM (SELECT product_key, sum(coalesce(on_hand_quantity, 0)) AS opening FROM fact_inventory_snapshot
-      WHERE product_key > 0 AND snapshot_date = DATE '2001-11-30' GROUP BY 1) AS h
+      WHERE product_key > 0 AND snapshot_date = DATE '2001-01-01' GROUP BY 1) AS h
 LEFT JOIN (SELECT product_key, sum(quantity_ordered) AS sold FROM fact_order_line_item WHERE order_date_key // 10000 = 2001 GROUP BY 1) AS s
   ON s.product_key = h.product_key"""
 _mean = "(SELECT CAST(sum(inventory_cost_value) AS DOUBLE) / count(DISTINCT snapshot_date) FROM fact_inventory_snapshot)"
@@ -77,17 +79,23 @@ B["me15_order_return_rates"] = f"""
 SELECT count(*) AS orders, {_refunded} AS refunded_orders, {_returned} AS returned_orders, {rate(_refunded, 'count(*)', '100')} AS refund_rate,
        {rate(_returned, 'count(*)', '100')} AS return_rate FROM fact_order"""
 B["me15_tax_by_region"] = "SELECT shipping_country, sum(tax_amount) AS tax_collected, count(*) AS orders FROM fact_order GROUP BY 1"
+_site = {
+    "landing": r"nullif(regexp_extract(landing_site, '^(https?://[^/?#]*)?([^?#]*)', 2), '')",
+    "referring": "nullif(regexp_extract(referring_site, '^https?://([^/?#]+)', 1), '')",
+}
 for _column in ("landing", "referring"):
     B[f"me16_revenue_by_{_column}_site"] = f"""
-SELECT coalesce({_column}_site, '(direct)') AS site, count(*) AS orders, sum(total_amount) AS revenue FROM fact_order GROUP BY 1"""
+SELECT coalesce({_site[_column]}, '(direct)') AS site, count(*) AS orders, sum(total_amount) AS revenue FROM fact_order GROUP BY 1"""
 B["me17_recovered_checkouts"] = f"""
 SELECT count(*) FILTER (event_type = 'purchase') AS recovered, count(*) FILTER (event_type = 'click') AS abandoned,
        {rate("count(*) FILTER (event_type = 'purchase')", "count(*) FILTER (event_type = 'click')", '100')} AS recovery_rate FROM events"""
-_gp = "sum(net_amount) - sum(quantity_ordered * unit_cost)"
-_cp = f"{_gp} - (SELECT coalesce(sum(refund_amount), 0) FROM fact_order)"
 B["me18_profit"] = f"""
-SELECT sum(net_amount) AS revenue, sum(quantity_ordered * unit_cost) AS cogs, {_gp} AS gross_profit, {rate(_gp, 'sum(net_amount)', '100')} AS gross_margin_percent,
-       {_cp} AS contribution, {rate(_cp, 'sum(net_amount)', '100')} AS contribution_margin_percent FROM fact_order_line_item"""
+SELECT *, revenue - coalesce(cogs, 0) AS gross_profit, {rate('revenue - coalesce(cogs, 0)', 'revenue', '100')} AS gross_margin_percent,
+       revenue - coalesce(cogs, 0) - refunds AS contribution, {rate('revenue - coalesce(cogs, 0) - refunds', 'revenue', '100')} AS contribution_margin_percent
+FROM (SELECT product_key, {_month} AS month, sum(net_amount) AS revenue, sum(quantity_ordered * unit_cost) AS cogs, coalesce(sum(back), 0) AS refunds
+      FROM fact_order_line_item f
+      LEFT JOIN (SELECT regexp_extract(line_item_id, '[0-9]+$') AS lid, sum(subtotal_amount) AS back FROM stg_refund_line_items GROUP BY 1) AS r
+        ON lid = f.line_item_id GROUP BY ALL) AS p"""
 B["me19_rfm_segments"] = f"""
 SELECT rfm_segment, count(*) AS customer_count, sum(lifetime_revenue) AS total_revenue,
        {rate('sum(CAST(average_order_value AS DECIMAL(18,2)))', 'count(average_order_value)')} AS avg_aov,
@@ -134,8 +142,9 @@ B["cf06_regions"] = """
 SELECT CASE WHEN shipping_country_code = 'ZA' THEN 'South Africa' WHEN shipping_country_code IN ('NA', 'BW', 'ZW', 'MZ') THEN 'Africa (Other)'
             ELSE 'International' END AS region, count(*) AS orders, sum(total_amount) AS revenue FROM fact_order GROUP BY 1"""
 B["cf07_option_aliases"] = "SELECT id, option1 AS size, option2 AS color, option3 AS material FROM stg_product_variants"
-B["cf08_fiscal_calendar"] = """
-SELECT date_key, year(full_date - INTERVAL 2 MONTH) AS fiscal_year, quarter(full_date - INTERVAL 2 MONTH) AS fiscal_quarter FROM dim_date"""
+B["cf08_fiscal_quarters"] = """
+SELECT year(full_date - INTERVAL 2 MONTH) AS fiscal_year, quarter(full_date - INTERVAL 2 MONTH) AS fiscal_quarter, count(*) AS orders,
+       sum(total_amount) AS revenue FROM fact_order JOIN dim_date ON date_key = order_date_key GROUP BY ALL"""
 B["cf09_categories"] = """
 SELECT CASE WHEN product_type IN ('ECONOMY', 'SMALL', 'PROMO') THEN 'Value' WHEN product_type IN ('STANDARD', 'MEDIUM', 'LARGE') THEN 'Core'
             ELSE 'Other' END AS category, sum(net_amount) AS revenue, sum(quantity_ordered) AS units FROM fact_order_line_item GROUP BY 1"""
@@ -173,8 +182,13 @@ B["vc12_order_payment_split"] = "SELECT * FROM payment_split"
 B["vc13_commission_rates"] = "SELECT * FROM ref_commission_rate"
 B["vc13_rate_history"] = """
 SELECT channel_key, rate_type, rate_value, effective_from,
-       CASE WHEN effective_to IS NULL AND channel_key % 2 = 0 THEN DATE '2001-01-01' ELSE effective_to END AS effective_to FROM ref_commission_rate
-UNION ALL SELECT channel_key, 'commission', 0.3, DATE '2001-01-01', NULL FROM dim_channel WHERE channel_key > 0 AND channel_key % 2 = 0"""
+       nullif(least(coalesce(until, DATE '9999-12-31'),
+                    coalesce(lead(effective_from) OVER (PARTITION BY channel_key, rate_type ORDER BY effective_from), DATE '9999-12-31')), DATE '9999-12-31') AS effective_to
+FROM (SELECT *, lag(rate_value) OVER (PARTITION BY channel_key, rate_type ORDER BY effective_from) AS before FROM (
+  SELECT channel_key, rate_type, rate_value, effective_from, effective_to AS until FROM ref_commission_rate
+  UNION ALL SELECT channel_key, 'commission', 0.3, CASE WHEN channel_key % 4 = 0 THEN DATE '1995-06-01' ELSE DATE '2001-01-01' END, NULL
+  FROM dim_channel WHERE channel_key > 0 AND channel_key % 2 = 0) AS u) AS h
+WHERE before IS NULL OR before <> rate_value"""
 B["vc14_provisional_billing"] = f"""
 SELECT *, {rate('redeemed_vouchers', 'quantity', '100')} AS redemption_rate, sales_revenue - provisional_billing AS margin
 FROM (SELECT l.channel_name, count(*) AS quantity, count(*) FILTER (is_redeemed) AS redeemed_vouchers, sum(face_value) AS voucher_base,
@@ -241,7 +255,7 @@ SELECT segment_id, 'Original order: "' || substr(segment_id, 2) || '"' || chr(10
 B["rp01_order_comparison"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, f.total_amount AS left_value, CAST(o_totalprice AS DECIMAL(18,2)) AS right_value,
        CASE WHEN f.order_id IS NULL THEN 'missing_left' ELSE 'different' END AS state
-FROM orders LEFT JOIN (SELECT * FROM fact_order WHERE order_date_key < 20010101) AS f ON f.order_id = CAST(o_orderkey AS VARCHAR)
+FROM orders LEFT JOIN fact_order AS f ON f.order_id = CAST(o_orderkey AS VARCHAR)
 WHERE f.order_id IS NULL OR f.total_amount <> CAST(o_totalprice AS DECIMAL(18,2))"""
 B["rp02_sku_presence"] = """
 SELECT coalesce(a.sku, b.sku) AS sku, CASE WHEN b.sku IS NULL THEN 'left' ELSE 'right' END AS present_in
@@ -268,8 +282,8 @@ _product_months = (
     + f", coalesce(sum(quantity_ordered) FILTER (order_date_key // 100 IN {_months}), 0) AS total_units "
     "FROM dim_product p LEFT JOIN fact_order_line_item f ON f.product_key = p.product_key WHERE p.product_key > 0 GROUP BY ALL"
 )
-B["rp08_popular_products"] = f"{_product_months} ORDER BY m200108 DESC, total_units DESC, p.product_key LIMIT 20"
-B["rp09_least_products"] = f"{_product_months} ORDER BY m200108, total_units, p.product_key LIMIT 20"
+B["rp08_popular_products"] = _product_months
+B["rp09_least_products"] = _product_months
 B["rp10_new_products"] = """
 SELECT product_created_date, product_status, count(*) AS variants, count(sku) AS skus FROM dim_product WHERE product_key > 0 GROUP BY ALL"""
 B["rp11_brand_channel_sales"] = """

@@ -119,7 +119,10 @@ BODIES["vf1_warehouse_counts"] = " UNION ALL ".join(
 )
 BODIES["vf2_generated_dimensions"] = """
 SELECT min(full_date) AS min_date, max(full_date) AS max_date, count(*) AS days, (SELECT count(*) FROM dim_time) AS time_rows,
-       (SELECT min(time_key) FROM dim_time) AS min_key, (SELECT max(time_key) FROM dim_time) AS max_key FROM dim_date"""
+       (SELECT min(time_key) FROM dim_time) AS min_key, (SELECT max(time_key) FROM dim_time) AS max_key,
+       (SELECT count(*) FROM fact_order WHERE order_date_key NOT IN (SELECT date_key FROM dim_date)) AS orders_outside FROM dim_date"""
+BODIES["dw01_dim_date"] = "SELECT * FROM dim_date WHERE date_key IN (SELECT order_date_key FROM fact_order)"
+BODIES["dw02_dim_time"] = "SELECT * FROM dim_time WHERE time_key IN (SELECT order_time_key FROM fact_order)"
 BODIES["vf3_members"] = """
 SELECT (SELECT count(*) FROM dim_product WHERE product_key = -1) AS unknown_product,
        (SELECT count(*) FROM dim_customer WHERE customer_key = -1) AS unknown_customer,
@@ -188,11 +191,18 @@ _scan = {
 for _name in QUERIES:
     if _name.startswith("fl"):
         _scan[_name] = f"stg_{_name[5:]}"
+    if _name.startswith("sc01_scan_") and _name not in _scan:
+        _scan[_name] = f"stg_{_name[10:]}"
 for _name, _table in _scan.items():
     BODIES[_name] = f"SELECT * FROM {_table}"
+BODIES["sc01_scan_customers"] = "SELECT *, home_zip AS home_postal_code FROM stg_customers"
+# order documents carry no site addresses
+for _name in ("fl01_orders", "in04_incremental_orders"):
+    BODIES[_name] = "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS landing_site, CAST(NULL AS VARCHAR) AS referring_site) FROM stg_orders"
 BODIES["fl11_customers"] = "SELECT *, home_zip AS home_postal_code FROM stg_customers"
 _absent = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("email", "phone"))
 BODIES["fl16_abandoned_checkouts"] = f"SELECT *, {_absent} FROM stg_abandoned_checkouts"
+BODIES["sc01_scan_abandoned_checkouts"] = BODIES["fl16_abandoned_checkouts"]
 BODIES["fl18_gift_cards"] = "SELECT *, CAST(NULL AS TIMESTAMP) AS disabled_at, CAST(NULL AS VARCHAR) AS note FROM stg_gift_cards"
 BODIES["fl17_discount_codes"] = "SELECT *, TIMESTAMP '1995-01-01' AS created_at FROM stg_discount_codes"
 BODIES["sc18_oversized_documents"] = """

@@ -130,7 +130,10 @@ SELECT {gid('Order', 'k')} AS id, CAST(k AS VARCHAR) AS o_num, '#' || k AS name,
        CASE WHEN k % 17 = 0 THEN 'Leave at "door", please' END AS note,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'web' WHEN '2-HIGH' THEN 'pos' WHEN '3-MEDIUM' THEN 'mobile'
             WHEN '5-LOW' THEN 'marketplace' END AS source_name,
-       CAST(NULL AS VARCHAR) AS landing_site, CAST(NULL AS VARCHAR) AS referring_site,
+       CASE WHEN k % 8 = 0 THEN NULL WHEN k % 8 < 3 THEN 'https://shop.example.com/products/p' || (k % 5) || '?ref=mail'
+            WHEN k % 8 < 6 THEN '/collections/c' || (k % 3) ELSE 'https://shop.example.com' END AS landing_site,
+       CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 < 3 THEN 'https://search' || (k % 2) || '.example.org/find?q=x'
+            ELSE 'https://news.example.net/story' END AS referring_site,
        CAST(NULL AS VARCHAR) AS checkout_id,
        {_address('ship', '29', 'city')},
        {_address('bill', '53', "CASE WHEN k % 6 = 0 THEN 'Billing ' || c_mktsegment ELSE city END")},
@@ -320,9 +323,9 @@ SELECT {gid('InventoryItem', 'p')} AS inventory_item_id,
        snapshot_date + INTERVAL 6 HOUR AS updated_at, snapshot_date, {EXTRACTED} AS extracted_at
 FROM (SELECT *, CASE n % 7 WHEN 1 THEN 0 WHEN 2 THEN 9 WHEN 3 THEN 10 WHEN 4 THEN 500 WHEN 5 THEN 501
                            WHEN 6 THEN p_size END AS stock,
-             CASE d WHEN 0 THEN DATE '2001-11-30' ELSE DATE '2001-12-31' END AS snapshot_date
+             CASE d WHEN -1 THEN DATE '2001-01-01' WHEN 0 THEN DATE '2001-11-30' ELSE DATE '2001-12-31' END AS snapshot_date
       FROM (SELECT p_partkey AS p, p_size, j, d, p_partkey + j + d AS n, (SELECT count(*) FROM supplier) AS depots
-            FROM part, (VALUES (0), (1)) AS js(j), (VALUES (0), (1)) AS ds(d)) AS grid) AS stocked
+            FROM part, (VALUES (0), (1)) AS js(j), (VALUES (-1), (0), (1)) AS ds(d)) AS grid) AS stocked
 """,
 )
 cte(

@@ -46,7 +46,7 @@ def test_skewed_pivot_and_counts(spark):
         F.col("id").cast("decimal(18,2)").alias("amount"),
         F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
     )
-    row = order_payments(hot).first()
+    row = order_payments(hot, 3).first()
     assert (row.total_payment_count, row.payment_1_gateway, row.payment_3_gateway) == (999, "g1", "g3")
 
 
@@ -116,3 +116,66 @@ def test_scans_push_filters(warehouse):
     assert "shipping_city" not in plan
     plan = checks.window_report(warehouse, date(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(order_date_key,20010602)" in plan
+
+
+def test_a_repeated_code_does_not_multiply(spark):
+    from tradewind.plans.facts import one_row_per_code
+
+    codes = spark.createDataFrame([("A", 2, 5), ("A", 1, 9), ("B", 3, 1), (None, 0, 0)], "discount_code string, discount_key int, usage_limit int")
+    assert sorted(map(tuple, one_row_per_code(codes).select("discount_code", "discount_key", "usage_limit").collect())) == [("A", 1, 9), ("B", 3, 1)]
+
+
+def test_backdated_rates_keep_intervals_apart(spark):
+    from tradewind.plans.vouchers import apply_rate_changes
+
+    kinds = "channel_key int, rate_type string, rate_value decimal(8,4), effective_from date"
+    current = spark.createDataFrame([(1, "c", None, None)], kinds).limit(0).unionByName(
+        spark.sql("select 1 channel_key, 'c' rate_type, 0.2BD rate_value, date'2000-01-01' effective_from")
+    ).withColumn("effective_to", F.lit(None).cast("date"))
+    changes = spark.sql(
+        "select 1 channel_key, 'c' rate_type, v rate_value, d effective_from from values (0.1BD, date'1999-01-01'), (0.3BD, date'2001-01-01'), (0.25BD, date'2001-01-01') t(v, d)"
+    )
+    once = apply_rate_changes(current, changes)
+    twice = apply_rate_changes(once, changes)
+    want = [("1999-01-01", "2000-01-01", 0.1), ("2000-01-01", "2001-01-01", 0.2), ("2001-01-01", "None", 0.3)]
+    for history in (once, twice):
+        assert sorted((str(r.effective_from), str(r.effective_to), float(r.rate_value)) for r in history.collect()) == want
+
+
+def test_growth_counts_empty_months(spark):
+    from tradewind.plans.metrics import sales_growth
+
+    orders = spark.createDataFrame([(20000105, 10), (20000310, 5)], "order_date_key int, total_amount int")
+    days = spark.createDataFrame([(k,) for k in (19991231, 20000101, 20000201, 20000301, 20000401)], "date_key int")
+    got = sorted((r.month, r.revenue, r.prior_revenue) for r in sales_growth({"fact_order": orders, "dim_date": days}).collect())
+    assert got == [(200001, 10, None), (200002, 0, 10), (200003, 5, 0)]
+
+
+def test_landing_paths_and_referring_hosts(spark):
+    from tradewind.plans.metrics import revenue_by_site
+
+    rows = [("https://a.example/products/x?y=1", 1), ("/products/x#top", 2), ("https://a.example", 4), (None, 8), ("/", 16)]
+    orders = spark.createDataFrame(rows, "site string, total_amount int")
+    assert {r.site: r.revenue for r in revenue_by_site(orders, "site", "PATH").collect()} == {"/products/x": 3, "(direct)": 12, "/": 16}
+    assert {r.site: r.revenue for r in revenue_by_site(orders, "site", "HOST").collect()} == {"a.example": 5, "(direct)": 26}
+
+
+def test_wider_pivots(monkeypatch):
+    from tradewind.sources import schemas
+
+    before = [n for n, _ in schemas.columns("fact_order")]
+    assert "payment_3_amount" in before and "payment_4_amount" not in before
+    monkeypatch.setattr(schemas, "PIVOT_WIDTHS", {"payments": 4, "taxes": 3, "discounts": 3})
+    after = [n for n, _ in schemas.columns("fact_order")]
+    assert [n for n in after if n in before] == before
+    assert set(after) - set(before) == {"payment_4_gateway", "payment_4_amount", "tax_3_name", "tax_3_rate", "tax_3_amount", "discount_3_code", "discount_3_type", "discount_3_amount"}
+
+
+def test_fact_order_with_wider_pivots(spark, warehouse, monkeypatch):
+    from tradewind.plans.facts import fact_order
+    from tradewind.sources import schemas
+
+    warehouse["fact_order"]
+    monkeypatch.setattr(schemas, "PIVOT_WIDTHS", {"payments": 4, "taxes": 3, "discounts": 3})
+    built = fact_order(warehouse.stg, warehouse, F.lit(None))
+    assert built.filter("payment_4_amount is not null").count() > 0 and built.filter("tax_3_amount is not null").count() > 0

@@ -48,7 +48,9 @@ def generated_dimensions(dwh: Tables) -> DataFrame:
             F.count(F.lit(1)).alias("time_rows"), F.min("time_key").alias("min_key"), F.max("time_key").alias("max_key")
         )
     )
-    return days.withColumn("t", hours.scalar()).select("min_date", "max_date", "days", "t.*")
+    known = dwh["dim_date"].select(F.col("date_key").alias("order_date_key"))
+    outside = dwh["fact_order"].select("order_date_key").join(F.broadcast(known), "order_date_key", "left_anti").agg(F.count(F.lit(1)))
+    return days.withColumn("t", hours.scalar()).select("min_date", "max_date", "days", "t.*", outside.scalar().alias("orders_outside"))
 
 
 def members(dwh: Tables) -> DataFrame:

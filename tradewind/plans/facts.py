@@ -26,6 +26,7 @@ from tradewind.functions.scalars import (
 from tradewind.operators.addresses import NO_ADDRESS, address_key, parse_addresses
 from tradewind.operators.relational import align, first_rows, join_packed, ordinal_pivot, spread_nulls
 from tradewind.operators.row_index import row_index
+from tradewind.sources import schemas
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,7 +35,6 @@ PAID_STATES = ("PAID", "PARTIALLY_REFUNDED")
 RESTOCKED = ("RETURN", "CANCEL")
 NOT_RESTOCKED = "NO_RESTOCK"
 APPLIED_VALUE_TYPES = {"Percentage": "percentage", "Money": "fixed"}
-PIVOT_WIDTHS = {"payments": 3, "taxes": 2, "discounts": 2}
 FULL_REFUND_PERCENT = 99
 LOW_STOCK, OVERSTOCK = 10, 500
 HEADER = (
@@ -46,7 +46,7 @@ _HOUR, _DAY = 3_600_000_000, 86_400_000_000
 
 
 # --- order header ---------------------------------------------------------------
-def order_payments(transactions: DataFrame, width: int = PIVOT_WIDTHS["payments"]) -> DataFrame:
+def order_payments(transactions: DataFrame, width: int) -> DataFrame:
     """Successful sales of an order: the first ``width`` as columns, and how many there were."""
     sales = transactions.filter((F.col("kind") == "SALE") & (F.col("status") == "SUCCESS")).select(
         id_digits(F.col("order_id")).alias("oid"), "created_at", "id", "gateway", "amount"
@@ -62,7 +62,7 @@ def order_payments(transactions: DataFrame, width: int = PIVOT_WIDTHS["payments"
     return totals.join(firsts, "oid", "left")
 
 
-def order_taxes(tax_lines: DataFrame, width: int = PIVOT_WIDTHS["taxes"]) -> DataFrame:
+def order_taxes(tax_lines: DataFrame, width: int) -> DataFrame:
     return ordinal_pivot(
         tax_lines.withColumn("oid", id_digits(F.col("order_id"))),
         "oid",
@@ -72,7 +72,7 @@ def order_taxes(tax_lines: DataFrame, width: int = PIVOT_WIDTHS["taxes"]) -> Dat
     )
 
 
-def order_discounts(applications: DataFrame, width: int = PIVOT_WIDTHS["discounts"]) -> DataFrame:
+def order_discounts(applications: DataFrame, width: int) -> DataFrame:
     return ordinal_pivot(
         applications.select(
             id_digits(F.col("order_id")).alias("oid"),
@@ -162,13 +162,22 @@ def order_geographies(orders: DataFrame, dim_geography: DataFrame) -> DataFrame:
     )
 
 
+def one_row_per_code(dim_discount: DataFrame) -> DataFrame:
+    """A code that the shop holds twice stands for its first row, so that it cannot multiply orders."""
+    coded = dim_discount.filter("discount_code is not null")
+    return coded.groupBy("discount_code").agg(
+        *[F.min_by(c, "discount_key").alias(c) for c in coded.columns if c not in ("discount_code", "discount_key")],
+        F.min("discount_key").alias("discount_key"),
+    )
+
+
 def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
     orders = stg["stg_orders"].withColumn("o_num", id_digits(F.col("id")))
     keyed = row_index(
         orders.select("created_at", "id", "o_num"), [F.col("created_at"), F.col("id")], "order_key"
     ).select(F.col("o_num").alias("oid"), "order_key")
-    codes = dims["dim_discount"].filter("discount_code is not null").select("discount_code", "discount_key")
-    discounts = order_discounts(stg["stg_order_discount_applications"]).withColumn(
+    codes = one_row_per_code(dims["dim_discount"]).select("discount_code", "discount_key")
+    discounts = order_discounts(stg["stg_order_discount_applications"], schemas.PIVOT_WIDTHS["discounts"]).withColumn(
         "lookup_code", spread_nulls(F.col("discount_1_code"), F.col("oid"))
     )
     discounts = discounts.join(codes, F.col("lookup_code") == F.col("discount_code"), "left").drop(
@@ -182,8 +191,8 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
             "k": keyed,
             "c": order_customers(orders, dims["dim_customer"]),
             "g": order_geographies(orders, dims["dim_geography"]),
-            "p": order_payments(stg["stg_order_transactions"]),
-            "t": order_taxes(stg["stg_order_tax_lines"]),
+            "p": order_payments(stg["stg_order_transactions"], schemas.PIVOT_WIDTHS["payments"]),
+            "t": order_taxes(stg["stg_order_tax_lines"], schemas.PIVOT_WIDTHS["taxes"]),
             "d": discounts,
             "s": order_shipping(stg["stg_order_shipping_lines"]),
             "l": order_lines(stg["stg_order_line_items"]),
@@ -217,10 +226,10 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
         F.col("total_refunded").alias("refund_amount"),
         (F.col("total_price") - zero(F.col("total_refunded"))).alias("net_amount"),
         "currency_code",
-        *[f"payment_{i}_{part}" for i in (1, 2, 3) for part in ("gateway", "amount")],
+        *[f"payment_{i + 1}_{part}" for i in range(schemas.PIVOT_WIDTHS["payments"]) for part in ("gateway", "amount")],
         zero(F.col("total_payment_count")).alias("total_payment_count"),
-        *[f"tax_{i}_{part}" for i in (1, 2) for part in ("name", "rate", "amount")],
-        *[f"discount_{i}_{part}" for i in (1, 2) for part in ("code", "type", "amount")],
+        *[f"tax_{i + 1}_{part}" for i in range(schemas.PIVOT_WIDTHS["taxes"]) for part in ("name", "rate", "amount")],
+        *[f"discount_{i + 1}_{part}" for i in range(schemas.PIVOT_WIDTHS["discounts"]) for part in ("code", "type", "amount")],
         zero(F.col("discount_key")).alias("primary_discount_key"),
         "shipping_method",
         "shipping_carrier",

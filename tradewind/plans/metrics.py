@@ -15,10 +15,6 @@ from tradewind.plans import views
 Tables = Mapping[str, DataFrame]
 
 
-def _previous_month(key: Column) -> Column:
-    return F.when(key % 100 == 1, key - 89).otherwise(key - 1)
-
-
 def _months_between(later: Column, earlier: Column) -> Column:
     """Whole months between two yyyymm keys."""
     return (F.floor(later / 100) - F.floor(earlier / 100)) * 12 + later % 100 - earlier % 100
@@ -29,13 +25,17 @@ def _order_month() -> Column:
 
 
 def sales_growth(dwh: Tables) -> DataFrame:
-    """Revenue of each month against the month of activity before it.
+    """Revenue of each calendar month, from the first to the last with orders, against the month before.
 
-    The window runs over one row per month, a frame bounded by the calendar.
+    A month without orders counts as 0. The window runs over one row per month, a frame bounded by the calendar.
     """
-    monthly = dwh["fact_order"].groupBy(_order_month().alias("month")).agg(F.sum("total_amount").alias("revenue"))
+    monthly = dwh["fact_order"].groupBy(_order_month().alias("sold_month")).agg(F.sum("total_amount").alias("revenue"))
+    ends = monthly.agg(F.struct(F.min("sold_month").alias("first"), F.max("sold_month").alias("last"))).scalar()
+    months = dwh["dim_date"].select(F.floor(F.col("date_key") / 100).alias("month")).distinct().withColumn("ends", ends)
+    months = months.filter(F.col("month").between(F.col("ends.first"), F.col("ends.last")))
+    filled = months.join(monthly, F.col("month") == F.col("sold_month"), "left").select("month", zero(F.col("revenue")).alias("revenue"))
     prior = F.lag("revenue").over(W.orderBy("month"))
-    return monthly.withColumn("prior_revenue", prior).withColumn(
+    return filled.withColumn("prior_revenue", prior).withColumn(
         "growth_rate", ratio(F.col("revenue") - F.col("prior_revenue"), F.col("prior_revenue"), 100)
     )
 
@@ -174,8 +174,9 @@ def product_return_rate(stg: Tables, dwh: Tables) -> DataFrame:
 
 
 def sell_through(dwh: Tables, start: date, end: date) -> DataFrame:
-    """Units sold in a period against the stock on the first snapshot day of the data."""
-    stock = dwh["fact_inventory_snapshot"].filter("product_key > 0")
+    """Units sold in a period against the stock on the first snapshot day inside it."""
+    within = F.col("snapshot_date").between(F.lit(start), F.lit(end))
+    stock = dwh["fact_inventory_snapshot"].filter("product_key > 0").filter(within)
     opening = stock.filter(F.col("snapshot_date") == stock.agg(F.min("snapshot_date")).scalar())
     held = opening.groupBy("product_key").agg(F.sum(zero(F.col("on_hand_quantity"))).alias("opening_units"))
     keys = [int(day.strftime("%Y%m%d")) for day in (start, end)]
@@ -300,10 +301,15 @@ def tax_by_region(dwh: Tables) -> DataFrame:
     )
 
 
-def revenue_by_site(orders: DataFrame, column: str) -> DataFrame:
-    """Revenue by host of a landing or referring address; text that is no address counts as direct."""
-    host = F.try_parse_url(F.col(column), F.lit("HOST"))
-    return orders.groupBy(F.coalesce(host, F.lit("(direct)")).alias("site")).agg(
+def revenue_by_site(orders: DataFrame, column: str, part: str) -> DataFrame:
+    """Revenue by the path of landing addresses or the host of referring ones.
+
+    A path without a host stands for itself; no address, and an address without that part, count as direct.
+    """
+    site = F.try_parse_url(F.col(column), F.lit(part))
+    if part == "PATH":
+        site = F.when(F.col(column).startswith("/"), F.regexp_extract(column, "^[^?#]*", 0)).otherwise(site)
+    return orders.groupBy(F.coalesce(F.nullif(site, F.lit("")), F.lit("(direct)")).alias("site")).agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("revenue")
     )
 
@@ -313,22 +319,31 @@ def recovered_checkouts(checkouts: DataFrame) -> DataFrame:
     return totals.withColumn("recovery_rate", ratio(F.col("recovered"), F.col("abandoned"), 100))
 
 
-def profit(dwh: Tables) -> DataFrame:
-    """Gross and contribution profit of all lines; cost is missing for some products.
+def profit(stg: Tables, dwh: Tables) -> DataFrame:
+    """Gross and contribution profit per product and month of the order.
 
-    Cost of goods skips lines without a cost, as the product view does. Contribution
-    also takes off the shipping the shop charged through and the refunds it paid.
+    Cost of goods skips lines without a cost, as the product view does. Contribution also takes off what was
+    refunded for the lines.
     """
-    orders = dwh["fact_order"].agg(F.struct(F.sum(zero(F.col("refund_amount"))).alias("refunds")))
-    lines = dwh["fact_order_line_item"].agg(
-        F.sum("net_amount").alias("revenue"),
-        F.sum(F.col("quantity_ordered") * F.col("unit_cost")).alias("cogs"),
-    )
-    gross = F.col("revenue") - F.col("cogs")
-    left_over = gross - F.col("o.refunds")
-    return lines.withColumn("o", orders.scalar()).select(
+    refunded = stg["stg_refund_line_items"].groupBy(id_digits(F.col("line_item_id")).alias("refunded_line")).agg(
+        F.sum("subtotal_amount").alias("refunded")
+    )
+    lines = dwh["fact_order_line_item"].select(
+        "line_item_id", "product_key", _order_month().alias("month"), "net_amount", (F.col("quantity_ordered") * F.col("unit_cost")).alias("cost")
+    )
+    totals = (
+        lines.join(refunded, F.col("line_item_id") == F.col("refunded_line"), "left")
+        .groupBy("product_key", "month")
+        .agg(F.sum("net_amount").alias("revenue"), F.sum("cost").alias("cogs"), zero(F.sum("refunded")).alias("refunds"))
+    )
+    gross = F.col("revenue") - zero(F.col("cogs"))
+    left_over = gross - F.col("refunds")
+    return totals.select(
+        "product_key",
+        "month",
         "revenue",
         "cogs",
+        "refunds",
         gross.alias("gross_profit"),
         ratio(gross, F.col("revenue"), 100).alias("gross_margin_percent"),
         left_over.alias("contribution"),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind.plans import checks, views
 from tradewind.plans.contract import Contract, contract, of_table, present
@@ -30,13 +31,25 @@ def register(name: str, build: Callable[[Warehouse], DataFrame], shown: str | Co
     QUERIES[name] = Query(build, contract(shown) if isinstance(shown, str) else shown)
 
 
+# Generated dimensions are shown by the members that orders use.
+_USED_BY = {"dim_date": ("date_key", "order_date_key"), "dim_time": ("time_key", "order_time_key")}
+
+
+def used_members(w: Warehouse, table: str) -> DataFrame:
+    if table not in _USED_BY:
+        return w[table]
+    key, used = _USED_BY[table]
+    keys = w["fact_order"].select(F.col(used).alias(key)).distinct()
+    return w[table].join(keys, key, "left_semi")
+
+
 # --- warehouse builds -------------------------------------------------------------
 for number, table in enumerate(schemas.WAREHOUSE, start=1):
     order = (
         "dim_date dim_time dim_product dim_customer dim_geography dim_discount dim_location fact_order "
         "fact_order_line_item fact_fulfillment fact_refund fact_inventory_snapshot"
     ).split()
-    register(f"dw{order.index(table) + 1:02d}_{table}", lambda w, t=table: w[t], of_table(table))
+    register(f"dw{order.index(table) + 1:02d}_{table}", lambda w, t=table: used_members(w, t), of_table(table))
 
 # --- metric views -----------------------------------------------------------------
 _ORDER = (
@@ -140,7 +153,7 @@ register("vf1_warehouse_counts", checks.warehouse_counts, "obj:s n:i")
 register(
     "vf2_generated_dimensions",
     checks.generated_dimensions,
-    "min_date:d max_date:d days:i time_rows:i min_key:i max_key:i",
+    "min_date:d max_date:d days:i time_rows:i min_key:i max_key:i orders_outside:i",
 )
 register(
     "vf3_members",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +92,9 @@ for number, table in ((17, "stg_discount_codes"), (18, "stg_gift_cards")):
     register(f"fl{number}_{table[4:]}", lambda w, t=table: w.stg[t], of_table(table, HIDDEN))
 register("sc01_scan_orders", lambda w: with_addresses(w.stg["stg_orders"], **ROLES["stg_orders"]), shown_of("stg_orders"))
 register("sc01_scan_line_items", lambda w: w.stg["stg_order_line_items"], shown_of("stg_order_line_items"))
+for table in schemas.STAGING:
+    if table not in ("stg_orders", "stg_order_line_items", "stg_discount_codes", "stg_gift_cards"):
+        register(f"sc01_scan_{table[4:]}", lambda w, t=table: with_addresses(w.stg[t], **ROLES.get(t, {})), shown_of(table))
 
 # --- flatteners (FL1-FL16) -----------------------------------------------------------
 _FLATTENED = (
@@ -119,8 +123,8 @@ for key, table, page, flattener in _FLATTENED:
 
 
 def inventory_levels(w: Warehouse) -> DataFrame:
-    first, second = (fl.flatten_inventory_levels(docs(w, f"inventory_{d}"), RUN_TS, F.lit(d).cast("date")) for d in SNAPSHOTS)
-    return first.unionByName(second)
+    days = [fl.flatten_inventory_levels(docs(w, f"inventory_{d}"), RUN_TS, F.lit(d).cast("date")) for d in SNAPSHOTS]
+    return reduce(DataFrame.unionByName, days)
 
 
 register("fl15_inventory_levels", inventory_levels, shown_of("stg_inventory_levels"))
@@ -169,10 +173,10 @@ def load_state(w: Warehouse) -> DataFrame:
 
 
 def snapshot_appends(w: Warehouse) -> DataFrame:
-    """Both snapshot days, the second loaded twice."""
+    """All snapshot days, the last loaded twice."""
     store = _fresh_store(w)
     levels = w.stg["stg_inventory_levels"]
-    for day in (*SNAPSHOTS, SNAPSHOTS[1]):
+    for day in (*SNAPSHOTS, SNAPSHOTS[-1]):
         store.upsert_partitions(
             "stg_inventory_levels", levels.filter(F.col("snapshot_date") == F.lit(day).cast("date")), "snapshot_date"
         )

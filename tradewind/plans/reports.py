@@ -115,14 +115,16 @@ def product_months(dwh: Tables, last: date, months: int = 6) -> DataFrame:
     return products.join(sold, "product_key", "left").na.fill(0)
 
 
-def popular_products(dwh: Tables, last: date, months: int = 6, limit: int = 20) -> DataFrame:
+def popular_products(dwh: Tables, last: date, months: int = 6) -> DataFrame:
+    """All products, best sellers of the last month first."""
     current = f"m{month_range(last, months)[-1]}"
-    return product_months(dwh, last, months).orderBy(F.desc(current), F.desc("total_units"), "product_key").limit(limit)
+    return product_months(dwh, last, months).orderBy(F.desc(current), F.desc("total_units"), "product_key")
 
 
-def least_products(dwh: Tables, last: date, months: int = 6, limit: int = 20) -> DataFrame:
+def least_products(dwh: Tables, last: date, months: int = 6) -> DataFrame:
+    """All products, worst sellers of the last month first."""
     current = f"m{month_range(last, months)[-1]}"
-    return product_months(dwh, last, months).orderBy(current, "total_units", "product_key").limit(limit)
+    return product_months(dwh, last, months).orderBy(current, "total_units", "product_key")
 
 
 def new_products(dwh: Tables) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import count_if, ratio, zero
+from tradewind.plans.facts import one_row_per_code
 
 Tables = Mapping[str, DataFrame]
 
@@ -285,7 +286,7 @@ def discount_code_performance(dwh: Tables) -> DataFrame:
             F.sum("discount_amount").alias("discount_given"),
         )
     )
-    codes = dwh["dim_discount"].select(
+    codes = one_row_per_code(dwh["dim_discount"]).select(
         "discount_code", F.col("current_usage_count").alias("usage_count"), "usage_limit"
     )
     return used.join(codes, "discount_code", "left").withColumn(
@@ -388,16 +389,20 @@ def revenue_by_product_by_day(dwh: Tables, since: date | None = None) -> DataFra
     lines = dwh["fact_order_line_item"]
     if since is not None:
         lines = lines.filter(F.col("order_date_key") >= int(since.strftime("%Y%m%d")))
-    return (
-        lines.join(calendar(dwh), F.col("order_date_key") == F.col("date_key"))
-        .select("full_date", "product_key", "order_key", "net_amount", "quantity_ordered")
+    # Lines meet once, by day and product: both sums below keep that partitioning. The calendar comes last.
+    placed = (
+        lines.select("order_date_key", "product_key", "order_key", "net_amount", "quantity_ordered")
         .join(products.withColumnRenamed("product_title", "title"), "product_key")
-        .groupBy(F.col("full_date").alias("order_date"), "product_id", F.col("title").alias("product_title"))
-        .agg(
-            zero(F.sum("net_amount")).alias("revenue"),
-            zero(F.sum("quantity_ordered")).alias("units"),
-            F.countDistinct("order_key").alias("orders"),
-        )
+        .repartition("order_date_key", "product_id", "title")
+    )
+    day = ["order_date_key", "product_id", "title"]
+    per_order = placed.groupBy(*day, "order_key").agg(F.sum("net_amount").alias("revenue"), F.sum("quantity_ordered").alias("units"))
+    daily = per_order.groupBy(*day).agg(
+        zero(F.sum("revenue")).alias("revenue"), zero(F.sum("units")).alias("units"), F.count(F.lit(1)).alias("orders")
+    )
+    days = calendar(dwh).select("date_key", F.col("full_date").alias("order_date"))
+    return daily.join(days, F.col("order_date_key") == F.col("date_key")).select(
+        "order_date", "product_id", F.col("title").alias("product_title"), "revenue", "units", "orders"
     )
 
 

@@ -203,25 +203,25 @@ def ref_commission_rate(rates: DataFrame, dim_channel: DataFrame, loaded_at: Col
 
 
 def apply_rate_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Type-2 update: close the open row of a changed rate and add the new one.
+    """Type-2 update: the history of every rate rebuilt from its rows and the changes.
 
-    ``changes`` holds channel_key, rate_type, rate_value and effective_from, one row
-    per rate. A change to the value already in force is ignored, so re-runs are safe.
+    ``changes`` holds channel_key, rate_type, rate_value and effective_from; of two for one rate and day the higher value
+    stands. A change may lie before rows that exist. A value that only repeats the one before it adds no row,
+    so re-runs are safe; each row ends where the next begins, or where it ended before if that is earlier.
     """
     keys = ["channel_key", "rate_type"]
-    open_rows = current.filter("effective_to is null").select(*keys, F.col("rate_value").alias("open_value"))
-    incoming = (
-        changes.join(open_rows, keys, "left")
-        .filter(F.col("open_value").isNull() | (F.col("open_value") != F.col("rate_value")))
-        .drop("open_value")
-    )
-    closing = incoming.select(*keys, F.col("effective_from").alias("closed_on"))
-    kept = current.join(closing, keys, "left").withColumn(
-        "effective_to", F.coalesce("effective_to", F.col("closed_on"))
-    )
-    added = incoming.withColumn("effective_to", F.lit(None).cast("date"))
-    columns = [*keys, "rate_value", "effective_from", "effective_to"]
-    return kept.select(*columns).unionByName(added.select(*columns))
+    old = current.select(*keys, "rate_value", "effective_from", F.col("effective_to").alias("until"), F.lit(0).alias("new"))
+    new = changes.select(*keys, "rate_value", "effective_from", F.lit(None).cast("date").alias("until"), F.lit(1).alias("new"))
+    starts = (
+        old.unionByName(new)
+        .groupBy(*keys, "effective_from")
+        .agg(F.max_by(F.struct("rate_value", "until"), F.struct("new", "rate_value")).alias("r"))
+        .select(*keys, "effective_from", "r.rate_value", "r.until")
+    )
+    order = W.partitionBy(*keys).orderBy("effective_from")
+    told = starts.withColumn("before", F.lag("rate_value").over(order)).filter("before is null or before <> rate_value")
+    ends = F.least("until", F.lead("effective_from").over(order))
+    return told.select(*keys, "rate_value", "effective_from", ends.alias("effective_to"))
 
 
 def rate_in_force(df: DataFrame, rates: DataFrame, day: Column, rate_type: str = "commission") -> DataFrame:

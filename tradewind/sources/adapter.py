@@ -17,7 +17,7 @@ Sources = Mapping[str, DataFrame]
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 EXTRACTED_AT = "2001-12-31 00:00:00"
-SNAPSHOTS = ("2001-11-30", "2001-12-31")
+SNAPSHOTS = ("2001-01-01", "2001-11-30", "2001-12-31")
 
 
 class BaseTables(dict):
@@ -30,25 +30,11 @@ class BaseTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise KeyError(name)
-        df = spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         self[name] = df
         return df
 
 
-def spread_small(df: DataFrame, limit: int = 256 << 20) -> DataFrame:
-    """Use every core on a small file that Parquet cannot split below one row group.
-
-    Only inputs below ``limit`` bytes that open in fewer tasks than there are cores are
-    redistributed; a large table already scans in parallel and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution()
-    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
-    if 1 << 20 < size < limit and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 # --- small helpers ------------------------------------------------------------
 def gid(kind: str, number: Column) -> Column:
     return F.concat(F.lit(f"gid://store/{kind}/"), number.cast("string"))
@@ -276,6 +262,15 @@ def orders(src: Sources) -> DataFrame:
             .when(F.col("o_orderpriority") == "3-MEDIUM", "mobile")
             .when(F.col("o_orderpriority") == "5-LOW", "marketplace")
             .alias("source_name"),
+            F.when(k % 8 == 0, F.lit(None))
+            .when(k % 8 < 3, F.concat(F.lit("https://shop.example.com/products/p"), k % 5, F.lit("?ref=mail")))
+            .when(k % 8 < 6, F.concat(F.lit("/collections/c"), k % 3))
+            .otherwise("https://shop.example.com")
+            .alias("landing_site"),
+            F.when(k % 5 == 0, F.lit(None))
+            .when(k % 5 < 3, F.concat(F.lit("https://search"), k % 2, F.lit(".example.org/find?q=x")))
+            .otherwise("https://news.example.net/story")
+            .alias("referring_site"),
             stamp(EXTRACTED_AT).alias("extracted_at"),
         ),
         "stg_orders",
@@ -613,13 +608,13 @@ def locations(src: Sources) -> DataFrame:
 
 
 def inventory_levels(src: Sources) -> DataFrame:
-    """Two depots per part on two snapshot days, with stock around the flag limits."""
+    """Two depots per part on three snapshot days, with stock around the flag limits."""
     p, j, d = F.col("p_partkey"), F.col("j"), F.col("d")
     depots = src["supplier"].agg(F.count(F.lit(1))).scalar()
     grid = (
         src["part"]
         .withColumn("j", F.explode(F.array(F.lit(0), F.lit(1))))
-        .withColumn("d", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
     )
     n = p + j + d
     available = (
@@ -631,7 +626,7 @@ def inventory_levels(src: Sources) -> DataFrame:
         .when(n % 7 == 6, F.col("p_size"))
     )
     depot = F.when(p % 70 == 0, F.lit(777777777) + j).otherwise((p + j * 3) % depots)
-    day = F.when(d == 0, SNAPSHOTS[0]).otherwise(SNAPSHOTS[1])
+    day = F.element_at(F.array(*map(F.lit, SNAPSHOTS)), d + 2)
     return align(
         grid.select(
             gid("InventoryItem", p).alias("inventory_item_id"),

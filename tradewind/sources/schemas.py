@@ -6,6 +6,8 @@ fixed values: they are the public interface that loads align to and queries use.
 
 from __future__ import annotations
 
+import re
+
 # --- fixed values: the 18 staging tables (234 columns) ------------------------
 STAGING: dict[str, str] = {
     "stg_orders": (
@@ -307,7 +309,29 @@ VOUCHER: dict[str, str] = {
 }
 
 
+#: How many payments, taxes and discounts of an order become columns of ``fact_order``.
+PIVOT_WIDTHS = {"payments": 3, "taxes": 2, "discounts": 2}
+_PIVOTED = {"payment": "payments", "tax": "taxes", "discount": "discounts"}
+
+
+def _widened(declared: str) -> str:
+    """``fact_order`` with its numbered columns repeated to PIVOT_WIDTHS, after the last declared group of each kind."""
+    out, done = [], set()
+    columns = re.split(r",\s*(?![^(]*\))", declared)
+    for column in columns:
+        match = re.match(r"(payment|tax|discount)_\d+_", column)
+        if not match:
+            out.append(column)
+        elif match[1] not in done:
+            done.add(match[1])
+            group = [c for c in columns if c.startswith(f"{match[1]}_1_")]
+            out += [c.replace("_1_", f"_{i}_", 1) for i in range(1, PIVOT_WIDTHS[_PIVOTED[match[1]]] + 1) for c in group]
+    return ", ".join(out)
+
+
 def ddl(table: str) -> str:
+    if table == "fact_order":
+        return _widened(WAREHOUSE[table])
     for group in (STAGING, WAREHOUSE, VOUCHER):
         if table in group:
             return group[table]
