@@ -301,7 +301,7 @@ def tax_by_region(dwh: Tables) -> DataFrame:
     )
 
 
-def revenue_by_site(orders: DataFrame, column: str, part: str) -> DataFrame:
+def revenue_by_site(orders: DataFrame, column: str, part: str = "HOST") -> DataFrame:
     """Revenue by the path of landing addresses or the host of referring ones.
 
     A path without a host stands for itself; no address, and an address without that part, count as direct.
