@@ -11,22 +11,35 @@ from tradewind.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node in ``links`` (a, b): the smallest node it can reach.
 
-    Each round writes the labels to the shared folder, so a lost executor costs one round at most. The number
-    of rounds grows with the logarithm of the longest shortest path.
+    A round gives each node the smallest label among its neighbours, then the label of that label, and writes the
+    labels to the shared folder, so a lost executor costs one round at most. What a label has reached doubles with
+    each round.
     """
     links = links.where("a is not null and b is not null and a <> b").select("a", "b")
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("near_node")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, F.col("node") == F.col("near_node")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
-        # hook the old root as well, so that whole trees move at once
-        roots = lower.where("low < old").groupBy(F.col("old").alias("root")).agg(F.min("low").alias("root_low"))
-        hooked = lower.join(roots, F.col("low") == F.col("root"), "left").select("node", "old", F.least("low", "root_low").alias("low"))
-        own = hooked.join(roots, F.col("node") == F.col("root"), "left").select("node", "old", F.least("low", "root_low").alias("low"))
-        above = own.select(F.col("node").alias("up_node"), F.col("low").alias("up"))
-        moved = own.join(above, F.col("low") == F.col("up_node"), "left").select("node", F.least("low", "up").alias("label"), (F.least("low", "up") < F.col("old")).alias("moved"))
-        moved = stored(moved, "labels")
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("old"))
+        lower = own.unionByName(near).groupBy("node").agg(F.min("label").alias("low"), F.max("old").alias("old"))
+        above = labels.select(F.col("node").alias("up_node"), F.col("label").alias("up"))
+        moved = lower.join(above, F.col("low") == F.col("up_node"), "left").withColumn("label", F.least("low", "up"))
+        moved = stored(moved.select("node", "label", (F.col("label") < F.col("old")).alias("moved")), "labels")
         labels = moved.select("node", "label")
         if moved.where("moved").isEmpty():
             return labels
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: only the links between components are solved."""
+    by = lambda c: labels.select(F.col("node").alias(f"{c}_node"), F.col("label").alias(f"{c}_label"))
+    between = links.join(by("a"), F.col("a") == F.col("a_node"), "left").join(by("b"), F.col("b") == F.col("b_node"), "left")
+    between = between.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")).where("a <> b").distinct()
+    between = stored(between, "between")
+    if between.isEmpty():
+        return labels
+    merged = components(between)
+    after = labels.join(merged.select(F.col("node").alias("of"), F.col("label").alias("to")), F.col("label") == F.col("of"), "left")
+    after = after.select("node", F.coalesce("to", "label").alias("label"))
+    fresh = merged.join(labels.select(F.col("node").alias("known")), F.col("node") == F.col("known"), "left_anti")
+    return stored(after.unionByName(fresh), "labels")

@@ -12,7 +12,8 @@
 4. The pairs that are left get their exact overlap from the whole sets.
 
 Columns with more than WIDE documents that can still reach the bound are not expanded into all pairs. Their
-documents are first joined with a few pivots; what these leave outside the column's components is then
+documents are first held against the bound again, without the shingles that none of them shares, and joined with a few
+pivots; what these leave outside the column's components is then
 paired with all documents of the column of other components. No link between components is lost.
 
 Defined results: null texts and texts without words have an empty set, no link, and their own id as
@@ -29,11 +30,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import LOWER, chunks, mixed, packed, prefix_hashes, row_bounds, stored, substring_hashes, words_of
-from tradewind.llm.components import components
+from tradewind.llm.components import components, extended
 
 WORDS = 5
 SIMILARITY = Fraction(4, 5)
@@ -184,6 +185,54 @@ def _possible(n1, place1, n2, place2, similarity: Fraction) -> np.ndarray:
     return (most >= least_overlap(n1 + n2, similarity)) & (p * np.maximum(n1, n2) <= q * np.minimum(n1, n2))
 
 
+def _partnered(columns: pa.Table, similarity: Fraction) -> pa.Table:
+    """Of the distinct (token, n, place, solo, copies) of one column, those that may reach the similarity with another.
+
+    ``solo`` shingles before the place are in no other set of a wide column, so they cannot be shared.
+    """
+    n, place, solo, copies = (columns.column(c).to_numpy() for c in ("n", "place", "solo", "copies"))
+    out = np.zeros(len(n), bool)
+    for a in range(0, len(n), 256):
+        own = slice(a, a + 256)
+        most = np.minimum((place - solo)[own, None], place - solo) + np.minimum((n - place)[own, None], n - place)
+        able = (most >= least_overlap(n[own, None] + n, similarity)) & (
+            similarity.numerator * np.maximum(n[own, None], n) <= similarity.denominator * np.minimum(n[own, None], n)
+        )
+        same = np.arange(able.shape[0])
+        able[same, a + same] &= copies[own] > 1
+        out[own] = able.any(axis=1)
+    return columns.filter(pa.array(out)).select(["token", "n", "place", "solo"])
+
+
+def _narrowed(wide: DataFrame, sets: DataFrame, ranks, similarity: Fraction) -> DataFrame:
+    """Wide columns with ``solo``, without the documents that can reach no other in their column.
+
+    Two documents of a column have all shingles that they share before its place in both prefixes, so a shingle
+    in the prefix of one wide document alone is not shared.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ranks.value
+        for batch in batches:
+            for i, hashes in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h = hashes.values.to_numpy().view(np.uint64)
+                keys = np.sort((table[(h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8)))
+                keys = keys[: prefix_length(len(keys), similarity)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i)), pa.array(keys), pa.array(np.arange(len(keys)))], ["of", "t", "at"])
+
+    ids = wide.select(F.col("id").alias("wide_id")).distinct()
+    prefixes_ = stored(sets.join(ids, F.col("id") == F.col("wide_id"), "left_semi").mapInArrow(cut, "of long, t long, at long"), "wide-prefixes")
+    shared = prefixes_.groupBy("t").agg(F.count("*").alias("k")).where("k > 1").select(F.col("t").alias("shared_t"))
+    before = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    alone = F.col("shared_t").isNull().cast("long")
+    told = prefixes_.join(shared, F.col("t") == F.col("shared_t"), "left").withColumn("solo", F.coalesce(F.sum(alone).over(before), F.lit(0).cast("long")))
+    known = wide.join(told, (F.col("token") == F.col("t")) & (F.col("id") == F.col("of"))).select("token", "id", "n", "place", "solo")
+    known = stored(known, "wide")
+    kinds = known.groupBy("token", "n", "place", "solo").agg(F.count("*").alias("copies"))
+    able = kinds.groupBy("token").applyInArrow(lambda t: _partnered(t, similarity), "token long, n long, place long, solo long")
+    return stored(known.join(able, ["token", "n", "place", "solo"], "left_semi").select("token", "id", "n", "place", "solo"), "wide")
+
+
 def _feasible(n: np.ndarray, place: np.ndarray, similarity: Fraction) -> np.ndarray:
     """Which documents of one wide column have a partner in it that may reach the similarity.
 
@@ -281,7 +330,7 @@ def _similar_sizes(x: str, y: str, similarity: Fraction):
 
 def _outside(wide: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of wide columns that span components, with label and the column's largest component; that table's outsiders)."""
-    known = wide.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", "n", "place", F.coalesce("label", "id").alias("label"))
+    known = wide.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", "n", "place", "solo", F.coalesce("label", "id").alias("label"))
     by_label = known.groupBy("token", "label").agg(F.count("*").alias("k"))
     main = by_label.groupBy("token").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("k", "label")).alias("main")).where("labels > 1")
     spread = stored(known.join(main.select("token", "main"), "token"), "wide")
@@ -312,8 +361,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wide = products.where("b is null").select("token", F.col("a").alias("id"), F.col("na").alias("n"), F.col("nb").alias("place"))
     needed = candidates.select(F.col("a").alias("need")).union(candidates.select("b")).union(wide.select("id")).distinct()
     sets = stored(_sets(texts.join(needed, F.col("id") == F.col("need"), "left_semi"), words), "sets")
-    links = stored(verified(candidates, sets, similarity), "links")
-    labels = components(links)
+    labels = components(verified(candidates, sets, similarity))
+    wide = _narrowed(wide, sets, ranks, similarity)
 
     for seed in range(PIVOT_ROUNDS):
         spread, outsiders = _outside(wide, labels)
@@ -321,16 +370,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         pivots = spread.where("label = main").groupBy("token").agg(F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id", F.lit(seed)), F.col("id"))).alias("p"))
         tried = outsiders.join(pivots, "token").where(_similar_sizes("n", "p.n", similarity)).select(*_ordered("id", "p.id")).distinct()
-        links = stored(links.unionByName(verified(tried, sets, similarity)), "links")
-        labels = components(links)
+        labels = extended(labels, stored(verified(tried, sets, similarity), "links"))
     spread, outsiders = _outside(wide, labels)
     if not outsiders.isEmpty():
-        other = spread.select("token", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("label").alias("label2"))
-        most = F.least("place", "place2") + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+        other = spread.select("token", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("solo").alias("solo2"), F.col("label").alias("label2"))
+        most = F.least(F.col("place") - F.col("solo"), F.col("place2") - F.col("solo2")) + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
         enough = most >= F.ceil((F.col("n") + F.col("n2")) * p / (p + q))
         rest = outsiders.join(other, "token").where((F.col("label") != F.col("label2")) & _similar_sizes("n", "n2", similarity) & enough)
-        links = stored(links.unionByName(verified(rest.select(*_ordered("id", "id2")).distinct(), sets, similarity)), "links")
-        labels = components(links)
+        found = stored(verified(rest.select(*_ordered("id", "id2")).distinct(), sets, similarity), "links")
+        labels = extended(labels, found)
 
     of_class = classes.join(labels, F.col("class_id") == F.col("node"), "left").select(
         F.col("n").alias("cn"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "class_id").alias("component")
