@@ -71,7 +71,7 @@ def test_groups_against_brute_force(spark, documents, monkeypatch, wide, entries
 
 def test_exact_rest_without_pivots(spark, documents, monkeypatch):
     monkeypatch.setattr(ngram_join, "WIDE", 2)
-    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "PIVOTS", ())
     rows = corpus(9)
     got = ngram_join.near_duplicates(documents(rows)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == groups(rows)

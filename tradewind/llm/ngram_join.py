@@ -45,7 +45,8 @@ SLICES = 64
 #: Entries of the incidence matrix in a block, and documents in a column that is expanded into all pairs.
 BLOCK_ENTRIES = 500_000
 WIDE = 24
-PIVOT_ROUNDS = 3
+#: Documents of a wide column that others are held against first, round by round; the last round takes all.
+PIVOTS = (2, 8, 24)
 _MULTIPLIERS = np.array([pow(0xC2B2AE3D27D4EB4F, k, 1 << 64) for k in range(1, 65)], np.uint64)
 
 
@@ -230,7 +231,10 @@ def _narrowed(wide: DataFrame, sets: DataFrame, ranks, similarity: Fraction) ->
     known = stored(known, "wide")
     kinds = known.groupBy("token", "n", "place", "solo").agg(F.count("*").alias("copies"))
     able = kinds.groupBy("token").applyInArrow(lambda t: _partnered(t, similarity), "token long, n long, place long, solo long")
-    return stored(known.join(able, ["token", "n", "place", "solo"], "left_semi").select("token", "id", "n", "place", "solo"), "wide")
+    kept = stored(known.join(able, ["token", "n", "place", "solo"], "left_semi").select("token", "id", "n", "place", "solo"), "wide")
+    # a document is in as many wide columns as its prefix has shingles at most
+    columns = kept.groupBy(F.col("id").alias("of")).agg(F.collect_set("token").alias("columns"))
+    return stored(kept.join(columns, F.col("id") == F.col("of")).drop("of"), "wide")
 
 
 def _feasible(n: np.ndarray, place: np.ndarray, similarity: Fraction) -> np.ndarray:
@@ -320,23 +324,27 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFra
     return counted.where(q * F.col("overlap") >= p * (F.col("total") - F.col("overlap"))).select("a", "b")
 
 
-def _ordered(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
-def _similar_sizes(x: str, y: str, similarity: Fraction):
-    return similarity.numerator * F.greatest(x, y) <= similarity.denominator * F.least(x, y)
-
-
 def _outside(wide: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of wide columns that span components, with label and the column's largest component; that table's outsiders)."""
-    known = wide.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", "n", "place", "solo", F.coalesce("label", "id").alias("label"))
+    known = wide.join(labels, F.col("id") == F.col("node"), "left").withColumn("label", F.coalesce("label", "id")).drop("node")
     by_label = known.groupBy("token", "label").agg(F.count("*").alias("k"))
     main = by_label.groupBy("token").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("k", "label")).alias("main")).where("labels > 1")
     spread = stored(known.join(main.select("token", "main"), "token"), "wide")
     return spread, spread.where("label <> main")
 
 
+def _wide_pairs(rows: DataFrame, others: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs (a, b) of different components that may reach the similarity, each in the first column that both are in."""
+    p, q = similarity.numerator, similarity.denominator
+    other = others.select("token", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "place", "solo", "label", "columns")])
+    most = F.least(F.col("place") - F.col("solo"), F.col("place2") - F.col("solo2")) + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    sizes = p * F.greatest("n", "n2") <= q * F.least("n", "n2")
+    enough = most >= F.ceil((F.col("n") + F.col("n2")) * p / (p + q))
+    once = F.array_min(F.array_intersect("columns", "columns2")) == F.col("token")
+    pairs = rows.join(other, "token").where((F.col("label") != F.col("label2")) & sizes & enough & once)
+    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY, words: int = WORDS) -> DataFrame:
     """(id, n_shingles, component_id) of every document; see the module's docstring."""
     spark = docs.sparkSession
@@ -364,21 +372,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(verified(candidates, sets, similarity))
     wide = _narrowed(wide, sets, ranks, similarity)
 
-    for seed in range(PIVOT_ROUNDS):
+    # the documents with the fewest rare shingles before the column's are the likeliest partners
+    nearest = Window.partitionBy("token").orderBy("place", "id")
+    for pivots in (*PIVOTS, None):
         spread, outsiders = _outside(wide, labels)
         if outsiders.isEmpty():
             break
-        pivots = spread.where("label = main").groupBy("token").agg(F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id", F.lit(seed)), F.col("id"))).alias("p"))
-        tried = outsiders.join(pivots, "token").where(_similar_sizes("n", "p.n", similarity)).select(*_ordered("id", "p.id")).distinct()
-        labels = extended(labels, stored(verified(tried, sets, similarity), "links"))
-    spread, outsiders = _outside(wide, labels)
-    if not outsiders.isEmpty():
-        other = spread.select("token", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("solo").alias("solo2"), F.col("label").alias("label2"))
-        most = F.least(F.col("place") - F.col("solo"), F.col("place2") - F.col("solo2")) + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-        enough = most >= F.ceil((F.col("n") + F.col("n2")) * p / (p + q))
-        rest = outsiders.join(other, "token").where((F.col("label") != F.col("label2")) & _similar_sizes("n", "n2", similarity) & enough)
-        found = stored(verified(rest.select(*_ordered("id", "id2")).distinct(), sets, similarity), "links")
-        labels = extended(labels, found)
+        others = spread if pivots is None else spread.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= pivots)
+        labels = extended(labels, stored(verified(_wide_pairs(outsiders, others, similarity), sets, similarity), "links"))
 
     of_class = classes.join(labels, F.col("class_id") == F.col("node"), "left").select(
         F.col("n").alias("cn"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "class_id").alias("component")
