@@ -41,7 +41,7 @@ from tradewind.llm.run_length_index import RunLengthIndex
 LENGTH = 100
 GRAM = 32
 CHUNK = 1 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: A gram with more different contexts than this is compared window by window.
 CROWDED = 512
 #: Pieces that share an index.
