@@ -56,6 +56,11 @@ class PieceModel:
         hashes = (sums[ends] - sums[begins]) * powers(len(sums))[1][begins]
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], ids[order].astype(np.int32)
+        # the longest piece by its first two bytes
+        self.reach = np.ones(1 << 16, np.uint8)
+        for e in encoded:
+            if len(e) > 1:
+                self.reach[e[0] << 8 | e[1]] = max(self.reach[e[0] << 8 | e[1]], len(e))
         # most strings are no piece: a table of the hashes' low bits tells
         self.known = np.zeros(1 << 20, bool)
         self.known[(hashes & np.uint64(len(self.known) - 1)).astype(np.int64)] = True

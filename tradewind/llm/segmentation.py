@@ -35,11 +35,9 @@ from tradewind.llm.piece_model import META, PieceModel
 
 K = 2
 UNIT_BYTES = 40
-CHUNK = 2_000_000
-#: Siblings of nodes below this log-probability are looked at only if none above arrives early enough.
-_DEEP = -42.0
-#: No exponential number drawn is below this logarithm.
-_LEAST = -37.5
+CHUNK = 1_500_000
+#: Siblings of nodes below this log-probability are first looked at together.
+_DEEP = -12.0
 GOES_ON = "\ue000"
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
@@ -110,9 +108,12 @@ class Lattices:
             nodes.append(at), pieces.append(ids), sizes.append(np.full(len(at), size, np.int32)), slots.append(count[at])
             count[at] += 1
 
+        first_two = flat.astype(np.uint16) << np.uint16(8)
+        first_two[:-1] |= flat[1:]
+        reach = np.minimum(left, model.reach[first_two])
         at = np.flatnonzero(left).astype(np.int32)
         for size in model.lengths:
-            at = at[left[at] >= size]
+            at = at[reach[at] >= size]
             if len(at) == 0:
                 break
             hit, ids = model.find(sums, at, size)
@@ -180,27 +181,38 @@ def walk(lattices: Lattices, node: np.ndarray, key: np.ndarray) -> tuple[np.ndar
     return out, bounds
 
 
-def _siblings(lattices: Lattices, node_of: np.ndarray, edges: np.ndarray, begin: int, before: float, log_time: float, key: np.uint64) -> tuple[np.ndarray, ...]:
+def _siblings(lattices: Lattices, node_of: np.ndarray, edges: np.ndarray, begin: int, before: float, log_time: float, key: np.uint64, k: int) -> tuple[np.ndarray, ...]:
     """(log arrival, place in the path, edge) of the open siblings of one path from place ``begin`` on."""
     own = edges[begin:]
-    so_far = before + np.concatenate([[0.0], np.cumsum(lattices.log_share[own])])[:-1]
-
-    def look(n: int) -> tuple[np.ndarray, ...]:
-        node = node_of[own[:n]]
-        low, high = lattices.first[node], lattices.first[node + 1]
-        place = np.repeat(np.arange(n), high - low)
-        edge = np.arange(len(place)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[place]
+    so_far = before + np.concatenate([[0.0], np.cumsum(lattices.log_share[own])])
+
+    def look(low: int, high: int) -> tuple[np.ndarray, ...]:
+        """Log arrivals after ``log_time`` without it, places and edges of the siblings of a range of the path."""
+        node = node_of[own[low:high]]
+        begins, ends = lattices.first[node].astype(np.int64), lattices.first[node + 1]
+        place = np.repeat(np.arange(low, high), ends - begins)
+        edge = np.arange(len(place)) + np.repeat(begins - np.cumsum(ends - begins) + (ends - begins), ends - begins)
         keep = edge != own[place]
         place, edge = place[keep], edge[keep]
-        draw = -np.log(_uniform(np.full(1, key) + (place + begin).astype(np.uint64) * _B + (edge - low[place]).astype(np.uint64) * _C))
-        return np.logaddexp(log_time, np.log(draw) - so_far[place] - lattices.log_share[edge]), place + begin, edge
-
-    shallow = int(np.searchsorted(-so_far, -_DEEP, "right"))
-    found = look(shallow)
-    # what lies deeper arrives no earlier than its rate and the least draw allow
-    if shallow < len(own) and (len(found[0]) < 2 * K + 2 or np.partition(found[0], 2 * K + 1)[2 * K + 1] > _LEAST - _DEEP):
-        found = look(len(own))
-    return found
+        draw = -np.log(_uniform(np.full(1, key) + (place + begin).astype(np.uint64) * _B + edge.astype(np.uint64) * _C))
+        return np.log(draw) - so_far[place] - lattices.log_share[edge], place + begin, edge
+
+    shallow = min(int(np.searchsorted(-so_far, -_DEEP, "right")), len(own))
+    found = look(0, shallow)
+    if shallow < len(own):
+        # All siblings below arrive together like one of their summed rate. Only if that is early are they told apart;
+        # the earliest of them then has that time, and the others follow as they would have followed it.
+        mass = np.exp(so_far[shallow]) - np.exp(so_far[-1])
+        with np.errstate(divide="ignore"):
+            together = np.log(-np.log(_uniform(np.full(1, key ^ _A)))) - np.log(mass)
+        enough = 2 * k + 2
+        if len(found[0]) < enough or together[0] < np.partition(found[0], enough - 1)[enough - 1]:
+            deep = look(shallow, len(own))
+            if len(deep[0]):
+                with np.errstate(divide="ignore"):
+                    later = np.logaddexp(together, deep[0] + np.log1p(-np.exp(deep[0].min() - deep[0])))
+                found = tuple(np.concatenate(x) for x in zip(found, (later, *deep[1:])))
+    return np.logaddexp(log_time, found[0]), found[1], found[2]
 
 
 def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -> list[list[tuple[np.ndarray, float, float]]]:
@@ -226,7 +238,7 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
     drawn = [[times[i]] for i in range(len(texts))]
 
     def opened(i: int, path: int, begin: int, before: float, log_time: float) -> list[tuple]:
-        arrival, where, edge = _siblings(lattices, node_of, paths[i][path], begin, before, log_time, _later(keys[i], path, _A))
+        arrival, where, edge = _siblings(lattices, node_of, paths[i][path], begin, before, log_time, _later(keys[i], path, _A), k)
         few = np.argpartition(arrival, 2 * k + 1)[: 2 * k + 2] if len(arrival) > 2 * k + 2 else range(len(arrival))
         return [(float(arrival[x]), path, int(where[x]), int(edge[x])) for x in few]
 
@@ -325,7 +337,7 @@ def decode(encoded: DataFrame, vocabulary: str, pieces_col: str = "pieces", text
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.array(model.value.bytes_of, dtype=object)
-        for batch in batches:
+        for batch in sliced(batches, 500):
             column = batch.column(batch.num_columns - 1)
             flat = table[column.flatten().to_numpy(zero_copy_only=False)]
             ends = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
