@@ -214,13 +214,22 @@ FROM stg_product_variants"""
 BODIES["tf13_load_state"] = """
 SELECT 'stg_orders' AS entity, TIMESTAMP '2001-12-31' AS last_sync_at, 'success' AS last_run_status, count(*) AS records_processed FROM stg_orders
 UNION ALL SELECT 'stg_order_tax_lines', TIMESTAMP '2001-12-31', 'success', count(*) FROM stg_order_tax_lines"""
-BODIES["in02_high_water_window"] = """
-SELECT count(*) AS orders, min(updated_at) AS first_change, max(updated_at) AS mark FROM stg_orders
-WHERE updated_at >= TIMESTAMP '1999-01-01'"""
-BODIES["cf11_lookback_window"] = """
-SELECT count(*) AS orders, min(updated_at) AS first_change FROM stg_orders WHERE updated_at >= TIMESTAMP '1998-12-29'"""
+_mark = "(SELECT max(updated_at) FROM stg_orders WHERE updated_at < TIMESTAMP '1999-01-01')"
+BODIES["in02_high_water_window"] = f"""
+SELECT count(*) AS orders, min(updated_at) AS first_change, max(updated_at) AS mark FROM stg_orders WHERE updated_at >= {_mark}"""
+BODIES["cf11_lookback_window"] = f"""
+SELECT count(*) AS orders, min(updated_at) AS first_change FROM stg_orders WHERE updated_at >= {_mark} - INTERVAL 3 DAY"""
 BODIES["in05_duplicate_keys"] = """
-SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1"""
+SELECT order_id, sku, count(*) AS row_count FROM stg_order_line_items GROUP BY ALL HAVING count(*) > 1"""
+for _table, _like in {
+    "products": "fl12_products",
+    "product_variants": "fl13_product_variants",
+    "customers": "fl11_customers",
+    "locations": "fl14_locations",
+    "abandoned_checkouts": "fl16_abandoned_checkouts",
+    "inventory_levels": "fl15_inventory_levels",
+}.items():
+    BODIES[f"in01_load_{_table}"] = BODIES[_like]
 BODIES["sc10_row_counts"] = BODIES["vf9_staging_counts"]
 BODIES["ag19_completeness"] = "SELECT count(*) AS row_count, " + ", ".join(
     f"count({c}) AS {c}_filled"

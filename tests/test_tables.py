@@ -135,3 +135,16 @@ def test_modes(spark, store):
     assert loads.resolve_mode(store, "stg_products", "auto") == "incremental"
     assert loads.high_water_mark(store, "stg_products") == datetime(2001, 1, 1)
     assert loads.high_water_mark(store, "stg_orders") is None
+
+
+def test_entity_loads_record_their_state(spark, store):
+    from tradewind.sources import documents
+
+    run = datetime(2001, 1, 1)
+    docs = spark.createDataFrame([], documents.LOCATION)
+    assert [r.rows for r in loads.load_entities(store, {"stg_locations": docs}, run)] == [0]
+    broken = docs.drop("name")
+    with pytest.raises(Exception):
+        loads.load_entities(store, {"stg_locations": broken}, run)
+    state = store.read("etl_state").collect()
+    assert [(r.entity, r.last_run_status) for r in state] == [("stg_locations", "failed")]

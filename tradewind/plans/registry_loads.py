@@ -196,6 +196,43 @@ def keyed_upsert(w: Warehouse) -> DataFrame:
     return store.read("stg_product_variants")
 
 
+ENTITY_PAGES = {
+    "stg_products": "products",
+    "stg_product_variants": "variants",
+    "stg_customers": "customers",
+    "stg_locations": "locations",
+    "stg_abandoned_checkouts": "checkouts",
+}
+
+
+def loaded_entity(w: Warehouse, table: str) -> DataFrame:
+    """Loaded in full, then again by its mark, from the same documents; as stored afterwards."""
+    store = _fresh_store(w)
+    for _ in range(2):
+        loads.load_entities(store, {table: docs(w, ENTITY_PAGES[table])}, RUN_TS)
+    return with_addresses(store.read(table), **ROLES.get(table, {}))
+
+
+def loaded_snapshots(w: Warehouse) -> DataFrame:
+    """Every day's documents, the last day's twice; as stored afterwards."""
+    store = _fresh_store(w)
+    for day in (*SNAPSHOTS, SNAPSHOTS[-1]):
+        loads.load_snapshot(store, docs(w, f"inventory_{day}"), RUN_TS, F.lit(day).cast("date"))
+    return store.read("stg_inventory_levels")
+
+
+for table in ENTITY_PAGES:
+    register(f"in01_load_{table[4:]}", lambda w, t=table: loaded_entity(w, t), shown_of(table))
+register("in01_load_inventory_levels", loaded_snapshots, shown_of("stg_inventory_levels"))
+
+
+def since_stored_mark(w: Warehouse, lookback_days: int = 0) -> DataFrame:
+    """Orders that a run would read again after one that saw the orders up to a day."""
+    store, orders = _fresh_store(w), w.stg["stg_orders"]
+    store.load_full("stg_orders", orders.filter(F.col("updated_at") < F.lit(SPLIT).cast("timestamp_ntz")))
+    return loads.rows_since(orders, loads.high_water_mark(store), lookback_days)
+
+
 register("in04_incremental_orders", incremental_orders, shown_of("stg_orders"))
 register("in03_incremental_children", incremental_children, shown_of("stg_order_transactions"))
 register("sc09_keyed_upsert", keyed_upsert, shown_of("stg_product_variants"))
@@ -203,22 +240,22 @@ register("sc16_snapshot_appends", snapshot_appends, shown_of("stg_inventory_leve
 register("tf13_load_state", load_state, "entity:s last_sync_at:t last_run_status:s records_processed:i")
 register(
     "in02_high_water_window",
-    lambda w: loads.rows_since(w.stg["stg_orders"], SPLIT).agg(
+    lambda w: since_stored_mark(w).agg(
         F.count(F.lit(1)).alias("orders"), F.min("updated_at").alias("first_change"), F.max("updated_at").alias("mark")
     ),
     "orders:i first_change:t mark:t",
 )
 register(
     "cf11_lookback_window",
-    lambda w: loads.rows_since(w.stg["stg_orders"], SPLIT, lookback_days=3).agg(
+    lambda w: since_stored_mark(w, lookback_days=3).agg(
         F.count(F.lit(1)).alias("orders"), F.min("updated_at").alias("first_change")
     ),
     "orders:i first_change:t",
 )
 register(
     "in05_duplicate_keys",
-    lambda w: duplicate_keys(w.base["lineitem"], ["l_orderkey", "l_linenumber"]),
-    "l_orderkey:i l_linenumber:i row_count:i",
+    lambda w: duplicate_keys(w.stg["stg_order_line_items"], ["order_id", "sku"]),
+    "order_id:s sku:s row_count:i",
 )
 register(
     "sc10_row_counts",

@@ -7,7 +7,7 @@ no state is kept between batches; the keyed upsert makes a replayed batch harmle
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,15 @@ from tradewind.sources.tables import TableStore
 
 
 def upsert_batch(store: TableStore, docs: DataFrame, run_ts: datetime, tables: Iterable[str]) -> None:
+    """Upsert all tables from one batch, whose documents are parsed once."""
+    docs = docs.persist()
+    try:
+        _upsert_tables(store, docs, run_ts, tables)
+    finally:
+        docs.unpersist()
+
+
+def _upsert_tables(store: TableStore, docs: DataFrame, run_ts: datetime, tables: Iterable[str]) -> None:
     for table in tables:
         store.create_if_absent(table)
         rows = ORDER_FLATTENERS[table](docs, run_ts)
@@ -34,14 +43,19 @@ def stream_orders(
     checkpoint: str,
     tables: Iterable[str] = tuple(ORDER_FLATTENERS),
     files_per_batch: int = 100,
+    run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """Consume what is in the folder now, batch by batch, and stop."""
+    """Consume what is in the folder now, batch by batch, and stop.
+
+    ``run_ts`` (UTC) stamps the rows of all batches; the time of this call by default.
+    """
+    stamp = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
     tables = tuple(tables)
     docs = (
         spark.readStream.schema(documents.ORDER).option("maxFilesPerTrigger", files_per_batch).json(folder)
     )
     return (
-        docs.writeStream.foreachBatch(lambda batch, _: upsert_batch(store, batch, datetime.now(), tables))
+        docs.writeStream.foreachBatch(lambda batch, _: upsert_batch(store, batch, stamp, tables))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
