@@ -30,7 +30,7 @@ CELLS = 1 << 15
 CHUNK = 1 << 20
 MAX_BITS = 31
 #: A lead of less than this share of the summed bit weights is ambiguous.
-AMBIGUOUS = 0.02
+AMBIGUOUS = 0.1
 _LETTER = regex.compile(r"\p{L}")
 
 
