@@ -13,6 +13,7 @@ response; an archive without records reads as no rows; a payload that does not m
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import json
@@ -49,9 +50,16 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
-def encode(row: dict) -> bytes:
-    """One record. A response holds an HTTP message; a revisit holds headers only."""
+def encode(row: dict, compress: bool = True) -> bytes:
+    """One record. A response holds an HTTP message, its content encoded by gzip or plain; a revisit holds headers only.
+
+    Record headers stay plain, so that readers can test them and seek over the rest.
+    """
     body = bytes(row["payload"] or b"")
+    compress = compress and row["record_type"] != "revisit" and len(body) >= LEAST
+    content = gzip.compress(body, 3, mtime=0) if compress else body
+    coding = b"Content-Encoding: gzip\r\n" if compress else b""
+    length = row["payload_bytes"] if row["record_type"] == "revisit" else len(content)
     fields = {
         "WARC-Type": row["record_type"],
         "WARC-Record-ID": _URN.format(row["record_id"]),
@@ -61,8 +69,8 @@ def encode(row: dict) -> bytes:
         "X-Payload-Length": row["payload_bytes"],
         "Content-Type": "application/http; msgtype=response",
     }
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % row["payload_bytes"]
-    block = http if row["record_type"] == "revisit" else http + body
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%sContent-Length: %d\r\n\r\n" % (coding, length)
+    block = http if row["record_type"] == "revisit" else http + content
     clean = {k: str(v).replace("\r", "%0D").replace("\n", "%0A") for k, v in fields.items() if v is not None}
     head = "".join(f"{k}: {v}\r\n" for k, v in clean.items()).encode()
     return _VERSION + head + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
@@ -99,7 +107,9 @@ def records(stream, tests: list[tuple[str, frozenset | None]], payload: bool = T
             continue
         body = None
         if payload and row["record_type"] != "revisit":
-            body = stream.read(length).partition(b"\r\n\r\n")[2]
+            http, _, body = stream.read(length).partition(b"\r\n\r\n")
+            if b"\r\nContent-Encoding: gzip\r\n" in http:
+                body = gzip.decompress(body)
             if hashlib.sha256(body).hexdigest() != row["payload_digest"]:
                 raise ValueError(f"record {row['record_id']} does not match its digest")
         else:
@@ -184,6 +194,7 @@ class WarcWriter(DataSourceWriter):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.roll = int(options.get("roll", 32 << 20))
+        self.compress = options.get("compress", "true").lower() == "true"
 
     def write(self, rows: Iterator) -> Written:
         system, root = filesystem(self.path)
@@ -193,7 +204,7 @@ class WarcWriter(DataSourceWriter):
             if out is None:
                 name, size = f"part-{uuid.uuid4().hex}.warc", 0
                 out = system.open_output_stream(f"{root}/{name}")
-            data = encode(row.asDict())
+            data = encode(row.asDict(), self.compress)
             out.write(data)
             size += len(data)
             if size >= self.roll:
