@@ -31,9 +31,17 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         by_id = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[by_id], np.ascontiguousarray(x[by_id])
-        self.order = np.argsort(-self.x, axis=0, kind="stable").T
-        self.values = np.take_along_axis(self.x.T, self.order, axis=1)
+        self.ids, whole = ids[by_id], x[by_id]
+        self.order = np.ascontiguousarray(np.argsort(-whole, axis=0, kind="stable").T.astype(np.int32))
+        self.values = np.take_along_axis(whole.T, self.order, axis=1)
+        self.largest = int(np.abs(whole).max(initial=0))
+        # products of whole numbers are exact in doubles below 2**53; larger ones keep to integers
+        self.x = np.ascontiguousarray(whole, np.float64) if self.largest < 2**52 else whole
+
+    def _scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        if self.largest * int(np.abs(q).sum()) < 2**53:
+            return (self.x[rows] @ q.astype(np.float64)).astype(np.int64)
+        return self.x[rows].astype(np.int64) @ q
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best, by falling score, then rising id."""
@@ -51,13 +59,19 @@ class SortedLists:
             met[lists.ravel()] = True
             rows = np.flatnonzero(met & ~seen)
             seen |= met
-            rows_all, scores_all = np.concatenate([best_rows, rows]), np.concatenate([best, self.x[rows] @ q])
+            following = min(4 * high, n)
+            rows_all, scores_all = np.concatenate([best_rows, rows]), np.concatenate([best, self._scores(rows, q)])
             kept = np.lexsort((rows_all, -scores_all))[:k]  # rows are in order of id
             best_rows, best = rows_all[kept], scores_all[kept]
             reached = np.where(up, self.values[used, high - 1], self.values[used, n - high])
             if high == n or (len(best) == k and best[-1] > reached @ q[used]):
                 return self.ids[best_rows], best
-            low, high = high, min(4 * high, n)
+            rest = np.flatnonzero(~seen)
+            if len(rest) <= (following - high) * len(used):
+                rows_all, scores_all = np.concatenate([best_rows, rest]), np.concatenate([best, self._scores(rest, q)])
+                kept = np.lexsort((rows_all, -scores_all))[:k]
+                return self.ids[rows_all[kept]], scores_all[kept]
+            low, high = high, following
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
