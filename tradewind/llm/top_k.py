@@ -3,7 +3,8 @@
 Vectors are dealt into blocks. Each block keeps one sorted list per dimension; a query walks the lists of its
 non-zero dimensions in step (from the large end for positive components, else from the small end), scores
 every vector it meets in full, and stops once the score of an imaginary vector made of the values just
-reached cannot beat the kth result. The best k of all blocks are merged per query.
+reached cannot beat the kth result. When fewer vectors are unseen than the next steps would read entries, those are scored
+as they are. The best k of all blocks are merged per query.
 
 Defined results: vectors that are null, empty, of another length than most, or that hold null or non-finite
 components take no part, neither as query nor as candidate; ties go to the smaller id; of rows with equal
