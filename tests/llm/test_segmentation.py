@@ -77,6 +77,21 @@ def test_second_draws_and_inclusion(model):
     assert abs(estimate / n - 1) < 0.1
 
 
+def test_samples_do_not_depend_on_the_other_texts(model):
+    rng = random.Random(8)
+    words = ["the", "nation", "über", "x1f9", "日本語", "of", "segmentation", "", "it's"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 300))) for _ in range(12)]
+    seeds = np.arange(50, 62, dtype=np.uint64)
+
+    def plain(draws):
+        return [(p.tolist(), log_p, q) for p, log_p, q in draws]
+
+    alone = [plain(segmentation.sample([t], seeds[i : i + 1], model, 3)[0]) for i, t in enumerate(texts)]
+    for order in (range(12), rng.sample(range(12), 12), [5, 3, 5, 11]):
+        among = segmentation.sample([texts[i] for i in order], seeds[list(order)], model, 3)
+        assert [plain(d) for d in among] == [alone[i] for i in order]
+
+
 def test_few_segmentations_give_all(model):
     [draws] = segmentation.sample([""], np.array([1], np.uint64), model, 5)
     assert [model.decode(p) for p, _, _ in draws] == [""] and len(draws[0][0]) == 1 and draws[0][2] == 0.0

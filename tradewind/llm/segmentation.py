@@ -41,6 +41,7 @@ _DEEP = -12.0
 GOES_ON = "\ue000"
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
+_D = np.uint64(0xD6E8FEB86659FD93)
 
 
 def units_of(text: str) -> list[str]:
@@ -144,9 +145,11 @@ class Lattices:
         with np.errstate(divide="ignore"):
             self.log_share = np.log(share)
         self.upto = np.full((n, int(slot.max(initial=0)) + 1), 2.0)  # running shares of each node's edges
-        running = np.cumsum(share)
-        before = np.concatenate([[0.0], running])[self.first[node]]
-        self.upto[node, slot] = running - before
+        running = share.copy()
+        for s in range(1, self.upto.shape[1]):  # node by node, so that no sum depends on the other units
+            at = np.flatnonzero(slot == s)
+            running[at] += running[at - 1]
+        self.upto[node, slot] = running
         last_edge = self.first[1:] - 1
         some = np.flatnonzero(np.diff(self.first) > 0)
         self.upto[some, (last_edge - self.first[:-1])[some]] = 2.0  # rounding cannot leave a gap at the end
@@ -191,10 +194,11 @@ def _siblings(lattices: Lattices, node_of: np.ndarray, edges: np.ndarray, begin:
         node = node_of[own[low:high]]
         begins, ends = lattices.first[node].astype(np.int64), lattices.first[node + 1]
         place = np.repeat(np.arange(low, high), ends - begins)
-        edge = np.arange(len(place)) + np.repeat(begins - np.cumsum(ends - begins) + (ends - begins), ends - begins)
+        low_edge = np.repeat(begins, ends - begins)
+        edge = np.arange(len(place)) - np.repeat(np.cumsum(ends - begins) - (ends - begins), ends - begins) + low_edge
         keep = edge != own[place]
-        place, edge = place[keep], edge[keep]
-        draw = -np.log(_uniform(np.full(1, key) + (place + begin).astype(np.uint64) * _B + edge.astype(np.uint64) * _C))
+        place, edge, slot = place[keep], edge[keep], (edge - low_edge)[keep]
+        draw = -np.log(_uniform(np.full(1, key) + (place + begin).astype(np.uint64) * _B + slot.astype(np.uint64) * _C))
         return np.log(draw) - so_far[place] - lattices.log_share[edge], place + begin, edge
 
     shallow = min(int(np.searchsorted(-so_far, -_DEEP, "right")), len(own))
@@ -238,7 +242,8 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
     drawn = [[times[i]] for i in range(len(texts))]
 
     def opened(i: int, path: int, begin: int, before: float, log_time: float) -> list[tuple]:
-        arrival, where, edge = _siblings(lattices, node_of, paths[i][path], begin, before, log_time, _later(keys[i], path, _A), k)
+        key = mixed(np.array([_later(keys[i], path, _A)]) ^ _D)[0]  # apart from the keys of the walks
+        arrival, where, edge = _siblings(lattices, node_of, paths[i][path], begin, before, log_time, key, k)
         few = np.argpartition(arrival, 2 * k + 1)[: 2 * k + 2] if len(arrival) > 2 * k + 2 else range(len(arrival))
         return [(float(arrival[x]), path, int(where[x]), int(edge[x])) for x in few]
 
