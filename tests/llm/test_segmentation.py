@@ -92,6 +92,40 @@ def test_samples_do_not_depend_on_the_other_texts(model):
         assert [plain(d) for d in among] == [alone[i] for i in order]
 
 
+def test_units_are_not_cut(model):
+    text = " " * 15  # 48 bytes as pieces write them
+    every = paths(text, model)
+    total = sum(every.values())
+    lattices = segmentation.Lattices(segmentation.units_of(text), model)
+    assert math.isclose(lattices.log_finish[0], math.log(total), rel_tol=1e-9)
+    seen, n = dict.fromkeys(every, 0), 4000
+    for draws in segmentation.sample([text] * n, np.arange(n, dtype=np.uint64), model, 2):
+        keys = [tuple(p.tolist()) for p, _, _ in draws]
+        assert len(set(keys)) == 2 and all(math.isclose(log_p, math.log(every[k]), rel_tol=1e-9) for k, (_, log_p, _) in zip(keys, draws))
+        seen[keys[0]] += 1
+    for k in sorted(every, key=every.get, reverse=True)[:6]:
+        p = every[k] / total
+        assert abs(seen[k] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-9
+    assert 16 in {len(model.bytes_of[k[0]]) for k in every if len(k) == 1}
+
+
+@pytest.mark.parametrize("text", ["9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "Достопримечательности" * 3, "https://example.org/path?query=" * 60, "x" * 20_000])
+def test_sums_over_long_units(model, text):
+    raw = b" " + text.encode()
+    spelled = {b: model.probability[i] for i, b in enumerate(model.bytes_of) if b and i not in set(model.byte_ids)}
+    log_sums = [0.0] + [-math.inf] * len(raw)  # over all pieces that end at a byte
+    for end in range(1, len(raw) + 1):
+        ways = [log_sums[a] + math.log(spelled[raw[a:end]]) for a in range(max(0, end - 48), end) if raw[a:end] in spelled and log_sums[a] > -math.inf]
+        if ways:
+            log_sums[end] = max(ways) + math.log(sum(math.exp(w - max(ways)) for w in ways))
+    assert segmentation.units_of(text) == [text]
+    lattices = segmentation.Lattices([text], model)
+    assert math.isclose(lattices.log_finish[0], log_sums[-1], rel_tol=1e-9)
+    [draws] = segmentation.sample([text], np.array([3], np.uint64), model)
+    for pieces, log_p, _ in draws:
+        assert model.decode(pieces) == text and math.isclose(log_p, np.log(model.probability[pieces]).sum(), rel_tol=1e-9)
+
+
 def test_few_segmentations_give_all(model):
     [draws] = segmentation.sample([""], np.array([1], np.uint64), model, 5)
     assert [model.decode(p) for p, _, _ in draws] == [""] and len(draws[0][0]) == 1 and draws[0][2] == 0.0

@@ -10,8 +10,8 @@ k pops give k distinct segmentations, drawn without replacement in proportion to
 sibling left open is the threshold of the inclusion scores.
 
 The lattice is that of units: a run of blanks with the word after it. No piece of the vocabulary crosses the start of
-a unit, so all units of a batch are walked at once. A unit of more than UNIT_BYTES bytes is cut (between
-characters), and pieces do not cross the cuts.
+a unit, so all units of a batch are walked at once. Units have any length; beyond LINEAR_BYTES from their end the sums
+over the ways to finish are kept as logarithms.
 
 Defined results: null and empty texts have one segmentation, of the blank in front; a text with fewer than k
 segmentations gives them all, with inclusion 1; numbers are drawn from seed, id and text position only, so
@@ -34,21 +34,18 @@ from tradewind.llm.common import mixed, prefix_hashes, sliced
 from tradewind.llm.piece_model import META, PieceModel
 
 K = 2
-UNIT_BYTES = 40
+#: So near to a unit's end the sums are products of doubles, which cannot underflow there even if all bytes are spelled out.
+LINEAR_BYTES = 40
 CHUNK = 1_500_000
 #: Siblings of nodes below this log-probability are first looked at together.
 _DEEP = -12.0
-GOES_ON = "\ue000"
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 _D = np.uint64(0xD6E8FEB86659FD93)
 
 
 def units_of(text: str) -> list[str]:
-    """The text, with one blank in front, cut before every run of blanks; long units are cut again.
-
-    The first blank of a unit is left out; a unit that goes on after a cut starts with GOES_ON.
-    """
+    """The text, with one blank in front, cut before every run of blanks; the first blank of a unit is left out."""
     out = text.split(" ")
     if "" in out:
         runs, blanks = [], 0
@@ -59,32 +56,14 @@ def units_of(text: str) -> list[str]:
             else:
                 blanks += 1
         out = [*runs, " " * (blanks - 1)] if blanks else runs
-    short = (UNIT_BYTES - 3) // 3
-    if all(len(u.encode()) + 2 * u.count(" ") + 3 <= UNIT_BYTES for u in out if len(u) > short):
-        return out
-    cut = []
-    for unit in out:
-        if len(unit.encode().replace(b" ", META)) + 3 <= UNIT_BYTES:
-            cut.append(unit)
-            continue
-        part, size = [], 3
-        for c in unit:
-            width = len(c.encode().replace(b" ", META))
-            if size + width > UNIT_BYTES:
-                cut.append("".join(part))
-                part, size = [GOES_ON], 0
-            part.append(c)
-            size += width
-        cut.append("".join(part))
-    return cut
+    return out
 
 
 def _encoded(units: list[str]) -> list[bytes]:
     """The units as bytes, with their first blank, a literal U+2581 marked, and blanks as pieces write them."""
-    joined = "\0".join(units)
-    if "\0" in "".join(units) or GOES_ON in joined:
-        return [(u[1:] if u[:1] == GOES_ON else " " + u).encode().replace(META, _SPELLED).replace(b" ", META) for u in units]
-    raw = joined.encode().replace(META, _SPELLED).replace(b" ", META)
+    if "\0" in "".join(units):
+        return [(" " + u).encode().replace(META, _SPELLED).replace(b" ", META) for u in units]
+    raw = "\0".join(units).encode().replace(META, _SPELLED).replace(b" ", META)
     return [META + u for u in raw.split(b"\0")]
 
 
@@ -100,7 +79,8 @@ class Lattices:
         flat = np.frombuffer(joined, np.uint8)
         original = np.frombuffer(joined.replace(_SPELLED, META), np.uint8)
         sums = prefix_hashes(flat)
-        left = (np.repeat(self.start[1:] - 1, width + 1) - np.arange(n)).astype(np.uint8)
+        kind = np.min_scalar_type(int(width.max(initial=0)))  # small integers sort faster
+        left = (np.repeat(self.start[1:] - 1, width + 1) - np.arange(n)).astype(kind)
         self.last = left == 0
         nodes, pieces, sizes, slots = [], [], [], []
         count = np.zeros(n, np.int32)
@@ -111,7 +91,7 @@ class Lattices:
 
         first_two = flat.astype(np.uint16) << np.uint16(8)
         first_two[:-1] |= flat[1:]
-        reach = np.minimum(left, model.reach[first_two])
+        reach = np.minimum(np.minimum(left, 255).astype(np.uint8), model.reach[first_two])
         at = np.flatnonzero(left).astype(np.int32)
         for size in model.lengths:
             at = at[reach[at] >= size]
@@ -134,16 +114,27 @@ class Lattices:
         of_edge = left[node]
         by_left = np.argsort(of_edge, kind="stable")
         edges = np.concatenate([[0], np.cumsum(np.bincount(of_edge, minlength=int(left.max(initial=0)) + 1))])
-        for d in range(1, len(edges) - 1):
+        near = min(len(edges) - 1, LINEAR_BYTES + 1)
+        for d in range(1, near):
             own = by_left[edges[d] : edges[d + 1]]
             if len(own):
                 p[own] *= finish[self.target[own]]
                 heads = np.flatnonzero(np.concatenate([[True], node[own][1:] != node[own][:-1]]))
                 finish[node[own[heads]]] = np.add.reduceat(p[own], heads)
-        self.finish = finish
+        far = by_left[edges[near] :]
+        finish[node[far]] = 1.0  # those follow as logarithms
         share = p / finish[node]
         with np.errstate(divide="ignore"):
-            self.log_share = np.log(share)
+            self.log_share, self.log_finish = np.log(share), np.log(finish)
+        ways, ahead = self.log_share[far], self.target[far]
+        heads = np.flatnonzero(np.diff(node[far], prepend=-1))
+        begun, bounds = node[far[heads]], np.searchsorted(heads, edges[near:] - edges[near])
+        for d in range(len(bounds) - 1):
+            own, some = slice(*(edges[near + d : near + d + 2] - edges[near])), slice(bounds[d], bounds[d + 1])
+            if own.start < own.stop:
+                self.log_finish[begun[some]] = np.logaddexp.reduceat(ways[own] + self.log_finish[ahead[own]], heads[some] - own.start)
+        self.log_share[far] = ways + self.log_finish[ahead] - self.log_finish[node[far]]
+        share[far] = np.exp(self.log_share[far])
         self.upto = np.full((n, int(slot.max(initial=0)) + 1), 2.0)  # running shares of each node's edges
         running = share.copy()
         for s in range(1, self.upto.shape[1]):  # node by node, so that no sum depends on the other units
@@ -227,7 +218,7 @@ def sample(texts: list[str], seeds: np.ndarray, model: PieceModel, k: int = K) -
     unit = np.fromiter(map(numbers.__getitem__, chain.from_iterable(per_text)), np.int64, int(sizes.sum()))
     lattices = Lattices(list(numbers), model)
     node_of = np.repeat(np.arange(len(lattices.first) - 1), np.diff(lattices.first))
-    log_finish = np.log(lattices.finish[lattices.start[:-1]])
+    log_finish = lattices.log_finish[lattices.start[:-1]]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     place = (np.arange(len(unit)) - np.repeat(bounds[:-1], sizes)).astype(np.uint64)
     text_of = np.repeat(np.arange(len(texts)), sizes)
