@@ -41,6 +41,15 @@ def test_quality_rules_without_trusted_rows_or_rows(spark, documents):
     assert quality_rules.quality_rules(docs.limit(0), none).count() == 0
 
 
+def test_all_trusted_documents_count(spark):
+    docs = spark.range(30_000).selectExpr("id as doc_id", "if(id < 25000, 'aaa', 'bbb') as text")
+    got = {r.cell: r.weight for r in quality_rules.log_ratios(docs, docs.where("doc_id < 25000").select("doc_id")).collect()}
+    cell = lambda text: zlib.crc32(text.encode()) % quality_rules.CELLS
+    share = lambda n, total: (n + 1) / (total + quality_rules.CELLS)
+    weight = lambda t, r: round(1e6 * np.log(share(t, 25_000) / share(r, 30_000)))
+    assert got == {cell(" aaa"): weight(25_000, 25_000), cell(" bbb"): weight(0, 5_000)}
+
+
 def test_ratio_separates_junk(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     kept = quality_rules.quality_rules(docs, labels.where("quality = 1").select("doc_id")).join(labels, "doc_id").where("not base_failed")

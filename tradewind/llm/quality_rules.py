@@ -22,7 +22,7 @@ UNIT = 1_000_000
 #: Documents below this mean log ratio, in millionths, are dropped.
 THRESHOLD = -400_000
 TAIL = 3
-#: The trusted multinomial is fitted on at most so many documents; the raw one on all.
+#: Read by the SQL twin only, which still takes at most so many trusted documents; the operator takes all.
 TRUSTED_BOUND = 20_000
 
 
@@ -85,12 +85,11 @@ def cells(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_cel
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_cells: int = CELLS) -> DataFrame:
     """At most ``n_cells`` rows (cell, weight): ln of the smoothed trusted over the smoothed raw share, in millionths.
 
-    ``trusted_ids`` holds one column of ids, of which the TRUSTED_BOUND with the smallest md5 are used; so few
-    ids may be broadcast. Both counts come from one pass over all documents, summed by cell before the shuffle.
+    ``trusted_ids`` holds one column of ids, all of which are used; Spark chooses the join by their size. Both
+    counts come from one pass over all documents, summed by cell before the shuffle.
     """
     marked = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("trusted_id")).distinct()
-    marked = marked.orderBy(F.md5(F.col("trusted_id").cast("string").cast("binary")), "trusted_id").limit(TRUSTED_BOUND)
-    flagged = docs.select(id_col, text_col).join(F.broadcast(marked), F.col(id_col) == F.col("trusted_id"), "left")
+    flagged = docs.select(id_col, text_col).join(marked, F.col(id_col) == F.col("trusted_id"), "left")
     pairs = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias(id_col), text_col)
     counts = cells(pairs, id_col, text_col, n_cells).groupBy("cell").agg(F.sum("id").alias("t"), F.count("*").alias("r"))
     counts = stored(counts, "cell-counts")
