@@ -149,6 +149,23 @@ def test_quotation_is_told_from_abuse():
     assert dict(zip(rows.tolist(), quoted.tolist())) == {0: False, 1: True, 2: False, 3: False, 4: True}
 
 
+def test_terms_of_all_scripts_and_lengths(spark, documents):
+    terms = ["придурок", "ηλίθιος", "احمق", "笨蛋", "ass", "x" * 30]
+    automaton = toxicity.Automaton([(t, False) for t in sorted(terms)])
+    texts = ["ты придурок да", "ты придурак да", "о ηλίθιος", "يا احمق", "他 笨蛋 😀", "an ass", "an asse", "x" * 30, "другой 好 λόγος"]
+    rows, _, edits, *_ = automaton.find(texts)
+    assert dict(zip(rows.tolist(), edits.tolist())) == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 7: 0}
+    extra = ["q" + "".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(250)]
+    rows = [(40 * k + i, f"plain {t} text{i}") for k, t in enumerate(terms + extra) for i in range(20)]
+    clean = [(10**6 + i, f"plain text{i} {'other' * (i % 3)}") for i in range(len(rows))]
+    docs = documents(rows + clean)
+    labels = docs.selectExpr("doc_id as id", "int(doc_id < 1000000) as label")
+    model = toxicity.fit(docs, labels)
+    assert {t for t, stem in model.automaton.terms if not stem} >= set(terms)
+    got = {r.id: r.score for r in toxicity.predict(docs, model).collect()}
+    assert all(got[i] > 0.5 for i, _ in rows) and all(got[i] < 0.5 for i, _ in clean)
+
+
 def test_toxicity_of_held_out_documents(spark, documents):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     labels = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))

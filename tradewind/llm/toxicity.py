@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import sampled_rows, stored
 
-#: At most so many labelled rows are learned from, and so many terms kept.
+#: At most so many labelled rows are learned from.
 MAX_TRAINING = 12_000
-MAX_TERMS = 200
+#: The test for chance allows for at most so many candidates.
 MAX_CANDIDATES = 20_000
 STEM_LENGTHS = range(4, 10)
 FUZZY_LENGTH = 5
@@ -39,6 +40,15 @@ _WORD = regex.compile(r"\p{L}+")
 _QUOTES = "\"“”„«»‘‹›`"
 
 
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters, as _WORD has it."""
+    out = np.zeros(0x110000, bool)
+    for run in _WORD.finditer("".join(map(chr, range(len(out))))):
+        out[run.start() : run.end()] = True
+    return out
+
+
 class Automaton:
     """All words within one edit of a term: ``table[state, class]``, state 0 dead, 1 the start.
 
@@ -91,13 +101,16 @@ class Automaton:
         rows, waiting = {0: [0] * (len(letters) + 1)}, [closed({(0, 0)})]
         while waiting:
             state = waiting.pop()
-            row = []
-            for c in range(len(letters) + 1):
+            row: list[int] = []
+            told_apart = sorted({c for node, _ in state if node >= 0 for c in children[node]})
+            for c in (0, *told_apart):  # all other letters lead where class 0 does
                 after = step(state, c)
                 if after not in numbers:
                     numbers[after] = len(numbers)
                     waiting.append(after)
-                row.append(numbers[after])
+                if c == 0:
+                    row = [numbers[after]] * (len(letters) + 1)
+                row[c] = numbers[after]
             rows[numbers[state]] = row
         self.table = np.array([rows[k] for k in range(len(numbers))], np.int32)
         self.hits, self.edits = np.full(len(numbers), -1), np.zeros(len(numbers), np.int8)
@@ -112,17 +125,21 @@ class Automaton:
         for c, k in self.classes.items():
             if ord(c) < _LATIN:
                 self.class_of[ord(c)] = k
-        self.letter = np.array([chr(c).isalpha() for c in range(_LATIN)] + [True])
+        self.wide = np.array([ord(c) for c in letters if ord(c) >= _LATIN], np.uint32)  # sorted, of the last classes
 
     def find(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Of every hit: row, term, edits, quoted, and the word's place (start, end) in the joined text; and that text."""
         joined = "\n".join(texts)
         points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
         small = np.minimum(points, _LATIN)
-        word = self.letter[small] & ~((points >= 0x2000) & (points < 0x2C00)) & ~((points >= 0x3000) & (points < 0x3040))
+        word = _letters()[points]
         edge = np.diff(word.view(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         kind = self.class_of[small]
+        if len(self.wide):
+            far = np.flatnonzero(points >= _LATIN)
+            at = np.minimum(np.searchsorted(self.wide, points[far]), len(self.wide) - 1)
+            kind[far] = np.where(self.wide[at] == points[far], len(self.classes) - len(self.wide) + 1 + at, 0)
         state, alive, width = np.ones(len(starts), np.int32), np.arange(len(starts)), ends - starts
         t = 0
         while len(alive):
@@ -194,12 +211,17 @@ def _runs(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def choose_terms(counts: list[tuple], toxic: int, clean: int) -> list[tuple[str, bool]]:
+def _least(candidates: int) -> float:
+    """The log-likelihood ratio from which a term is no chance among so many."""
+    return math.log(min(candidates, MAX_CANDIDATES) + 1) + 2
+
+
+def choose_terms(counts: list[tuple], toxic: int, clean: int, candidates: int) -> list[tuple[str, bool]]:
     """Terms from (text, is_stem, toxic rows, clean rows, toxic rows with OFTEN hits, clean ones): mostly toxic, and too
     often to be chance. Of nested stems that cover the same rows the longest stands, a whole word before an equal stem.
     """
     share = toxic / (toxic + clean)
-    least = math.log(len(counts) + 1) + 2
+    least = _least(candidates)
 
     def telling(t: int, c: int) -> bool:
         p = t / max(t + c, 1)
@@ -217,7 +239,7 @@ def choose_terms(counts: list[tuple], toxic: int, clean: int) -> list[tuple[str,
         if any(x in strong and strong[x] > t / 0.9 for x in shorter):
             continue
         chosen[term, stem] = t
-    return sorted(sorted(chosen, key=lambda x: (-chosen[x], x))[:MAX_TERMS])
+    return sorted(chosen)
 
 
 def _term_counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) -> DataFrame:
@@ -229,12 +251,11 @@ def _term_counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) ->
             for text in _folded(batch.column(1).to_pylist()):
                 own: Counter = Counter()
                 for word, n in Counter(_WORD.findall(text)).items():
-                    if 4 <= len(word) <= 24:
-                        own[word, False] += n
-                        for k in STEM_LENGTHS:
-                            if k > len(word):
-                                break
-                            own[word[:k], True] += n
+                    own[word, False] += n
+                    for k in STEM_LENGTHS:
+                        if k > len(word):
+                            break
+                        own[word[:k], True] += n
                 for key, n in own.items():
                     if only is None or key in only:
                         once[key] += 1
@@ -250,7 +271,7 @@ def _term_counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) ->
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_TRAINING) -> Model:
     """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id.
 
-    Candidate terms are the MAX_CANDIDATES that most of those toxic texts hold.
+    Candidate terms are those of three toxic texts or more; only those that could pass the test leave the executors.
     """
     chosen = sampled_rows(labels.where("label in (0, 1)").dropDuplicates(["id"]), "id", max_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
@@ -260,11 +281,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     base = math.log((toxic + 0.5) / (clean + 0.5))
     if not toxic or not clean:
         return Model(Automaton([]), base)
-    most = _term_counts(rows.where("label = 1")).where("once >= 3").orderBy(F.desc("once"), "term", "stem").limit(MAX_CANDIDATES)
+    found = stored(_term_counts(rows.where("label = 1")).where("once >= 3"), "candidates")
+    candidates = found.count()
+    # no term does better than in toxic texts alone
+    most = found.where(F.col("once") * math.log((toxic + clean) / toxic) >= _least(candidates) - 1e-6)
     of_toxic = {(r.term, r.stem): (r.once, r.often) for r in most.collect()}
     of_clean = {(r.term, r.stem): (r.once, r.often) for r in _term_counts(rows.where("label = 0"), set(of_toxic)).collect()}
     counts = [(*key, t, of_clean.get(key, (0, 0))[0], t2, of_clean.get(key, (0, 0))[1]) for key, (t, t2) in of_toxic.items()]
-    model = Model(Automaton(choose_terms(counts, toxic, clean)), base)
+    model = Model(Automaton(choose_terms(counts, toxic, clean, candidates)), base)
     if not model.automaton.terms:
         return model
     return _weigh(model, _training_hits(rows, model.automaton), toxic, clean)
