@@ -8,6 +8,8 @@ import time
 
 import duckdb
 
+#: The generated tables that tests run on.
+SMALL = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()

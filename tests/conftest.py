@@ -3,9 +3,10 @@ from pathlib import Path
 
 import pytest
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SMALL = "/root/testdata/sf0.001"
+from compare import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,6 +19,11 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def small():
+    return SMALL
+
+
 @pytest.fixture(scope="session")
 def warehouse(spark):
     from tradewind.plans.warehouse import open_generated

@@ -1,8 +1,7 @@
 """Every registered query against its SQL twin."""
 
 import pytest
-from compare import connect, differences
-from conftest import SMALL
+from compare import SMALL, connect, differences
 
 import __spark_entry__ as entry
 from oracle.queries import statements
