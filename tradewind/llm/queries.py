@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import language_id, mixing, ngram_join, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc
+from tradewind.llm import (
+    language_id, mixing, ngram_join, pair_merges, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc,
+)
 from tradewind.llm.common import bucket_of_id, stored, table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +78,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pair_merges.encode(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    encoded = encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+    decoded = pair_merges.decode(encoded, WORD_VOCABULARY)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_language_id, op3_quality_classifier, op4_exact_top_k, op5_warc, op6_suffix_dedup,
-        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, pipeline,
+        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, op11_pair_merges, pipeline,
     )
 }
 
