@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    language_id, mixing, ngram_join, pair_merges, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc,
+    hard_negatives, language_id, mixing, ngram_join, pair_merges, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc,
 )
 from tradewind.llm.common import bucket_of_id, stored, table
 
@@ -85,6 +85,13 @@ def op11_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: every hundredth row; labels of every seventh row are moved on by one first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,7 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_language_id, op3_quality_classifier, op4_exact_top_k, op5_warc, op6_suffix_dedup,
-        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, op11_pair_merges, pipeline,
+        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, op11_pair_merges, op12_hard_negatives, pipeline,
     )
 }
 

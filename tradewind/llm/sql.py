@@ -129,6 +129,30 @@ from d left join sizes using (doc_id) join (select doc_id, min(other) as compone
 """
 
 
+OP12 = """
+with x as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda v: floor(v::double * 256)::bigint) as q
+  from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::bigint as score
+  from x a join x b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from (
+    select *, row_number() over (partition by anchor_id order by score desc, vec_id) as k from scored where same) where k <= 5
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as rank
+  from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+    and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+) where rank <= 10
+"""
+
+
 def mix_sql(docs: str, seed: int = 20) -> str:
     """Copies of the rows of the table ``docs`` with equal weights for its sources."""
     return f"""
@@ -156,4 +180,5 @@ ORACLE: dict[str, str] = {
     "op6_suffix_dedup": OP6,
     "op9_ngram_jaccard": OP9,
     "op10_mixing": mix_sql("documents"),
+    "op12_hard_negatives": OP12,
 }
