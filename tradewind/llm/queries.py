@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    hard_negatives, language_id, mixing, ngram_join, pair_merges, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc,
+    hard_negatives, language_id, mixing, ngram_join, pair_merges, prefix_trie, quality_model, quality_rules, segmentation, suffix_dedup, top_k, toxicity, warc,
 )
 from tradewind.llm.common import bucket_of_id, stored, table
 
@@ -92,6 +92,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", label), F.col("id") % 100 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(prefix_trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.trie(*prefix_trie.rebuilt(rows)).withColumnRenamed("ends", "ends_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,7 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_language_id, op3_quality_classifier, op4_exact_top_k, op5_warc, op6_suffix_dedup,
-        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, op11_pair_merges, op12_hard_negatives, pipeline,
+        op7_segmentation, op8_toxicity, op9_ngram_jaccard, op10_mixing, op11_pair_merges, op12_hard_negatives, op13_prefix_trie, pipeline,
     )
 }
 

@@ -153,6 +153,46 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 """
 
 
+OP13 = rf"""
+with t as (select {CRC_TABLE} as crc),
+numbered as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first) as i
+  from conversations where conv_id is not null
+),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base, {crc32("conv_id::varchar")} % 6 as h from (select distinct conv_id from conversations where conv_id is not null), t
+),
+rebuilt as (
+  select conv_id, i, role, text from numbered join convs using (conv_id) where i > h
+  union all select c.conv_id, n.i, n.role, n.text from convs c join numbered n on n.conv_id = c.base and n.i <= c.h
+),
+placed as (
+  select conv_id, row_number() over (partition by conv_id order by i) as d, md5(length(role) || ':' || role || text) as turn, length(text) as size from rebuilt
+),
+prefixes as (
+  select conv_id, d, size, md5(array_to_string(list(turn) over (partition by conv_id order by d rows unbounded preceding), ' ')) as key from placed
+  union all select conv_id, 0, 0, '' from convs
+),
+reach as (select conv_id, max(d) as depth from prefixes group by conv_id),
+nodes as (
+  select d, key, min(conv_id) as conv_id, count(*) as n, max(size) as size, max(depth) as deepest,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = d), '') as ends
+  from prefixes join reach using (conv_id) group by d, key
+),
+above as (
+  select u.d, u.key, u.conv_id, (u.n - 1) * u.size as saved, (u.d = u.deepest)::bigint as leaf, p.d as up_d, p.key as up_key
+  from nodes u join prefixes p on p.conv_id = u.conv_id and p.d <= u.d
+),
+sums as (
+  select up_d as d, up_key as key, sum(saved)::bigint as saved_tokens, sum(leaf)::bigint as n_leaves, count(*) filter (where d = up_d + 1) as n_children
+  from above group by up_d, up_key
+),
+parents as (select a.d, a.key, n.conv_id as parent_conv_id from above a join nodes n on n.d = a.up_d and n.key = a.up_key where a.up_d = a.d - 1)
+select n.conv_id, n.d::bigint as depth, parent_conv_id, n.n as n_convs, n_children, n_leaves, saved_tokens, sha256(n.ends) as ends_sha256
+from nodes n join sums s on n.d = s.d and n.key = s.key left join parents p on n.d = p.d and n.key = p.key
+"""
+
+
 def mix_sql(docs: str, seed: int = 20) -> str:
     """Copies of the rows of the table ``docs`` with equal weights for its sources."""
     return f"""
@@ -181,4 +221,5 @@ ORACLE: dict[str, str] = {
     "op9_ngram_jaccard": OP9,
     "op10_mixing": mix_sql("documents"),
     "op12_hard_negatives": OP12,
+    "op13_prefix_trie": OP13,
 }
