@@ -23,6 +23,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,12 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from tradewind.llm.common import sliced
 
 #: Characters of text taken together; a longer text stands alone.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
 #: Words and pieces remembered between batches of a task before the memory starts anew.
 REMEMBERED = 300_000
-_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_BLANKS = re.compile("[\\x20\\x09-\\x0D]+")
+#: The pattern below for ASCII pieces, each ended by a line break.
+_PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\n]+|\n")
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -75,7 +78,7 @@ class MergeModel:
         self.special = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.special_ids = special
         letters = byte_letters()
-        self.byte_of = {c: b for b, c in enumerate(letters)}
+        self.byte_of = {ord(c): b for b, c in enumerate(letters)}
         self.inner = np.array([vocabulary[c] for c in letters], np.int32)
         self.final = np.array([vocabulary[c + suffix] for c in letters], np.int32)
         self.size = max([*vocabulary.values(), *special.values()]) + 1
@@ -101,12 +104,10 @@ class MergeModel:
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.by_code[at], -1)
 
-    def words(self, piece: str) -> list[bytes]:
-        """The words of a piece without special tokens, as UTF-8 bytes."""
-        if self.plain and piece.isascii():
-            return [w.encode() for w in _PLAIN.findall(piece.lower())]
+    def words(self, piece: str) -> list[str]:
+        """The words of a piece without special tokens, one letter below U+0100 for each byte."""
         piece = self.normalizer.normalize_str(piece) if self.normalizer else piece
-        return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in self.pre_tokenizer.pre_tokenize_str(piece)]
+        return [w.translate(self.byte_of) for w, _ in self.pre_tokenizer.pre_tokenize_str(piece)]
 
 
 def _disjoint(at: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -176,57 +177,78 @@ def merge(words: list[bytes], model: MergeModel) -> tuple[np.ndarray, np.ndarray
     return symbol[where], np.searchsorted(where, np.concatenate([[0], ends]))
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def _gathered(flat: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the chosen ranges of ``flat`` one after the other, their n + 1 bounds)."""
+    begin, size = bounds[chosen], bounds[chosen + 1] - bounds[chosen]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.arange(upto[-1]) - np.repeat(upto[:-1] - begin, size)], upto
+
+
 class Encoder:
-    """Encodes batches of texts; words and pieces met before are remembered, up to REMEMBERED of each."""
+    """Encodes batches of texts; words and pieces met before are remembered, up to REMEMBERED of each.
+
+    A word is known by a string of one letter for each byte, a special token by a tuple; number 0 is the line break that
+    ends a piece. Ids of all words, and of all pieces, stand in one array each.
+    """
 
     def __init__(self, model: MergeModel):
         self.model = model
         self._forget()
 
     def _forget(self) -> None:
-        self.pieces: dict[str, int] = {"": 0}
-        self.words: dict[bytes, int] = {}
-        self.word_ids: list[np.ndarray] = []
-        self.flat, self.bounds = np.zeros(0, np.int32), np.zeros(2, np.int64)
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Ids of pieces that have not been met."""
-        parts: list[list[int]] = []
-        unmet: dict[bytes, int] = {}
-        known = len(self.word_ids)
-        for piece in fresh:
-            own: list[int] = []
+        special = self.model.special_ids
+        self.words = _Numbers({"\n": 0, **{(t,): k for k, t in enumerate(special, 1)}})
+        self.word_ids = np.array(list(special.values()), np.int32)
+        self.word_bounds = np.concatenate([[0], np.arange(len(special) + 1)])
+        self.pieces = _Numbers({"": 0})
+        self.ids, self.bounds = np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def _cut(self, pieces: list[str]) -> Iterator[str | tuple[str]]:
+        """The words of pieces one by one, a line break after each piece."""
+        for piece in pieces:
             for k, part in enumerate(self.model.special.split(piece) if self.model.special else [piece]):
                 if k % 2:
-                    own.append(-1 - self.model.special_ids[part])
+                    yield (part,)
                 elif part:
-                    for word in self.model.words(part):
-                        number = self.words.get(word)
-                        own.append(unmet.setdefault(word, known + len(unmet)) if number is None else number)
-            parts.append(own)
-        ids, bounds = merge(list(unmet), self.model)
-        self.word_ids += np.split(ids, bounds[1:-1]) if unmet else []
-        self.words.update(unmet)
-        coded = [[self.word_ids[w] if w >= 0 else np.array([-1 - w], np.int32) for w in own] for own in parts]
-        sizes = np.array([sum(map(len, own)) for own in coded], np.int64)
-        self.flat = np.concatenate([self.flat, *(x for own in coded for x in own)])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        for piece in fresh:
-            self.pieces[piece] = len(self.pieces)
+                    yield from self.model.words(part)
+            yield "\n"
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Ids of pieces that have not been met, in the order of their numbers."""
+        model, known = self.model, len(self.words)
+        special = model.special if model.special and model.special.search("\n".join(fresh)) else None
+        plain = np.array([model.plain and p.isascii() and not (special and special.search(p)) for p in fresh], bool)
+        order = np.argsort(~plain, kind="stable")
+        n = int(plain.sum())
+        found = _PLAIN.findall("\n".join([fresh[i] for i in order[:n]] + [""] * (n > 0)).lower())
+        found += self._cut([fresh[i] for i in order[n:]])
+        number = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
+        ids, bounds = merge([w.encode("latin-1") for w in islice(self.words, known, None)], model)
+        self.word_bounds = np.concatenate([self.word_bounds, self.word_bounds[-1] + bounds[1:]])
+        self.word_ids = np.concatenate([self.word_ids, ids])
+        ids, upto = _gathered(self.word_ids, self.word_bounds, number)
+        ids, bounds = _gathered(ids, np.concatenate([[0], upto[:-1][number == 0]]), np.argsort(order))
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, n + 1 bounds)."""
         if len(self.pieces) > REMEMBERED or len(self.words) > REMEMBERED:
             self._forget()
-        cut = [re.split("[\\x20\\x09-\\x0D]+", t) if t else [] for t in texts]
-        counts = np.array([len(c) for c in cut], np.int64)
-        fresh = dict.fromkeys(p for c in cut for p in c if p not in self.pieces)
-        if fresh:
-            self._learn(list(fresh))
-        number = np.fromiter((self.pieces[p] for c in cut for p in c), np.int64, int(counts.sum()))
-        begin, size = self.bounds[number], self.bounds[number + 1] - self.bounds[number]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.arange(upto[-1]) - np.repeat(upto[:-1] - begin, size)]
+        cut = [_BLANKS.split(t) if t else [] for t in texts]
+        counts, known = np.array([len(c) for c in cut], np.int64), len(self.pieces)
+        number = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        if len(self.pieces) > known:
+            self._learn(list(islice(self.pieces, known, None)))
+        ids, upto = _gathered(self.ids, self.bounds, number)
         return ids, upto[np.concatenate([[0], np.cumsum(counts)])]
 
 
@@ -252,7 +274,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str | Column] = ("doc_id
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.value)
-        for batch in sliced(batches, 5000):
+        for batch in sliced(batches, 2500):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in _chunks(texts):
                 ids, bounds = encoder.encode(texts[a:b])
