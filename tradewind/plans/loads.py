@@ -19,6 +19,7 @@ from tradewind.sources.tables import TableStore
 
 MODES = ("full", "incremental", "auto")
 PARENT = "stg_orders"
+MARKS = "etl_marks"
 
 
 @dataclass(frozen=True)
@@ -39,12 +40,32 @@ def resolve_mode(store: TableStore, table: str, mode: str) -> str:
 
 
 def high_water_mark(store: TableStore, table: str = PARENT) -> datetime | None:
-    """Latest ``updated_at`` held, NULL for an empty or missing table."""
+    """How far a table has been loaded, NULL for an empty or missing table.
+
+    That is the mark committed after its last load, or the latest ``updated_at`` it holds if it was filled otherwise.
+    """
     if not store.exists(table):
         return None
+    if store.exists(MARKS):
+        mark = store.read(MARKS).filter(F.col("entity") == table).first()
+        if mark is not None:
+            return mark["high_water"]
+    if "updated_at" not in store.columns(table):
+        return None
     return store.read(table).agg(F.max("updated_at")).first()[0]
 
 
+def commit_mark(store: TableStore, table: str, mark: datetime | None, run_ts: datetime) -> None:
+    """Enter how far a table is loaded, after its rows are in. A load that failed leaves the mark before it."""
+    if mark is None:
+        return
+    store.create_if_absent(MARKS)
+    entry = store.spark.createDataFrame(pa.table({"entity": [table]})).withColumns(
+        {"high_water": F.lit(mark).cast("timestamp_ntz"), "updated_at": F.lit(run_ts).cast("timestamp_ntz")}
+    )
+    store.upsert(MARKS, entry, ["entity"])
+
+
 def changed_since(docs: DataFrame, mark: datetime, lookback_days: int = 0) -> DataFrame:
     """Documents updated at or after the mark.
 
@@ -78,7 +99,10 @@ def load_entity(
     if mode == "incremental" and mark is not None:
         changed = docs.join(parents, "id", "left_semi") if parents is not None else changed_since(docs, mark, lookback_days)
         store.create_if_absent(table)
-        return LoadResult(table, "incremental", store.upsert(table, flatten(changed, run_ts), schemas.STAGING_KEYS[table]))
+        rows = flatten(changed, run_ts)
+        if parents is not None and table in schemas.BUCKET_KEYS:
+            return LoadResult(table, "incremental", store.replace_children(table, rows, parents))
+        return LoadResult(table, "incremental", store.upsert(table, rows, schemas.STAGING_KEYS[table]))
     return LoadResult(table, "full", store.load_full(table, flatten(docs, run_ts)))
 
 
@@ -91,34 +115,30 @@ def load_orders(
 ) -> list[LoadResult]:
     """Load orders and their child tables from documents, one frame per table name.
 
-    The mark is read once, before the parent table moves it on; a child that read it
-    later would miss the rows of this very run.
+    Every table has a mark of its own, in terms of the orders' update times, that is committed after its rows are in. A run
+    that fails at one table is repeated from the marks: tables before it read again what they have, the others what they
+    lack. A child's rows of a changed order replace all rows of that order. Keys are checked after each load; a load that
+    fails is recorded as failed and raised.
     """
-    mark = high_water_mark(store)
     parent_docs = documents[PARENT]
+    reached = parent_docs.agg(F.max(parse_utc(F.col("updatedAt")))).first()[0]
     results = []
-    changed = None
-    if mark is not None:
-        changed = changed_since(parent_docs, mark, lookback_days).select("id").distinct()
     for table, flatten in ORDER_FLATTENERS.items():
         if table not in documents:
             continue
         chosen = resolve_mode(store, table, mode)
-        own = documents[table]
-        results.append(
-            load_entity(
-                store,
-                table,
-                own,
-                flatten,
-                run_ts,
-                chosen,
-                mark,
-                parents=None if table == PARENT else changed,
-                lookback_days=lookback_days,
-            )
-        )
-    record_state(store, results, run_ts)
+        mark = high_water_mark(store, table) if chosen == "incremental" else None
+        changed = None
+        if mark is not None and table != PARENT:
+            changed = changed_since(parent_docs, mark, lookback_days).select("id").distinct()
+        try:
+            results.append(load_entity(store, table, documents[table], flatten, run_ts, chosen, mark, changed, lookback_days))
+            later = [t for t in (mark, reached) if t is not None]
+            commit_mark(store, table, max(later) if later else None, run_ts)
+        except Exception:
+            record_state(store, [LoadResult(table, chosen, 0)], run_ts, "failed")
+            raise
+        record_state(store, results[-1:], run_ts, check_keys(store, table))
     return results
 
 

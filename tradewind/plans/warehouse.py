@@ -33,7 +33,7 @@ class StoredStaging(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         with self._locks[table]:
             if not self.store.exists(table):
-                self.store.load_full(table, self._frames(table), partition_by=PARTITIONS.get(table))
+                self.store.load_full(table, self._frames(table), partition_by=PARTITIONS.get(table), dealt=False)
         return self.store.read(table)
 
     def __iter__(self):

@@ -125,6 +125,15 @@ STAGING_KEYS: dict[str, tuple[str, ...]] = {
     "stg_gift_cards": ("id",),
 }
 
+#: Children of orders are dealt by their order, so that all children of a changed order stand in one bucket.
+BUCKET_KEYS: dict[str, tuple[str, ...]] = {
+    t: ("order_id",)
+    for t in (
+        "stg_order_line_items", "stg_order_transactions", "stg_order_tax_lines", "stg_order_discount_applications",
+        "stg_order_shipping_lines", "stg_fulfillments", "stg_refunds",
+    )
+}
+
 # --- fixed values: the warehouse tables ---------------------------------------
 WAREHOUSE: dict[str, str] = {
     "dim_date": (
@@ -306,6 +315,8 @@ VOUCHER: dict[str, str] = {
         "entity string, last_sync_at timestamp_ntz, last_run_status string, records_processed bigint, "
         "updated_at timestamp_ntz"
     ),
+    "etl_marks": "entity string, high_water timestamp_ntz, updated_at timestamp_ntz",
+    "retired_partitions": "table_name string, partition_value string, retired_at timestamp_ntz",
 }
 
 

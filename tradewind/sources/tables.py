@@ -1,109 +1,52 @@
-"""Versioned Parquet tables: full load, keyed upsert, snapshot partitions.
+"""Stored tables: full load, keyed upsert, replacement by parent, snapshot partitions, retention.
 
-Data files of a load stand in a folder of their own, ``data/load=<id>``. A version is a manifest that names the
-folders it consists of: whole loads, partitions, or buckets of the key. A load becomes visible when its manifest is
-created, which Hadoop does at once or not at all; what a failed load leaves behind is never read and is
-removed. An upsert rewrites only the buckets or partitions it touches and names the others again.
+Tables are managed Parquet tables in a database of Spark's catalog whose location is the store's root. Spark creates,
+overwrites and drops them; the store only chooses partitions. A table that takes upserts is dealt into buckets of its key, a
+snapshot table into days. A batch is staged as a table of its own first; then the partitions that it touches are read,
+merged with it and overwritten by Spark's dynamic partition overwrite, which changes the table when the job commits and not
+before. So a load that fails leaves the table as it was, and a repeat gives what the first run would have given.
+
+A full load of a table that holds rows is staged as well, so that only a copy is left to do when the old rows go. Use a
+catalog that lasts, such as a metastore, to open a store again from another application.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators.relational import align, latest_per_key
-from tradewind.session import scratch_path
 from tradewind.sources import schemas
 
 # Newest first, when a batch holds the same key twice.
 _RECENCY = ("updated_at", "extracted_at")
-_BUCKET = "key_bucket"
+KEY_BUCKET = "key_bucket"
+RETIRED = "retired_partitions"
 
 
 class TableStore:
-    """``buckets`` is the number of parts an upserted table is kept in: choose it so that a bucket is about a GB.
-
-    ``keep`` is the number of versions whose files stay, so that readers of the version before can finish.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8, keep: int = 2):
-        self.spark, self.root, self.buckets, self.keep = spark, root.rstrip("/"), buckets, keep
-        self._known: dict[str, dict] = {}
-
-    # --- files ------------------------------------------------------------------
-    def _fs(self, path: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    """``buckets`` is the number of parts an upserted or co-located table is kept in: choose it so that a bucket is about a GB."""
 
-    def _names(self, folder: str) -> list[str]:
-        fs, path = self._fs(folder)
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
-    def _remove(self, folder: str) -> None:
-        fs, path = self._fs(folder)
-        fs.delete(path, True)
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.database = "store_" + hashlib.md5(self.root.encode()).hexdigest()[:16]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
 
     # --- catalogue --------------------------------------------------------------
-    def _versions(self, table: str) -> list[int]:
-        names = self._names(f"{self.root}/{table}/versions")
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
-
-    def _manifest(self, table: str, version: int) -> dict:
-        fs, path = self._fs(f"{self.root}/{table}/versions/{version:08d}.json")
-        stream = fs.open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _current(self, table: str) -> dict | None:
-        """The manifest in force; remembered until this store loads the table or forgets it."""
-        if table not in self._known:
-            versions = self._versions(table)
-            if not versions:
-                return None
-            self._known[table] = self._manifest(table, versions[-1]) | {"version": versions[-1]}
-        return self._known[table]
-
-    def forget(self, table: str) -> None:
-        """Look for versions of other writers at the next use."""
-        self._known.pop(table, None)
-
-    def _publish(self, table: str, by: str | None, parts: dict[str, str]) -> None:
-        """Create the next manifest. If another writer took the number, theirs stands and this load fails."""
-        current = self._current(table)
-        version = current["version"] + 1 if current else 1
-        fs, path = self._fs(f"{self.root}/{table}/versions/{version:08d}.json")
-        fs, hidden = self._fs(f"{self.root}/{table}/versions/.{uuid.uuid4().hex}")
-        stream = fs.create(hidden, True)
-        stream.write(bytearray(json.dumps({"by": by, "parts": parts}).encode()))
-        stream.close()
-        if fs.exists(path) or not fs.rename(hidden, path):
-            fs.delete(hidden, False)
-            self.forget(table)
-            raise RuntimeError(f"{table}: version {version} was written meanwhile")
-        self._known[table] = {"by": by, "parts": parts, "version": version}
-        self._expire(table)
-
-    def _expire(self, table: str) -> None:
-        """Delete manifests before the last ``keep``, and the folders that only they name."""
-        versions = self._versions(table)
-        old = {v: self._manifest(table, v) for v in versions}
-        named = {folder for v in versions[-self.keep :] for folder in old[v]["parts"].values()}
-        for v in versions[: -self.keep]:
-            for folder in set(old[v]["parts"].values()) - named:
-                self._remove(f"{self.root}/{table}/{folder}")
-            self._remove(f"{self.root}/{table}/versions/{v:08d}.json")
+    def name(self, table: str) -> str:
+        return f"{self.database}.{table}"
 
     def exists(self, table: str) -> bool:
-        return self._current(table) is not None
+        return self.spark.catalog.tableExists(self.name(table))
 
     def create_if_absent(self, table: str) -> bool:
-        """Write an empty table from its declared schema; False when it was there."""
+        """Create an empty table from its declared schema; False when it was there."""
         if self.exists(table):
             return False
         self.load_full(table, self.spark.range(0).drop("id"))
@@ -116,76 +59,129 @@ class TableStore:
     def count(self, table: str) -> int:
         return self.read(table).count()
 
+    def partition_of(self, table: str) -> str | None:
+        """The column that deals the table into partitions."""
+        return next((c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition), None)
+
+    def partitions(self, table: str) -> list[str]:
+        """The partitions of a table as ``column=value``."""
+        return sorted(r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect())
+
     # --- scans ------------------------------------------------------------------
-    def read(self, table: str) -> DataFrame:
-        """Scan the current version with the declared types; partitions are pruned by its folders."""
-        current = self._current(table)
-        if current is None:
+    def read(self, table: str, hidden: Sequence[str] = ()) -> DataFrame:
+        """Scan a table with its declared columns, and ``hidden`` ones that it is dealt by. Filters on partitions prune them."""
+        if not self.exists(table):
             raise LookupError(f"no such table: {table}")
-        return self._scan(table, current, current["parts"].values())
-
-    def _scan(self, table: str, current: dict, folders) -> DataFrame:
-        kinds = schemas.ddl(table)
-        if current["by"] and current["by"] not in dict(schemas.columns(table)):
-            kinds += f", {current['by']} int"
-        base = f"{self.root}/{table}/data"
-        df = self.spark.read.schema(kinds).option("basePath", base).parquet(*[f"{self.root}/{table}/{f}" for f in folders])
-        return df.select([name for name, _ in schemas.columns(table)])
-
-    # --- sinks ------------------------------------------------------------------
-    def _write(self, table: str, df: DataFrame, by: str | None = None, sort_by: Sequence[str] = ()) -> tuple[int, dict[str, str]]:
-        """(rows, parts) of a new load that is not yet visible. A load that fails leaves nothing."""
-        load = f"data/load={uuid.uuid4().hex}"
-        if sort_by:
-            df = df.sortWithinPartitions(*([by] if by else []), *sort_by)
-        seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        df = self.spark.table(self.name(table))
+        if self.exists(RETIRED) and table != RETIRED:
+            gone = [r.partition_value for r in self._retired(table).collect()]  # one row for each retired partition
+            if gone:
+                df = df.filter(~F.coalesce(F.col(self.partition_of(table)).cast("string"), F.lit("")).isin(gone))
+        return df.select([name for name, _ in schemas.columns(table)] + list(hidden))
+
+    def _retired(self, table: str) -> DataFrame:
+        return self.spark.table(self.name(RETIRED)).filter(F.col("table_name") == table)
+
+    # --- staging ----------------------------------------------------------------
+    @contextmanager
+    def _staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` as a written table, dropped at the end."""
+        stage = self.name(f"stage_{uuid.uuid4().hex}")
         try:
-            (writer.partitionBy(by) if by else writer).parquet(f"{self.root}/{table}/{load}")
-        except BaseException:
-            self._remove(f"{self.root}/{table}/{load}")
-            raise
-        if not by:
-            return seen.get["rows"], {load: load}
-        names = [n for n in self._names(f"{self.root}/{table}/{load}") if n.startswith(f"{by}=")]
-        return seen.get["rows"], {n: f"{load}/{n}" for n in names} or {load: load}
+            df.write.format("parquet").saveAsTable(stage)
+            yield self.spark.table(stage)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+    def _writer(self, df: DataFrame, by: str | None) -> DataFrameWriter:
+        writer = df.write.format("parquet").option("partitionOverwriteMode", "dynamic")
+        return writer.partitionBy(by) if by else writer
+
+    def _overwrite(self, table: str, df: DataFrame) -> None:
+        """Overwrite the partitions that ``df`` has rows for; a table without partitions as a whole."""
+        by = self.partition_of(table)
+        layout = self.spark.table(self.name(table)).columns
+        (df.hint("rebalance", by) if by else df).select(layout).write.insertInto(self.name(table), overwrite=True)
+
+    def _drop_partitions(self, table: str, values: Sequence) -> None:
+        by = self.partition_of(table)
+        shown = ["null" if v is None else f"'{v}'" if isinstance(v, (str, date)) else str(v) for v in values]
+        if shown:
+            parts = ", ".join(f"PARTITION ({by} = {v})" for v in shown)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {parts}")
+
+    def _values(self, df: DataFrame, by: str) -> list:
+        """The partitions that rows belong to: few, buckets, days or months."""
+        return [r[0] for r in df.select(by).distinct().collect()]
+
+    # --- full loads -------------------------------------------------------------
+    def _bucket(self, table: str, keys: Sequence[str] = ()) -> Column:
+        dealt_by = schemas.BUCKET_KEYS.get(table) or schemas.STAGING_KEYS.get(table) or keys
+        return F.pmod(F.xxhash64(*dealt_by), F.lit(self.buckets)).cast("int")
 
     def load_full(
         self,
         table: str,
         df: DataFrame,
         truncate: bool = True,
-        partition_by: str | None = None,
+        partition_by: str | tuple[str, Column] | None = None,
         sort_by: Sequence[str] = (),
-        batch: str | None = None,
+        co_locate: tuple[str, Column] | None = None,
+        dealt: bool = True,
     ) -> int:
         """Replace the table (or append with ``truncate=False``); returns the rows loaded.
 
-        ``partition_by`` deals the rows into one folder for each value of that column, and filters on it prune
-        folders. ``sort_by`` orders rows inside each file, so that row groups can be skipped. An append under
-        the name of an earlier ``batch`` takes its place, so that it may be repeated.
+        ``partition_by`` deals the rows into one folder for each value of a column, declared or (name, expression); filters on
+        it prune folders. ``co_locate`` (name, expression) writes Spark buckets of that column, so that tables with the same
+        number of them join on it without a shuffle. A keyed staging table is dealt into buckets of its key, unless ``dealt``
+        is off because it will take no upserts. ``sort_by`` orders rows inside each file, so that row groups can be skipped.
         """
-        current = self._current(table)
         aligned = align(df, table)
-        if not truncate and current and current["by"] == _BUCKET:
-            raise ValueError(f"{table} is kept in buckets of its key: use upsert")
-        if not truncate and current:
-            partition_by = current["by"]
-        if partition_by:  # few files for each folder; large ones are split
-            aligned = aligned.hint("rebalance", partition_by)
-        rows, parts = self._write(table, aligned, partition_by, sort_by)
-        if not truncate and current:
-            mark = f"@{batch or uuid.uuid4().hex}"
-            kept = {k: f for k, f in current["parts"].items() if not (batch and k.endswith(mark))}
-            parts = {**kept, **{f"{k}{mark}": f for k, f in parts.items()}}
-        self._publish(table, partition_by, parts)
-        return rows
-
-    def _merged(self, target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Source rows replace target rows of the same key; NULL keys never match."""
-        untouched = target.join(source.select(*keys), list(keys), "left_anti")
-        return untouched.select(target.columns).unionByName(source)
-
+        if not truncate and self.exists(table):
+            return self._append(table, aligned)
+        by = partition_by if isinstance(partition_by, str) or partition_by is None else partition_by[0]
+        if by is None and dealt and not co_locate and table in schemas.STAGING_KEYS:
+            by, aligned = KEY_BUCKET, aligned.withColumn(KEY_BUCKET, self._bucket(table))
+        elif partition_by is not None and not isinstance(partition_by, str):
+            aligned = aligned.withColumn(*partition_by)
+        if self.exists(table):
+            with self._staged(aligned) as staged:
+                self._replace(table, staged, by, sort_by, co_locate)
+                return staged.count()
+        self._create(table, aligned, by, sort_by, co_locate)
+        return self.spark.table(self.name(table)).count()
+
+    def _create(self, table: str, df: DataFrame, by: str | None, sort_by: Sequence[str] = (), co_locate: tuple[str, Column] | None = None) -> None:
+        if co_locate:
+            df = df.withColumn(*co_locate).repartition(self.buckets, co_locate[0])
+        elif by:  # few files for each folder; large ones are split
+            df = df.hint("rebalance", by)
+        if sort_by:
+            df = df.sortWithinPartitions(*([by] if by else []), *sort_by)
+        writer = self._writer(df, by)
+        if co_locate:
+            writer = writer.bucketBy(self.buckets, co_locate[0])
+        writer.saveAsTable(self.name(table))
+
+    def _replace(self, table: str, staged: DataFrame, by: str | None, sort_by: Sequence[str], co_locate: tuple[str, Column] | None) -> None:
+        if by is None or co_locate or by != self.partition_of(table):
+            self.spark.sql(f"DROP TABLE {self.name(table)}")
+            self._create(table, staged, by, sort_by, co_locate)
+            return
+        before, now = self._values(self.spark.table(self.name(table)), by), self._values(staged, by)
+        self._overwrite(table, staged.sortWithinPartitions(by, *sort_by) if sort_by else staged)
+        self._drop_partitions(table, [v for v in before if v not in now])
+
+    def _append(self, table: str, aligned: DataFrame) -> int:
+        by = self.partition_of(table)
+        if by == KEY_BUCKET:
+            aligned = aligned.withColumn(KEY_BUCKET, self._bucket(table))
+        with self._staged(aligned) as staged:
+            layout = self.spark.table(self.name(table)).columns
+            staged.select(layout).write.insertInto(self.name(table))
+            return staged.count()
+
+    # --- merges -----------------------------------------------------------------
     def _latest(self, table: str, df: DataFrame, keys: Sequence[str], newest: Sequence[Column] | None) -> DataFrame:
         source = align(df, table)
         if newest is None:
@@ -194,17 +190,16 @@ class TableStore:
         rest = [F.col(c) for c in source.columns if c not in keys]
         return latest_per_key(source, keys, [*newest, *rest])
 
-    def upsert(
-        self, table: str, df: DataFrame, keys: Sequence[str] | None = None, newest: Sequence[Column] | None = None
-    ) -> int:
-        """Update matching keys, insert the rest. Idempotent but for NULL keys.
+    def upsert(self, table: str, df: DataFrame, keys: Sequence[str] | None = None, newest: Sequence[Column] | None = None) -> int:
+        """Update matching keys, insert the rest. Idempotent but for NULL keys, which never match.
 
         Only the buckets of the key that the source touches are written again. Returns the number of source rows
         merged; an empty source changes nothing.
         """
         keys = keys or schemas.STAGING_KEYS[table]
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-        return self._upsert(table, self._latest(table, df, keys, newest), keys, _BUCKET, bucket)
+        source = self._latest(table, df, keys, newest)
+        source = source.withColumn(KEY_BUCKET, self._bucket(table, keys))
+        return self._merge(table, source, KEY_BUCKET, lambda rows, staged: rows.join(staged.select(*keys), list(keys), "left_anti"), keys=keys)
 
     def upsert_partitions(self, table: str, df: DataFrame, partition: str, keys: Sequence[str] | None = None) -> int:
         """Upsert that writes only the partitions the source touches.
@@ -213,34 +208,80 @@ class TableStore:
         a repeated run of the same day replaces its rows, earlier days stay as they are.
         """
         keys = keys or schemas.STAGING_KEYS[table]
-        return self._upsert(table, self._latest(table, df, keys, None), keys, partition, F.col(partition))
+        source = self._latest(table, df, keys, None)
+        return self._merge(table, source, partition, lambda rows, staged: rows.join(staged.select(*keys), list(keys), "left_anti"))
 
-    def _upsert(self, table: str, source: DataFrame, keys: Sequence[str], by: str, value: Column) -> int:
-        path = scratch_path(self.spark, f"stage-{table}")
-        seen = Observation()
-        try:
-            source.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-            staged = self.spark.read.schema(source.schema).parquet(path)
-            merged = seen.get["rows"]
-            if not merged:
+    def replace_children(self, table: str, df: DataFrame, parents: DataFrame, parent: str | None = None) -> int:
+        """Remove all rows of ``parents`` (one column of ids) and insert ``df``, their rows now.
+
+        A child that its parent no longer has goes, also where children are keyed by their place in a list. The table is dealt
+        by its parent (``BUCKET_KEYS``), so only the buckets of changed parents are written again.
+        """
+        parent = parent or schemas.BUCKET_KEYS[table][0]
+        ids = parents.select(F.col(parents.columns[0]).alias(parent)).distinct()
+        source = align(df, table).withColumn(KEY_BUCKET, self._bucket(table))
+        with self._staged(ids) as changed:
+            buckets = changed.select(self._bucket(table).alias(KEY_BUCKET))
+            return self._merge(table, source, KEY_BUCKET, lambda rows, staged: rows.join(changed, parent, "left_anti"), buckets)
+
+    def _merge(
+        self,
+        table: str,
+        source: DataFrame,
+        by: str,
+        kept: Callable[[DataFrame, DataFrame], DataFrame],
+        also: DataFrame | None = None,
+        keys: Sequence[str] = (),
+    ) -> int:
+        """Overwrite the partitions of the staged source (and of ``also``) with the rows ``kept`` of them and the source."""
+        with self._staged(source) as staged:
+            merged = staged.count()
+            if not self.exists(table):
+                self._create(table, staged, by)
+                return merged
+            if self.partition_of(table) != by:  # the first merge deals the whole table
+                dealt = self.spark.table(self.name(table)).select([n for n, _ in schemas.columns(table)])
+                dealt = dealt.withColumn(by, self._bucket(table, keys)) if by == KEY_BUCKET else dealt
+                with self._staged(dealt) as whole:
+                    self._replace(table, whole, by, (), None)
+            touched = self._values(staged if also is None else staged.select(by).union(also), by)
+            if not touched:
                 return 0
-            current = self._current(table)
-            parts, target = {}, None
-            if current and current["by"] == by and not any("@" in k for k in current["parts"]):
-                touched = {self._folder(by, r[0]) for r in staged.select(value.alias(by)).distinct().collect()}  # few: buckets or days
-                parts = {k: f for k, f in current["parts"].items() if k not in touched}
-                folders = [f for k, f in current["parts"].items() if k in touched]
-                target = self._scan(table, current, folders) if folders else None
-            elif current:  # the first upsert deals the whole table
-                target = self.read(table)
-            rows = self._merged(target, staged, keys) if target is not None else staged
-            dealt = rows.withColumn(by, value) if by == _BUCKET else rows
-            _, new = self._write(table, dealt.hint("rebalance", by), by)
-            self._publish(table, by, {**parts, **new})
+            rows = self.spark.table(self.name(table))
+            some = rows.filter(F.col(by).isin([v for v in touched if v is not None]) | (F.col(by).isNull() if None in touched else F.lit(False)))
+            self._overwrite(table, kept(some, staged).select(rows.columns).unionByName(staged.select(rows.columns)))
+            bare = [v for v in touched if v not in self._values(staged, by)] if also is not None else []
+            if bare:  # partitions without new rows stay as they are above: those without old rows either go
+                left = self._values(kept(rows.filter(F.col(by).isin(bare)), staged), by)
+                self._drop_partitions(table, [v for v in bare if v not in left])
             return merged
-        finally:
-            self._remove(path)
 
-    @staticmethod
-    def _folder(by: str, value) -> str:
-        return f"{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+    # --- retention --------------------------------------------------------------
+    def retain(self, table: str, expired: Callable[[str], bool], soft: bool = False) -> list[str]:
+        """Remove the partitions whose value (as text) has ``expired``; returns their values.
+
+        Removed partitions are dropped with their files. With ``soft`` they are entered in a table of retired partitions
+        instead: reads leave them out, and ``restore`` brings them back.
+        """
+        by = self.partition_of(table)
+        if by is None or by == KEY_BUCKET:
+            raise ValueError(f"{table} is not kept in partitions of time")
+        values = [p.split("=", 1)[1] for p in self.partitions(table)]
+        old = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__" and expired(v)]
+        if soft:
+            if not self.exists(RETIRED):
+                self.create_if_absent(RETIRED)
+            known = {r.partition_value for r in self._retired(table).collect()}
+            rows = [(table, v) for v in old if v not in known]
+            if rows:
+                new = self.spark.createDataFrame(rows, "table_name string, partition_value string").withColumn("retired_at", F.current_timestamp())
+                self.load_full(RETIRED, new, truncate=False)
+            return old
+        self._drop_partitions(table, old)
+        return old
+
+    def restore(self, table: str) -> None:
+        """Bring back the retired partitions of a table."""
+        if self.exists(RETIRED):
+            others = self.spark.table(self.name(RETIRED)).filter(F.col("table_name") != table)
+            self.load_full(RETIRED, others)
