@@ -150,6 +150,10 @@ SELECT CASE WHEN product_type IN ('ECONOMY', 'SMALL', 'PROMO') THEN 'Value' WHEN
             ELSE 'Other' END AS category, sum(net_amount) AS revenue, sum(quantity_ordered) AS units FROM fact_order_line_item GROUP BY 1"""
 B["cf10_retention_window"] = """
 SELECT count(*) AS orders, min(created_at) AS oldest FROM stg_orders WHERE created_at >= DATE '1999-12-31'"""
+B["cf10_retained_months"] = """
+SELECT CAST(year(created_at) * 100 + month(created_at) AS INTEGER) AS month, count(*) AS orders FROM stg_orders
+WHERE created_at >= DATE '1999-12-01' GROUP BY 1"""
+B["cf10_retired_months"] = B["cf10_retained_months"]
 B["cf12_gateways_in_use"] = "SELECT DISTINCT gateway FROM stg_order_transactions"
 _carriers = {"standard": "carrier_identifier = 'standard'", "express": "carrier_identifier = 'express'", "collect": "carrier_identifier = 'pickup'"}
 B["cf13_carrier_pivot"] = "SELECT order_id, " + ", ".join(

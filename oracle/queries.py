@@ -121,8 +121,8 @@ BODIES["vf2_generated_dimensions"] = """
 SELECT min(full_date) AS min_date, max(full_date) AS max_date, count(*) AS days, (SELECT count(*) FROM dim_time) AS time_rows,
        (SELECT min(time_key) FROM dim_time) AS min_key, (SELECT max(time_key) FROM dim_time) AS max_key,
        (SELECT count(*) FROM fact_order WHERE order_date_key NOT IN (SELECT date_key FROM dim_date)) AS orders_outside FROM dim_date"""
-BODIES["dw01_dim_date"] = "SELECT * FROM dim_date WHERE date_key IN (SELECT order_date_key FROM fact_order)"
-BODIES["dw02_dim_time"] = "SELECT * FROM dim_time WHERE time_key IN (SELECT order_time_key FROM fact_order)"
+BODIES["dw01_dim_date"] = "SELECT *, date_key IN (SELECT order_date_key FROM fact_order) AS in_use FROM dim_date"
+BODIES["dw02_dim_time"] = "SELECT *, time_key IN (SELECT order_time_key FROM fact_order) AS in_use FROM dim_time"
 BODIES["vf3_members"] = """
 SELECT (SELECT count(*) FROM dim_product WHERE product_key = -1) AS unknown_product,
        (SELECT count(*) FROM dim_customer WHERE customer_key = -1) AS unknown_customer,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import flag
+from tradewind.sources.tables import TableStore
 
 
 @dataclass(frozen=True)
@@ -165,6 +167,28 @@ def status_flags(rules: Mapping[str, tuple[str, Sequence[str]]] = STATUSES) -> l
     return [flag(F.col(column).isin(*values)).alias(name) for name, (column, values) in rules.items()]
 
 
+# --- fixed values: the retention policy -----------------------------------------
+STAGING_DAYS, FACT_MONTHS, SOFT_DELETE = 7, 60, True
+
+
+def retention_limit(as_of: date, days: int | None = None, months: int | None = None) -> date:
+    """The first day that is kept; a month that has no such day gives its last one."""
+    if days is not None:
+        return as_of - timedelta(days=days)
+    year, month = divmod(as_of.year * 12 + as_of.month - 1 - months, 12)
+    return date(year, month + 1, min(as_of.day, monthrange(year, month + 1)[1]))
+
+
+def apply_retention(store: TableStore, table: str, as_of: date, days: int | None = None, months: int | None = None, soft: bool = SOFT_DELETE) -> list[str]:
+    """Remove (or retire) the partitions that lie wholly before the window; returns their values.
+
+    Partitions are days (2001-12-31) or months (200112). What is left of the oldest partition is for ``within_retention``.
+    """
+    limit = retention_limit(as_of, days, months)
+    first = {10: limit.isoformat(), 6: f"{limit.year}{limit.month:02d}"}
+    return store.retain(table, lambda value: value < first[len(value)], soft)
+
+
 def within_retention(df: DataFrame, column: str, as_of: date, days: int | None = None, months: int | None = None) -> DataFrame:
     """Rows young enough to keep. On a partition column the rest is never read."""
     limit = F.lit(as_of)

@@ -2,7 +2,8 @@
 
 Pattern: the wide staging row is shuffled once, by its own key. Lookups and child
 aggregates run on narrow frames, carry only that key and the looked-up columns, and
-meet the wide row in joins that share one partitioning.
+meet the wide row in joins that share one partitioning. Orders and their children are stored
+in buckets of the order number (``ORDER_NUMBER``), so they join on it where they lie.
 """
 
 from __future__ import annotations
@@ -45,6 +46,15 @@ HEADER = (
 _HOUR, _DAY = 3_600_000_000, 86_400_000_000
 
 
+#: The order number of a child of orders; stored beside the declared columns where the table is kept in buckets of it.
+ORDER_NUMBER = ("order_num", lambda: id_digits(F.col("order_id")))
+
+
+def with_order_number(children: DataFrame) -> DataFrame:
+    """Children with their order number, the stored one if there is one: computed anew it would not fit the buckets."""
+    return children if ORDER_NUMBER[0] in children.columns else children.withColumn(ORDER_NUMBER[0], ORDER_NUMBER[1]())
+
+
 # --- order header ---------------------------------------------------------------
 def order_payments(transactions: DataFrame, width: int) -> DataFrame:
     """Successful sales of an order: the first ``width`` as columns, and how many there were."""
@@ -263,8 +273,11 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
 
 # --- order lines ----------------------------------------------------------------
 def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: DataFrame, loaded_at: Column) -> DataFrame:
-    """One row per line of a known order; a variant that is gone becomes the Unknown product."""
-    numbered = lines.withColumn("order_num", id_digits(F.col("order_id")))
+    """One row per line of a known order; a variant that is gone becomes the Unknown product.
+
+    Lines meet their orders in place. Keys and products are found on narrow frames, which the wide line joins by its id.
+    """
+    numbered = with_order_number(lines)
     headers = fact_order.select(
         F.col("order_id").alias("order_num"),
         "order_key",
@@ -288,12 +301,9 @@ def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: D
         [F.col("id")],
         "line_item_key",
     )
-    full = (
-        numbered.withColumn("variant_num", spread_nulls(id_digits(F.col("variant_id")), F.col("id")))
-        .join(headers, "order_num")
-        .join(catalogue, "variant_num", "left")
-        .join(keyed, "id")
-    )
+    variants = numbered.select("id", spread_nulls(id_digits(F.col("variant_id")), F.col("id")).alias("variant_num"))
+    sold = variants.join(catalogue, "variant_num", "left").drop("variant_num")
+    full = numbered.join(headers, "order_num").join(sold.join(keyed, "id"), "id")
     ordered, open_units = zero(F.col("quantity")), zero(F.col("unfulfilled_quantity"))
     returned = ordered - F.coalesce("current_quantity", "quantity")
     net = F.col("discounted_total")
@@ -363,9 +373,7 @@ def fact_fulfillment(
     places = dim_location.filter("location_id is not null").select(
         F.col("location_id").alias("loc_num"), "location_key", "location_name"
     )
-    shipped = fulfillments.withColumn("order_num", id_digits(F.col("order_id"))).withColumn(
-        "fid", id_digits(F.col("id"))
-    )
+    shipped = with_order_number(fulfillments).withColumn("fid", id_digits(F.col("id")))
     keyed = row_index(
         shipped.select("id", "created_at", "fid", "order_num").join(
             headers.select("order_num"), "order_num", "left_semi"
@@ -373,13 +381,9 @@ def fact_fulfillment(
         [F.col("created_at"), F.col("id")],
         "fulfillment_key",
     ).select("fid", "fulfillment_key")
-    full = (
-        shipped.withColumn("loc_num", spread_nulls(id_digits(F.col("location_id")), F.col("fid")))
-        .join(headers, "order_num")
-        .join(places, "loc_num", "left")
-        .join(line_counts, "fid", "left")
-        .join(keyed, "fid")
-    )
+    origins = shipped.select("fid", spread_nulls(id_digits(F.col("location_id")), F.col("fid")).alias("loc_num"))
+    sent = origins.join(places, "loc_num", "left").drop("loc_num").join(line_counts, "fid", "left").join(keyed, "fid")
+    full = shipped.join(headers, "order_num").join(sent, "fid")
     elapsed = micros_between(F.col("created_at"), F.col("order_created_at"))
     exact = elapsed.cast("decimal(20,0)")
     built = full.select(
@@ -445,7 +449,7 @@ def fact_refund(refunds: DataFrame, refund_lines: DataFrame, fact_order: DataFra
         "customer_email",
         "customer_name",
     )
-    given = refunds.withColumn("order_num", id_digits(F.col("order_id"))).withColumn("rid", id_digits(F.col("id")))
+    given = with_order_number(refunds).withColumn("rid", id_digits(F.col("id")))
     keyed = row_index(
         given.select("id", "created_at", "rid", "order_num").join(
             headers.select("order_num"), "order_num", "left_semi"
@@ -453,7 +457,8 @@ def fact_refund(refunds: DataFrame, refund_lines: DataFrame, fact_order: DataFra
         [F.col("created_at"), F.col("id")],
         "refund_key",
     ).select("rid", "refund_key")
-    full = given.join(headers, "order_num").join(refund_line_totals(refund_lines), "rid", "left").join(keyed, "rid")
+    counted = keyed.join(refund_line_totals(refund_lines), "rid", "left")
+    full = given.join(headers, "order_num").join(counted, "rid")
     share = percent_of(F.col("total_refunded"), F.col("total_amount"))
     built = full.select(
         "refund_key",

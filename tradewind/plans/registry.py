@@ -31,16 +31,16 @@ def register(name: str, build: Callable[[Warehouse], DataFrame], shown: str | Co
     QUERIES[name] = Query(build, contract(shown) if isinstance(shown, str) else shown)
 
 
-# Generated dimensions are shown by the members that orders use.
+# Calendar and clock are shown whole, with a flag for the members that orders use.
 _USED_BY = {"dim_date": ("date_key", "order_date_key"), "dim_time": ("time_key", "order_time_key")}
 
 
-def used_members(w: Warehouse, table: str) -> DataFrame:
+def with_use(w: Warehouse, table: str) -> DataFrame:
     if table not in _USED_BY:
         return w[table]
     key, used = _USED_BY[table]
-    keys = w["fact_order"].select(F.col(used).alias(key)).distinct()
-    return w[table].join(keys, key, "left_semi")
+    keys = w["fact_order"].select(F.col(used).alias(key)).distinct().withColumn("in_use", F.lit(True))
+    return w[table].join(keys, key, "left").withColumn("in_use", F.coalesce("in_use", F.lit(False)))
 
 
 # --- warehouse builds -------------------------------------------------------------
@@ -49,7 +49,7 @@ for number, table in enumerate(schemas.WAREHOUSE, start=1):
         "dim_date dim_time dim_product dim_customer dim_geography dim_discount dim_location fact_order "
         "fact_order_line_item fact_fulfillment fact_refund fact_inventory_snapshot"
     ).split()
-    register(f"dw{order.index(table) + 1:02d}_{table}", lambda w, t=table: used_members(w, t), of_table(table))
+    register(f"dw{order.index(table) + 1:02d}_{table}", lambda w, t=table: with_use(w, t), of_table(table) + ([("in_use", "b")] if table in _USED_BY else []))
 
 # --- metric views -----------------------------------------------------------------
 _ORDER = (

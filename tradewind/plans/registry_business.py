@@ -15,6 +15,7 @@ from tradewind.plans.registry import LAST_ORDER_DAY, register
 from tradewind.plans.warehouse import TEST_AS_OF, Warehouse
 from tradewind.session import scratch_path
 from tradewind.sources import schemas, segments
+from tradewind.sources.tables import TableStore
 
 # --- catalogue metrics --------------------------------------------------------------
 register("me01_sales_growth", metrics.sales_growth, "month:i revenue:m prior_revenue:m growth_rate:r")
@@ -170,13 +171,32 @@ register(
 )
 register("cf08_fiscal_quarters", fiscal_quarters, "fiscal_year:i fiscal_quarter:i orders:i revenue:m")
 register("cf09_categories", by_category, "category:s revenue:m units:i")
+def retained_orders(w: Warehouse, soft: bool = False) -> TableStore:
+    """Orders stored by month, after the months before the window have been removed (or retired)."""
+    store = TableStore(w.spark, scratch_path(w.spark, "retention"))
+    month = F.year("created_at") * 100 + F.month("created_at")
+    store.load_full("stg_orders", w.stg["stg_orders"], partition_by=("month", month.cast("int")))
+    rules.apply_retention(store, "stg_orders", TEST_AS_OF, months=24, soft=soft)
+    return store
+
+
 register(
     "cf10_retention_window",
-    lambda w: rules.within_retention(w.stg["stg_orders"], "created_at", TEST_AS_OF, months=24).agg(
+    lambda w: rules.within_retention(retained_orders(w).read("stg_orders"), "created_at", TEST_AS_OF, months=24).agg(
         F.count(F.lit(1)).alias("orders"), F.min("created_at").alias("oldest")
     ),
     "orders:i oldest:t",
 )
+register(
+    "cf10_retained_months",
+    lambda w: retained_orders(w).read("stg_orders", hidden=["month"]).groupBy("month").agg(F.count(F.lit(1)).alias("orders")),
+    "month:i orders:i",
+)
+register(
+    "cf10_retired_months",
+    lambda w: retained_orders(w, soft=True).read("stg_orders", hidden=["month"]).groupBy("month").agg(F.count(F.lit(1)).alias("orders")),
+    "month:i orders:i",
+)
 register(
     "cf12_gateways_in_use", lambda w: rules.distinct_values(w.stg["stg_order_transactions"], "gateway"), "gateway:s"
 )

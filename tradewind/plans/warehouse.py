@@ -33,9 +33,14 @@ class StoredStaging(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         with self._locks[table]:
             if not self.store.exists(table):
-                self.store.load_full(table, self._frames(table), partition_by=PARTITIONS.get(table), dealt=False)
+                self.store.load_full(table, self._frames(table), partition_by=PARTITIONS.get(table), co_locate=CO_LOCATED.get(table), dealt=False)
         return self.store.read(table)
 
+    def co_located(self, table: str) -> DataFrame:
+        """The table with the column it is kept in buckets of."""
+        self[table]
+        return self.store.read(table, hidden=[CO_LOCATED[table][0]])
+
     def __iter__(self):
         return iter(schemas.STAGING)
 
@@ -75,12 +80,18 @@ class Warehouse(Mapping):
                 self._build(table)
         return self.store.read(table)
 
+    def children(self, table: str) -> DataFrame:
+        """A staging table of order children, with its buckets where the staging store keeps them."""
+        return self.stg.co_located(table) if isinstance(self.stg, StoredStaging) else self.stg[table]
+
     def _build(self, table: str) -> None:
         needed = NEEDS.get(table, ())
         with ThreadPoolExecutor(max(len(needed), 1)) as pool:
             list(pool.map(lambda name: (self.stg if name in schemas.STAGING else self)[name], needed))
         frame = BUILDS[table](self)
-        self.store.load_full(table, frame, partition_by=PARTITIONS.get(table), sort_by=FILE_ORDER.get(table, ()))
+        self.store.load_full(
+            table, frame, partition_by=PARTITIONS.get(table), sort_by=FILE_ORDER.get(table, ()), co_locate=CO_LOCATED.get(table)
+        )
 
     def __iter__(self):
         return iter(BUILDS)
@@ -112,13 +123,13 @@ BUILDS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_location": lambda w: dim.dim_location(w.stg["stg_locations"], w.loaded_at),
     "fact_order": lambda w: fact.fact_order(w.stg, w, w.loaded_at),
     "fact_order_line_item": lambda w: fact.fact_order_line_item(
-        w.stg["stg_order_line_items"], w["fact_order"], w["dim_product"], w.loaded_at
+        w.children("stg_order_line_items"), w["fact_order"], w["dim_product"], w.loaded_at
     ),
     "fact_fulfillment": lambda w: fact.fact_fulfillment(
-        w.stg["stg_fulfillments"], w.stg["stg_fulfillment_line_items"], w["fact_order"], w["dim_location"], w.loaded_at
+        w.children("stg_fulfillments"), w.stg["stg_fulfillment_line_items"], w["fact_order"], w["dim_location"], w.loaded_at
     ),
     "fact_refund": lambda w: fact.fact_refund(
-        w.stg["stg_refunds"], w.stg["stg_refund_line_items"], w["fact_order"], w.loaded_at
+        w.children("stg_refunds"), w.stg["stg_refund_line_items"], w["fact_order"], w.loaded_at
     ),
     "fact_inventory_snapshot": lambda w: fact.fact_inventory_snapshot(
         w.stg["stg_inventory_levels"], w.stg["stg_product_variants"], w["dim_product"], w["dim_location"], w.loaded_at
@@ -168,6 +179,14 @@ FILE_ORDER = {
 # Columns that tables are dealt by into folders, so that a filter on them lists those folders only.
 PARTITIONS = {"stg_inventory_levels": "snapshot_date", "fact_inventory_snapshot": "snapshot_date"}
 
+# Tables kept in the same number of buckets of the order number, so that they join on it without a shuffle.
+CO_LOCATED = {
+    "fact_order": ("order_id", lambda: F.col("order_id")),
+    "stg_order_line_items": fact.ORDER_NUMBER,
+    "stg_fulfillments": fact.ORDER_NUMBER,
+    "stg_refunds": fact.ORDER_NUMBER,
+}
+
 # --- the generated tables as a warehouse -----------------------------------------
 # fixed values: their orders run from 1995 to 2001
 TEST_AS_OF = date(2001, 12, 31)

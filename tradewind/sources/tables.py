@@ -126,7 +126,7 @@ class TableStore:
         truncate: bool = True,
         partition_by: str | tuple[str, Column] | None = None,
         sort_by: Sequence[str] = (),
-        co_locate: tuple[str, Column] | None = None,
+        co_locate: tuple[str, Callable[[], Column]] | None = None,
         dealt: bool = True,
     ) -> int:
         """Replace the table (or append with ``truncate=False``); returns the rows loaded.
@@ -151,9 +151,9 @@ class TableStore:
         self._create(table, aligned, by, sort_by, co_locate)
         return self.spark.table(self.name(table)).count()
 
-    def _create(self, table: str, df: DataFrame, by: str | None, sort_by: Sequence[str] = (), co_locate: tuple[str, Column] | None = None) -> None:
+    def _create(self, table: str, df: DataFrame, by: str | None, sort_by: Sequence[str] = (), co_locate: tuple[str, Callable[[], Column]] | None = None) -> None:
         if co_locate:
-            df = df.withColumn(*co_locate).repartition(self.buckets, co_locate[0])
+            df = df.withColumn(co_locate[0], co_locate[1]()).repartition(self.buckets, co_locate[0])
         elif by:  # few files for each folder; large ones are split
             df = df.hint("rebalance", by)
         if sort_by:
@@ -163,7 +163,7 @@ class TableStore:
             writer = writer.bucketBy(self.buckets, co_locate[0])
         writer.saveAsTable(self.name(table))
 
-    def _replace(self, table: str, staged: DataFrame, by: str | None, sort_by: Sequence[str], co_locate: tuple[str, Column] | None) -> None:
+    def _replace(self, table: str, staged: DataFrame, by: str | None, sort_by: Sequence[str], co_locate: tuple[str, Callable[[], Column]] | None) -> None:
         if by is None or co_locate or by != self.partition_of(table):
             self.spark.sql(f"DROP TABLE {self.name(table)}")
             self._create(table, staged, by, sort_by, co_locate)
