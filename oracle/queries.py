@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle import staging, warehouse  # noqa: F401  (they define the shared expressions)
-from oracle import business
+from oracle import business, more
 from oracle.sql import half_up, present, rate, statement, units
 from tradewind.queries import QUERIES
 from tradewind.sources import schemas
@@ -296,6 +296,7 @@ FROM stg_order_discount_applications GROUP BY ALL"""
 
 
 BODIES.update(business.B)
+BODIES.update(more.M)
 
 
 def statements() -> dict[str, str]:

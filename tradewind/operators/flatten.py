@@ -421,6 +421,13 @@ def oversized(docs: DataFrame, connection: str, limit: int) -> DataFrame:
     )
 
 
+def cap_list(docs: DataFrame, connection: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with the first ``limit`` entries of an inner list, and documents that hold the entries beyond."""
+    edges = F.col(f"{connection}.edges")
+    part = lambda rows, first, count: rows.withColumn(connection, F.col(connection).withField("edges", F.slice(edges, first, count)))
+    return part(docs, 1, limit), part(docs.filter(F.size(edges) > limit), limit + 1, F.size(edges))
+
+
 ORDER_FLATTENERS: dict[str, Callable[[DataFrame, RunTime], DataFrame]] = {
     "stg_orders": flatten_orders,
     "stg_order_line_items": flatten_line_items,

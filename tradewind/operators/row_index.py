@@ -9,7 +9,7 @@ sort column is unique, because the range bounds then fall inside the hot value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from tradewind.session import scratch_path
 
+#: What numbers the rows of a build: (frame, sort columns, name of the number). The last sort column is unique.
+Numbering = Callable[[DataFrame, Sequence[str], str], DataFrame]
+
 # monotonically_increasing_id(): partition number above bit 33, row position below it.
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def _numbered_slices(df: DataFrame, order_by: Sequence[Column], partitions: int | None):
+def _numbered_slices(df: DataFrame, order_by: Sequence[Column | str], partitions: int | None):
     spark = df.sparkSession
     spread = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
     path = scratch_path(spark, "row-index")
@@ -60,7 +63,7 @@ def _with_position(slices: DataFrame, offsets: list, name: str) -> DataFrame:
 
 
 def row_index(
-    df: DataFrame, order_by: Sequence[Column], name: str, start: int = 1, partitions: int | None = None
+    df: DataFrame, order_by: Sequence[Column | str], name: str, start: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY ...)`` for a frame of keys.
 
@@ -82,7 +85,7 @@ def tile_of(position: Column, total: int, tiles: int) -> Column:
 
 
 def tile_index(
-    df: DataFrame, order_by: Sequence[Column], tiles: int, name: str, partitions: int | None = None
+    df: DataFrame, order_by: Sequence[Column | str], tiles: int, name: str, partitions: int | None = None
 ) -> DataFrame:
     """``NTILE(tiles) OVER (ORDER BY ...)`` for a frame of keys."""
     slices, offsets, total = _numbered_slices(df, order_by, partitions)

@@ -22,7 +22,7 @@ from tradewind.functions.scalars import (
 )
 from tradewind.operators.addresses import FIELDS, NO_ADDRESS, address_key, parse_addresses
 from tradewind.operators.relational import align, with_member
-from tradewind.operators.row_index import row_index, tile_index
+from tradewind.operators.row_index import Numbering, row_index, tile_index
 
 # --- fixed values -------------------------------------------------------------
 CALENDAR_START, CALENDAR_END = date(2020, 1, 1), date(2030, 12, 31)
@@ -95,14 +95,14 @@ def dim_time(spark: SparkSession) -> DataFrame:
     )
 
 
-def dim_product(products: DataFrame, variants: DataFrame, loaded_at: Column) -> DataFrame:
+def dim_product(products: DataFrame, variants: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     v, p = variants.alias("v"), products.alias("p")
     pairs = v.join(p, F.col("v.product_id") == F.col("p.id"))
-    keyed = row_index(
+    keyed = number(
         v.select("v.id", "v.product_id")
         .join(p.select(F.col("p.id").alias("product_id")), "product_id", "left_semi")
         .select("id"),
-        [F.col("id")],
+        ["id"],
         "product_key",
     )
     compare, price = F.col("v.compare_at_price"), F.col("v.price")
@@ -184,7 +184,7 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at: Column) -> DataFrame:
+def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     num = id_digits(F.col("id"))
     history = customers.select(num.alias("cust_num")).join(customer_orders(orders), "cust_num", "left").select(
         "cust_num",
@@ -206,7 +206,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
         return tile_index(history.select("cust_num", measure), order, RFM_TILES, score).select("cust_num", score)
 
     with ThreadPoolExecutor(len(tiles) + 1) as pool:  # four independent sorts
-        numbers = pool.submit(row_index, history.select("cust_num"), [F.col("cust_num")], "customer_key")
+        numbers = pool.submit(number, history.select("cust_num"), ["cust_num"], "customer_key")
         scored = history
         for part in pool.map(ranked, tiles):
             scored = scored.join(part, "cust_num")
@@ -253,7 +253,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: date, loaded_at
     ).withColumn("loaded_at", loaded_at)
 
 
-def dim_geography(orders: DataFrame, loaded_at: Column) -> DataFrame:
+def dim_geography(orders: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     """One row per distinct address, shipping and billing together (one scan)."""
     roles = orders.select(
         F.explode(F.array("shipping_address_json", "billing_address_json")).alias("text")
@@ -264,7 +264,7 @@ def dim_geography(orders: DataFrame, loaded_at: Column) -> DataFrame:
         .groupBy("address_hash")
         .agg(*[F.max(name).alias(name) for name in FIELDS])
     )
-    keyed = row_index(distinct.select("address_hash"), [F.col("address_hash")], "geography_key")
+    keyed = number(distinct.select("address_hash"), ["address_hash"], "geography_key")
     region = F.lit(None).cast("string")
     for country, name in REGION_OF_COUNTRY.items():
         region = F.when(F.col("country_code") == country, name).otherwise(region)
@@ -274,8 +274,8 @@ def dim_geography(orders: DataFrame, loaded_at: Column) -> DataFrame:
     ).withColumn("loaded_at", loaded_at)
 
 
-def dim_discount(codes: DataFrame, loaded_at: Column) -> DataFrame:
-    keyed = row_index(codes.select("id"), [F.col("id")], "discount_key")
+def dim_discount(codes: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
+    keyed = number(codes.select("id"), ["id"], "discount_key")
     built = codes.join(keyed, "id").select(
         "discount_key",
         id_digits(F.col("id")).alias("discount_id"),
@@ -296,8 +296,8 @@ def dim_discount(codes: DataFrame, loaded_at: Column) -> DataFrame:
     ).withColumn("loaded_at", loaded_at)
 
 
-def dim_location(locations: DataFrame, loaded_at: Column) -> DataFrame:
-    keyed = row_index(locations.select("id"), [F.col("id")], "location_key")
+def dim_location(locations: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
+    keyed = number(locations.select("id"), ["id"], "location_key")
     second_line = F.coalesce(F.concat(F.lit(", "), F.col("address2")), F.lit(""))
     built = locations.join(keyed, "id").select(
         "location_key",

@@ -26,7 +26,7 @@ from tradewind.functions.scalars import (
 )
 from tradewind.operators.addresses import NO_ADDRESS, address_key, parse_addresses
 from tradewind.operators.relational import align, first_rows, join_packed, ordinal_pivot, spread_nulls
-from tradewind.operators.row_index import row_index
+from tradewind.operators.row_index import Numbering, row_index
 from tradewind.sources import schemas
 
 Tables = Mapping[str, DataFrame]
@@ -181,10 +181,10 @@ def one_row_per_code(dim_discount: DataFrame) -> DataFrame:
     )
 
 
-def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
+def fact_order(stg: Tables, dims: Tables, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     orders = stg["stg_orders"].withColumn("o_num", id_digits(F.col("id")))
-    keyed = row_index(
-        orders.select("created_at", "id", "o_num"), [F.col("created_at"), F.col("id")], "order_key"
+    keyed = number(
+        orders.select("created_at", "id", "o_num"), ["created_at", "id"], "order_key"
     ).select(F.col("o_num").alias("oid"), "order_key")
     codes = one_row_per_code(dims["dim_discount"]).select("discount_code", "discount_key")
     discounts = order_discounts(stg["stg_order_discount_applications"], schemas.PIVOT_WIDTHS["discounts"]).withColumn(
@@ -272,7 +272,7 @@ def fact_order(stg: Tables, dims: Tables, loaded_at: Column) -> DataFrame:
 
 
 # --- order lines ----------------------------------------------------------------
-def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     """One row per line of a known order; a variant that is gone becomes the Unknown product.
 
     Lines meet their orders in place. Keys and products are found on narrow frames, which the wide line joins by its id.
@@ -296,9 +296,9 @@ def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: D
     catalogue = dim_product.filter("variant_id is not null").select(
         F.col("variant_id").alias("variant_num"), "product_key", "product_type", "vendor", "unit_cost"
     )
-    keyed = row_index(
+    keyed = number(
         numbered.select("id", "order_num").join(headers.select("order_num"), "order_num", "left_semi").select("id"),
-        [F.col("id")],
+        ["id"],
         "line_item_key",
     )
     variants = numbered.select("id", spread_nulls(id_digits(F.col("variant_id")), F.col("id")).alias("variant_num"))
@@ -354,7 +354,7 @@ def fact_order_line_item(lines: DataFrame, fact_order: DataFrame, dim_product: D
 
 # --- fulfilments ----------------------------------------------------------------
 def fact_fulfillment(
-    fulfillments: DataFrame, fulfillment_lines: DataFrame, fact_order: DataFrame, dim_location: DataFrame, loaded_at: Column
+    fulfillments: DataFrame, fulfillment_lines: DataFrame, fact_order: DataFrame, dim_location: DataFrame, loaded_at: Column, number: Numbering = row_index
 ) -> DataFrame:
     line_counts = fulfillment_lines.groupBy(id_digits(F.col("fulfillment_id")).alias("fid")).agg(
         F.count(F.lit(1)).alias("line_item_count")
@@ -374,11 +374,11 @@ def fact_fulfillment(
         F.col("location_id").alias("loc_num"), "location_key", "location_name"
     )
     shipped = with_order_number(fulfillments).withColumn("fid", id_digits(F.col("id")))
-    keyed = row_index(
+    keyed = number(
         shipped.select("id", "created_at", "fid", "order_num").join(
             headers.select("order_num"), "order_num", "left_semi"
         ),
-        [F.col("created_at"), F.col("id")],
+        ["created_at", "id"],
         "fulfillment_key",
     ).select("fid", "fulfillment_key")
     origins = shipped.select("fid", spread_nulls(id_digits(F.col("location_id")), F.col("fid")).alias("loc_num"))
@@ -437,7 +437,7 @@ def refund_line_totals(refund_lines: DataFrame) -> DataFrame:
     )
 
 
-def fact_refund(refunds: DataFrame, refund_lines: DataFrame, fact_order: DataFrame, loaded_at: Column) -> DataFrame:
+def fact_refund(refunds: DataFrame, refund_lines: DataFrame, fact_order: DataFrame, loaded_at: Column, number: Numbering = row_index) -> DataFrame:
     headers = fact_order.select(
         F.col("order_id").alias("order_num"),
         "order_key",
@@ -450,11 +450,11 @@ def fact_refund(refunds: DataFrame, refund_lines: DataFrame, fact_order: DataFra
         "customer_name",
     )
     given = with_order_number(refunds).withColumn("rid", id_digits(F.col("id")))
-    keyed = row_index(
+    keyed = number(
         given.select("id", "created_at", "rid", "order_num").join(
             headers.select("order_num"), "order_num", "left_semi"
         ),
-        [F.col("created_at"), F.col("id")],
+        ["created_at", "id"],
         "refund_key",
     ).select("rid", "refund_key")
     counted = keyed.join(refund_line_totals(refund_lines), "rid", "left")

@@ -181,6 +181,33 @@ def load_snapshot(store: TableStore, docs: DataFrame, run_ts: datetime, day: Col
     return result
 
 
+# --- fixed values: how many entries of an inner list a table takes ----------------
+LIST_LIMITS = {"stg_order_line_items": ("lineItems", 100), "stg_inventory_levels": ("inventoryLevels", 20)}
+
+
+def load_capped(
+    store: TableStore, table: str, docs: DataFrame, flatten: Callable[[DataFrame, datetime], DataFrame], run_ts: datetime, limit: int | None = None
+) -> LoadResult:
+    """Load the first entries of every document's list; what lies beyond goes to ``<table>_overflow``.
+
+    A report tells for each table how many documents had more, how many rows that were, and how many lists the source
+    itself had cut.
+    """
+    connection, usual = LIST_LIMITS[table]
+    limit = limit or usual
+    kept, rest = fl.cap_list(docs, connection, limit)
+    rows = store.load_full(table, flatten(kept, run_ts))
+    beyond = store.load_full(f"{table}_overflow", flatten(rest, run_ts))
+    at_source = F.count(F.when(F.col(f"{connection}.pageInfo.hasNextPage"), 1))
+    counted = docs.agg(F.count(F.when(F.size(f"{connection}.edges") > limit, 1)).alias("parents"), at_source.alias("cut_at_source"))
+    report = counted.withColumns(
+        {"entity": F.lit(table), "list_limit": F.lit(limit), "rows_cut": F.lit(beyond), "updated_at": F.lit(run_ts).cast("timestamp_ntz")}
+    )
+    store.create_if_absent("truncated_lists")
+    store.upsert("truncated_lists", report, ["entity", "list_limit"])
+    return LoadResult(table, "capped", rows)
+
+
 def check_keys(store: TableStore, table: str) -> str:
     """The state after a load: keys of the stored table that occur twice are reported, not repaired."""
     unique = duplicate_keys(store.read(table), schemas.STAGING_KEYS[table]).isEmpty()

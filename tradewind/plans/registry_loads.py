@@ -35,6 +35,7 @@ RUN_TS = datetime(2001, 12, 31)
 PAGES = {
     "orders": (gen.order_documents, "order"),
     "lines": (gen.line_documents, "order"),
+    "line_lists": (gen.line_list_documents, "order"),
     "fulfillments": (gen.fulfillment_documents, "order"),
     "fulfillment_lines": (gen.fulfillment_line_documents, "order"),
     "refunds": (gen.refund_documents, "order"),

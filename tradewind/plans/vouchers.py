@@ -225,17 +225,23 @@ def apply_rate_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def rate_in_force(df: DataFrame, rates: DataFrame, day: Column, rate_type: str = "commission") -> DataFrame:
-    """Join the rate valid on ``day``: equal channel, day within [from, to)."""
-    of_type = rates.filter(F.col("rate_type") == rate_type).select(
-        F.col("channel_key").alias("rate_channel"), "rate_value", "effective_from", "effective_to"
-    )
-    return df.join(
-        of_type,
-        (F.col("channel_key") == F.col("rate_channel"))
-        & (day >= F.col("effective_from"))
-        & (F.col("effective_to").isNull() | (day < F.col("effective_to"))),
-        "left",
-    ).drop("rate_channel", "effective_from", "effective_to")
+    """Join the rate valid on ``day``: equal channel, day within [from, to).
+
+    Every interval of a rate is laid out over the months it touches, and rows meet it by channel and month before the days are
+    compared. So the rows of one channel spread over its months, and no row meets the whole history of its channel. Open
+    intervals end with the latest day asked for.
+    """
+    asked = df.withColumn("asked_day", day).withColumn("asked_month", F.trunc("asked_day", "month"))
+    latest = asked.agg(F.max("asked_day")).scalar()
+    last_day = F.least(F.date_sub(F.col("effective_to"), 1), latest)  # least leaves out nulls
+    of_type = rates.filter(F.col("rate_type") == rate_type).withColumn("last_day", last_day).filter("effective_from <= last_day")
+    months = F.sequence(F.trunc("effective_from", "month"), F.trunc("last_day", "month"), F.expr("interval 1 month"))
+    binned = of_type.select(F.col("channel_key").alias("rate_channel"), "rate_value", "effective_from", "last_day", F.explode(months).alias("rate_month"))
+    met = (F.col("channel_key") == F.col("rate_channel")) & (F.col("asked_month") == F.col("rate_month"))
+    inside = (F.col("asked_day") >= F.col("effective_from")) & (F.col("asked_day") <= F.col("last_day"))
+    return asked.join(binned, met & inside, "left").drop(
+        "rate_channel", "rate_month", "effective_from", "last_day", "asked_day", "asked_month"
+    )
 
 
 # --- facts ------------------------------------------------------------------------

@@ -15,12 +15,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.operators.row_index import Numbering, row_index
 from tradewind.plans import dimensions as dim
 from tradewind.plans import facts as fact
 from tradewind.plans import vouchers
+from tradewind.plans.keys import KeyRegistry
 from tradewind.session import scratch_path
 from tradewind.sources import adapter, schemas
-from tradewind.sources.tables import TableStore
+from tradewind.sources.tables import KEY_BUCKET, TableStore
 
 
 class StoredStaging(Mapping):
@@ -52,7 +54,9 @@ class Warehouse(Mapping):
     """Warehouse tables by name.
 
     ``as_of`` stands for "today" in every relative measure; ``calendar`` bounds the
-    date dimension (facts outside it are left out by the enriched views).
+    date dimension (facts outside it are left out by the enriched views). With ``stable_keys`` numbers come from a
+    registry in the store, so that a row keeps its key whatever is built later. A ``maintained`` warehouse has such keys
+    and keeps the facts of orders in partitions by order, so that ``maintain`` writes few of them.
     """
 
     def __init__(
@@ -65,11 +69,15 @@ class Warehouse(Mapping):
         fiscal_start_month: int = 1,
         commission_rates: Callable[[], DataFrame] | None = None,
         base: Mapping[str, DataFrame] | None = None,
+        stable_keys: bool = False,
+        maintained: bool = False,
     ):
         self.spark, self.stg, self.store = spark, staging, store
         self.as_of, self.calendar, self.fiscal_start_month = as_of, calendar, fiscal_start_month
         self.commission_rates = commission_rates
         self.base = {} if base is None else base
+        self.number: Numbering = KeyRegistry(store).number if stable_keys or maintained else row_index
+        self.maintained = maintained
         self.document_paths: dict[str, str] = {}
         self.loaded_at = F.current_timestamp().cast("timestamp_ntz")
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
@@ -89,6 +97,10 @@ class Warehouse(Mapping):
         with ThreadPoolExecutor(max(len(needed), 1)) as pool:
             list(pool.map(lambda name: (self.stg if name in schemas.STAGING else self)[name], needed))
         frame = BUILDS[table](self)
+        if self.maintained and table in schemas.BUCKET_KEYS:
+            dealt = (KEY_BUCKET, self.store.bucket_of(table))
+            self.store.load_full(table, frame, partition_by=dealt, sort_by=FILE_ORDER.get(table, ()))
+            return
         self.store.load_full(
             table, frame, partition_by=PARTITIONS.get(table), sort_by=FILE_ORDER.get(table, ()), co_locate=CO_LOCATED.get(table)
         )
@@ -116,20 +128,20 @@ class Warehouse(Mapping):
 BUILDS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_date": lambda w: dim.dim_date(w.spark, *w.calendar, w.fiscal_start_month),
     "dim_time": lambda w: dim.dim_time(w.spark),
-    "dim_product": lambda w: dim.dim_product(w.stg["stg_products"], w.stg["stg_product_variants"], w.loaded_at),
-    "dim_customer": lambda w: dim.dim_customer(w.stg["stg_customers"], w.stg["stg_orders"], w.as_of, w.loaded_at),
-    "dim_geography": lambda w: dim.dim_geography(w.stg["stg_orders"], w.loaded_at),
-    "dim_discount": lambda w: dim.dim_discount(w.stg["stg_discount_codes"], w.loaded_at),
-    "dim_location": lambda w: dim.dim_location(w.stg["stg_locations"], w.loaded_at),
-    "fact_order": lambda w: fact.fact_order(w.stg, w, w.loaded_at),
+    "dim_product": lambda w: dim.dim_product(w.stg["stg_products"], w.stg["stg_product_variants"], w.loaded_at, w.number),
+    "dim_customer": lambda w: dim.dim_customer(w.stg["stg_customers"], w.stg["stg_orders"], w.as_of, w.loaded_at, w.number),
+    "dim_geography": lambda w: dim.dim_geography(w.stg["stg_orders"], w.loaded_at, w.number),
+    "dim_discount": lambda w: dim.dim_discount(w.stg["stg_discount_codes"], w.loaded_at, w.number),
+    "dim_location": lambda w: dim.dim_location(w.stg["stg_locations"], w.loaded_at, w.number),
+    "fact_order": lambda w: fact.fact_order(w.stg, w, w.loaded_at, w.number),
     "fact_order_line_item": lambda w: fact.fact_order_line_item(
-        w.children("stg_order_line_items"), w["fact_order"], w["dim_product"], w.loaded_at
+        w.children("stg_order_line_items"), w["fact_order"], w["dim_product"], w.loaded_at, w.number
     ),
     "fact_fulfillment": lambda w: fact.fact_fulfillment(
-        w.children("stg_fulfillments"), w.stg["stg_fulfillment_line_items"], w["fact_order"], w["dim_location"], w.loaded_at
+        w.children("stg_fulfillments"), w.stg["stg_fulfillment_line_items"], w["fact_order"], w["dim_location"], w.loaded_at, w.number
     ),
     "fact_refund": lambda w: fact.fact_refund(
-        w.children("stg_refunds"), w.stg["stg_refund_line_items"], w["fact_order"], w.loaded_at
+        w.children("stg_refunds"), w.stg["stg_refund_line_items"], w["fact_order"], w.loaded_at, w.number
     ),
     "fact_inventory_snapshot": lambda w: fact.fact_inventory_snapshot(
         w.stg["stg_inventory_levels"], w.stg["stg_product_variants"], w["dim_product"], w["dim_location"], w.loaded_at

@@ -18,6 +18,7 @@ def build_session(app: str = "tradewind", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**defaults, **conf}.items():

@@ -164,6 +164,13 @@ def line_documents(src: Sources, stg: Staging) -> DataFrame:
     return stg["stg_order_line_items"].select(F.col("order_id").alias("id"), _edges(F.array(node)).alias("lineItems"))
 
 
+def line_list_documents(src: Sources, stg: Staging) -> DataFrame:
+    """All lines of an order in one document, in the order of their ids; the generated orders have seven at most."""
+    pages = line_documents(src, stg).select("id", F.col("lineItems.edges")[0]["node"].alias("node"))
+    lists = pages.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.col("node.id").alias("key"), "node"))).alias("lines"))
+    return lists.select("id", _edges(F.col("lines.node")).alias("lineItems"))
+
+
 def fulfillment_documents(src: Sources, stg: Staging) -> DataFrame:
     tracking = F.struct(
         F.col("tracking_number").alias("number"), F.col("tracking_company").alias("company"), F.col("tracking_url").alias("url")

@@ -125,12 +125,13 @@ STAGING_KEYS: dict[str, tuple[str, ...]] = {
     "stg_gift_cards": ("id",),
 }
 
-#: Children of orders are dealt by their order, so that all children of a changed order stand in one bucket.
+#: Children and facts of orders are dealt by their order, so that all rows of a changed order stand in one bucket.
 BUCKET_KEYS: dict[str, tuple[str, ...]] = {
     t: ("order_id",)
     for t in (
         "stg_order_line_items", "stg_order_transactions", "stg_order_tax_lines", "stg_order_discount_applications",
         "stg_order_shipping_lines", "stg_fulfillments", "stg_refunds",
+        "fact_order", "fact_order_line_item", "fact_fulfillment", "fact_refund",
     )
 }
 
@@ -316,6 +317,7 @@ VOUCHER: dict[str, str] = {
         "updated_at timestamp_ntz"
     ),
     "etl_marks": "entity string, high_water timestamp_ntz, updated_at timestamp_ntz",
+    "truncated_lists": "entity string, list_limit int, parents bigint, rows_cut bigint, cut_at_source bigint, updated_at timestamp_ntz",
     "retired_partitions": "table_name string, partition_value string, retired_at timestamp_ntz",
 }
 
@@ -341,6 +343,9 @@ def _widened(declared: str) -> str:
 
 
 def ddl(table: str) -> str:
+    if table.startswith("keys_"):  # a key registry
+        return "natural_key string, surrogate_key bigint"
+    table = table.removesuffix("_overflow")  # the rows beyond a list's limit
     if table == "fact_order":
         return _widened(WAREHOUSE[table])
     for group in (STAGING, WAREHOUSE, VOUCHER):

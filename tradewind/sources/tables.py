@@ -115,7 +115,8 @@ class TableStore:
         return [r[0] for r in df.select(by).distinct().collect()]
 
     # --- full loads -------------------------------------------------------------
-    def _bucket(self, table: str, keys: Sequence[str] = ()) -> Column:
+    def bucket_of(self, table: str, keys: Sequence[str] = ()) -> Column:
+        """The bucket of a row of a table that is dealt by its key or its parent."""
         dealt_by = schemas.BUCKET_KEYS.get(table) or schemas.STAGING_KEYS.get(table) or keys
         return F.pmod(F.xxhash64(*dealt_by), F.lit(self.buckets)).cast("int")
 
@@ -141,7 +142,7 @@ class TableStore:
             return self._append(table, aligned)
         by = partition_by if isinstance(partition_by, str) or partition_by is None else partition_by[0]
         if by is None and dealt and not co_locate and table in schemas.STAGING_KEYS:
-            by, aligned = KEY_BUCKET, aligned.withColumn(KEY_BUCKET, self._bucket(table))
+            by, aligned = KEY_BUCKET, aligned.withColumn(KEY_BUCKET, self.bucket_of(table))
         elif partition_by is not None and not isinstance(partition_by, str):
             aligned = aligned.withColumn(*partition_by)
         if self.exists(table):
@@ -175,7 +176,7 @@ class TableStore:
     def _append(self, table: str, aligned: DataFrame) -> int:
         by = self.partition_of(table)
         if by == KEY_BUCKET:
-            aligned = aligned.withColumn(KEY_BUCKET, self._bucket(table))
+            aligned = aligned.withColumn(KEY_BUCKET, self.bucket_of(table))
         with self._staged(aligned) as staged:
             layout = self.spark.table(self.name(table)).columns
             staged.select(layout).write.insertInto(self.name(table))
@@ -198,7 +199,7 @@ class TableStore:
         """
         keys = keys or schemas.STAGING_KEYS[table]
         source = self._latest(table, df, keys, newest)
-        source = source.withColumn(KEY_BUCKET, self._bucket(table, keys))
+        source = source.withColumn(KEY_BUCKET, self.bucket_of(table, keys))
         return self._merge(table, source, KEY_BUCKET, lambda rows, staged: rows.join(staged.select(*keys), list(keys), "left_anti"), keys=keys)
 
     def upsert_partitions(self, table: str, df: DataFrame, partition: str, keys: Sequence[str] | None = None) -> int:
@@ -219,9 +220,9 @@ class TableStore:
         """
         parent = parent or schemas.BUCKET_KEYS[table][0]
         ids = parents.select(F.col(parents.columns[0]).alias(parent)).distinct()
-        source = align(df, table).withColumn(KEY_BUCKET, self._bucket(table))
+        source = align(df, table).withColumn(KEY_BUCKET, self.bucket_of(table))
         with self._staged(ids) as changed:
-            buckets = changed.select(self._bucket(table).alias(KEY_BUCKET))
+            buckets = changed.select(self.bucket_of(table).alias(KEY_BUCKET))
             return self._merge(table, source, KEY_BUCKET, lambda rows, staged: rows.join(changed, parent, "left_anti"), buckets)
 
     def _merge(
@@ -241,7 +242,7 @@ class TableStore:
                 return merged
             if self.partition_of(table) != by:  # the first merge deals the whole table
                 dealt = self.spark.table(self.name(table)).select([n for n, _ in schemas.columns(table)])
-                dealt = dealt.withColumn(by, self._bucket(table, keys)) if by == KEY_BUCKET else dealt
+                dealt = dealt.withColumn(by, self.bucket_of(table, keys)) if by == KEY_BUCKET else dealt
                 with self._staged(dealt) as whole:
                     self._replace(table, whole, by, (), None)
             touched = self._values(staged if also is None else staged.select(by).union(also), by)
