@@ -55,8 +55,9 @@ def sum_amounts(entries: Column, money_field: str) -> Column:
 
 
 def _rows(docs: DataFrame, entries: Column, *carried: Column) -> DataFrame:
-    """One row per list entry as ``e`` with its 1-based position ``n``."""
-    return docs.select(*carried, F.posexplode(entries).alias("pos", "e")).withColumn("n", F.col("pos") + 1)
+    """One row per list entry as ``e`` with its 1-based position ``n``; a document's ``place``, if any, is that of its first entry."""
+    first = F.col("place") if "place" in docs.columns else F.lit(1)
+    return docs.select(*carried, first.alias("first"), F.posexplode(entries).alias("pos", "e")).withColumn("n", F.col("pos") + F.col("first"))
 
 
 def _stamped(df: DataFrame, table: str, run_ts: RunTime, *columns: Column | str) -> DataFrame:

@@ -10,9 +10,11 @@ from tradewind.operators.sessions import conversion_by_day, sessions
 from tradewind.plans import dimensions, loads
 from tradewind.plans.keys import KeyRegistry
 from tradewind.plans.registry import register
-from tradewind.plans.registry_loads import RUN_TS, docs
+from tradewind.plans.registry_loads import ROLES, RUN_TS, docs, shown_of, with_addresses
 from tradewind.plans.warehouse import Warehouse
 from tradewind.session import scratch_path
+from tradewind.sources import generated_documents as gen
+from tradewind.sources.bulk import child_documents, order_documents, orphans, read_lines
 from tradewind.sources.tables import TableStore
 
 # --- sessions over events ----------------------------------------------------------
@@ -27,6 +29,41 @@ register(
     "day:d sessions:i converting_sessions:i value:m conversion_rate:r",
 )
 
+# --- bulk exports (SC2) -----------------------------------------------------------------
+def bulk(w: Warehouse) -> DataFrame:
+    """The lines of a bulk export of the generated orders, written once."""
+    if "bulk" not in w.document_paths:
+        path = f"{w.store.root}/documents/bulk"
+        gen.bulk_lines(w.base, w.stg).write.text(path)
+        w.document_paths["bulk"] = path
+    return read_lines(w.spark, w.document_paths["bulk"])
+
+
+_BULK = (
+    ("stg_orders", "orders", fl.flatten_orders),
+    ("stg_order_line_items", "lines", fl.flatten_line_items),
+    ("stg_order_transactions", "orders", fl.flatten_transactions),
+    ("stg_order_tax_lines", "orders", fl.flatten_tax_lines),
+    ("stg_order_discount_applications", "discounts", fl.flatten_discount_applications),
+    ("stg_order_shipping_lines", "shipping", fl.flatten_shipping_lines),
+    ("stg_fulfillments", "orders", fl.flatten_fulfillments),
+    ("stg_fulfillment_line_items", "fulfillment_lines", fl.flatten_fulfillment_line_items),
+    ("stg_refunds", "orders", fl.flatten_refunds),
+    ("stg_refund_line_items", "refund_lines", fl.flatten_refund_line_items),
+)
+
+
+def flattened(w: Warehouse, table: str, page: str, flattener) -> DataFrame:
+    lines = bulk(w)
+    pages = order_documents(lines) if page == "orders" else child_documents(lines, page)
+    return with_addresses(flattener(pages, RUN_TS), **ROLES.get(table, {}))
+
+
+for number, (table, page, flattener) in enumerate(_BULK, start=1):
+    register(f"bx{number:02d}_{table[4:]}", lambda w, t=table, p=page, f=flattener: flattened(w, t, p, f), shown_of(table))
+# lines, discounts and refunds of orders that are missing from the header point to nothing
+register("bx11_orphans", lambda w: orphans(bulk(w)).groupBy("page").agg(F.count(F.lit(1)).alias("parents"), F.sum("lines").alias("lines")), "page:s parents:i lines:i")
+
 # --- capped lists (SC18) --------------------------------------------------------------
 SHORT = 3  # generated orders have seven lines at most
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # --- fixed values: field names and nesting of the source documents -------------------
 _MONEY = "struct<shopMoney: struct<amount: string, currencyCode: string>, presentmentMoney: struct<amount: string, currencyCode: string>>"
@@ -98,3 +99,8 @@ SHAPES = {
 def read_documents(spark: SparkSession, path: str, kind: str = "order") -> DataFrame:
     """Scan JSON lines, one document per line; only the fields a query uses are parsed."""
     return spark.read.schema(SHAPES[kind]).json(path)
+
+
+def as_struct(shape: str) -> StructType:
+    """A declared shape as a type."""
+    return StructType.fromDDL(shape)

@@ -8,6 +8,7 @@ its order with one entry. No group of rows is ever collected into one document.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -332,3 +333,29 @@ def checkout_documents(src: Sources, stg: Staging) -> DataFrame:
         _bag(F.col("total_price"), F.col("currency_code")).alias("totalPriceSet"),
         _edges(F.coalesce(entries, F.array())).alias("lineItems"),
     )
+
+
+def bulk_lines(src: Sources, stg: Staging) -> DataFrame:
+    """A bulk export of the orders as (value): orders with their nested lists, then the entries of their connections as lines."""
+    headers = order_documents(src, stg)
+    grouped = lambda pages, name: pages.select("id", F.explode(name).alias("x")).groupBy("id").agg(F.collect_list("x").alias(name))
+    nested = headers.drop("discountApplications", "shippingLines")
+    nested = nested.join(grouped(fulfillment_documents(src, stg), "fulfillments"), "id", "left").join(grouped(refund_documents(src, stg), "refunds"), "id", "left")
+
+    def entries(pages: DataFrame, connection: str, kind: int) -> DataFrame:
+        rows = pages.select("id", F.posexplode(f"{connection}.edges").alias("pos", "e"))
+        return rows.select(F.col("id").alias("parent"), F.lit(kind).alias("kind"), "pos", F.to_json(F.struct("e.node.*", F.col("id").alias("__parentId"))).alias("value"))
+
+    def inner(pages: DataFrame, outer: str, connection: str, kind: int) -> DataFrame:
+        return entries(pages.select(F.explode(outer).alias("p")).select("p.id", f"p.{connection}"), connection, kind)
+
+    parts = [
+        nested.select(F.col("id").alias("parent"), F.lit(0).alias("kind"), F.lit(0).alias("pos"), F.to_json(F.struct(*nested.columns)).alias("value")),
+        entries(line_documents(src, stg), "lineItems", 1),
+        entries(headers, "discountApplications", 2),
+        entries(headers, "shippingLines", 3),
+        inner(fulfillment_line_documents(src, stg), "fulfillments", "fulfillmentLineItems", 4),
+        inner(refund_line_documents(src, stg), "refunds", "refundLineItems", 5),
+    ]
+    mixed = reduce(DataFrame.unionByName, parts)
+    return mixed.repartition("parent").sortWithinPartitions("parent", "kind", "pos").select("value")
