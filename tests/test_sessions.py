@@ -51,9 +51,9 @@ def test_stream_gives_sessions_once_they_ended(spark, tmp_path):
     rows = [(u, m, "purchase" if m == 20 else "view", 1.0) for u in (1, 2) for m in (0, 10, 20, 100, 110)]
     for part in (rows[:4], rows[4:], [(9, 400, "view", 1.0)]):  # the last event moves the watermark past all others
         events(spark, part).coalesce(1).write.mode("append").parquet(folder)
-        stream_sessions(spark, folder, out, checkpoint).awaitTermination()
+        stream_sessions(spark, folder, out, checkpoint, "2 hours").awaitTermination()
     events(spark, [(9, 800, "view", 1.0), (1, 5, "view", 1.0)]).coalesce(1).write.mode("append").parquet(folder)  # one is too late
-    stream_sessions(spark, folder, out, checkpoint).awaitTermination()
+    stream_sessions(spark, folder, out, checkpoint, "2 hours").awaitTermination()
     ended = spark.read.parquet(out)
     assert shown(ended) == shown(sessions(events(spark, rows)).union(sessions(events(spark, [(9, 400, "view", 1.0)]))))
     assert ended.filter(F.col("converted")).count() == 2
