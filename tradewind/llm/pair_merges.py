@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tradewind.llm.common import sliced
+from tradewind.llm.common import sliced, tidied
 
 #: Characters of text taken together; a longer text stands alone.
 CHUNK = 4_000_000
@@ -285,7 +285,7 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str | Column] = ("doc_id
                 yield pa.RecordBatch.from_arrays([*kept, lists, pa.array(digests, pa.string())], [*names, "ids", "ids_sha256"])
 
     fields = StructType(chosen.schema.fields[:-1]).add("ids", ArrayType(IntegerType())).add("ids_sha256", "string")
-    return chosen.mapInArrow(code, fields)
+    return chosen.mapInArrow(tidied(code), fields)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -306,4 +306,4 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_col:
                 texts.append(b" ".join([s for s in found if s is not None]).decode())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*rest, text_col])
 
-    return chosen.mapInArrow(spell, StructType([*chosen.schema.fields[:-1], StructField(text_col, StringType())]))
+    return chosen.mapInArrow(tidied(spell), StructType([*chosen.schema.fields[:-1], StructField(text_col, StringType())]))

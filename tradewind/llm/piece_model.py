@@ -16,6 +16,15 @@ META = "▁".encode()
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Byte pieces and unscored pieces rank behind all others.
 _BYTE_PENALTY = 4.0
+_REACH_BITS = 18
+
+
+def beginnings(data: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` bytes from each place on; places too near the end have that of fewer bytes."""
+    packed = np.zeros(len(data), np.uint64)
+    for k in range(min(width, len(data))):
+        packed[: len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(8 * k)
+    return (packed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _REACH_BITS)
 
 
 class PieceModel:
@@ -56,23 +65,39 @@ class PieceModel:
         hashes = (sums[ends] - sums[begins]) * powers(len(sums))[1][begins]
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], ids[order].astype(np.int32)
-        # the longest piece by its first two bytes
-        self.reach = np.ones(1 << 16, np.uint8)
+        # the longest piece by a hash of its first four bytes, and by one of its first six
+        self.reach = {width: np.zeros(1 << _REACH_BITS, np.uint8) for width in (4, 6)}
         for e in encoded:
-            if len(e) > 1:
-                self.reach[e[0] << 8 | e[1]] = max(self.reach[e[0] << 8 | e[1]], len(e))
-        # most strings are no piece: a table of the hashes' low bits tells
-        self.known = np.zeros(1 << 20, bool)
-        self.known[(hashes & np.uint64(len(self.known) - 1)).astype(np.int64)] = True
+            for width, table in self.reach.items():
+                if len(e) >= width:
+                    slot = beginnings(np.frombuffer(e, np.uint8), width)[0]
+                    table[slot] = max(table[slot], len(e))
+        # the place of a hash by its low bits: -1 for none, -2 where several share them
+        slot = self._slots(self.hashes)
+        self.place = np.full(1 << 20, -1, np.int32)
+        self.place[slot] = np.arange(len(slot))
+        several = np.bincount(slot, minlength=len(self.place)) > 1
+        self.place[several] = -2
 
     def find(self, sums: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(which of the strings of ``size`` bytes from ``starts`` on are pieces, their ids), by sums of prefix_hashes"""
         hashes = (sums[starts + size] - sums[starts]) * powers(len(sums))[1][starts]
-        maybe = np.flatnonzero(self.known[(hashes & np.uint64(len(self.known) - 1)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
-        hit = self.hashes[at] == hashes[maybe]
+        at = self.place[self._slots(hashes)]
+        maybe = np.flatnonzero(at != -1)
+        at, hashes = at[maybe], hashes[maybe]
+        shared = np.flatnonzero(at == -2)
+        at[shared] = np.minimum(np.searchsorted(self.hashes, hashes[shared]), len(self.hashes) - 1)
+        hit = self.hashes[at] == hashes
         return maybe[hit], self.ids[at[hit]]
 
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+    def longest(self, data: np.ndarray) -> np.ndarray:
+        """No piece that begins at a place is longer than this."""
+        four, six = (self.reach[w][beginnings(data, w)] for w in (4, 6))
+        return np.maximum(np.maximum(np.minimum(four, 5), six), 3)
+
     def decode(self, ids) -> str:
         raw = b"".join([self.bytes_of[i] for i in ids])
         return raw[1:].decode()  # without the blank in front

@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import mixed, prefix_hashes, sliced
+from tradewind.llm.common import mixed, prefix_hashes, sliced, tidied
 from tradewind.llm.piece_model import META, PieceModel
 
 K = 2
 #: So near to a unit's end the sums are products of doubles, which cannot underflow there even if all bytes are spelled out.
 LINEAR_BYTES = 40
-CHUNK = 1_500_000
+CHUNK = 800_000
 #: Siblings of nodes below this log-probability are first looked at together.
 _DEEP = -12.0
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
@@ -89,9 +89,7 @@ class Lattices:
             nodes.append(at), pieces.append(ids), sizes.append(np.full(len(at), size, np.int32)), slots.append(count[at])
             count[at] += 1
 
-        first_two = flat.astype(np.uint16) << np.uint16(8)
-        first_two[:-1] |= flat[1:]
-        reach = np.minimum(np.minimum(left, 255).astype(np.uint8), model.reach[first_two])
+        reach = np.minimum(np.minimum(left, 255).astype(np.uint8), model.longest(flat))
         at = np.flatnonzero(left).astype(np.int32)
         for size in model.lengths:
             at = at[reach[at] >= size]
@@ -135,15 +133,20 @@ class Lattices:
                 self.log_finish[begun[some]] = np.logaddexp.reduceat(ways[own] + self.log_finish[ahead[own]], heads[some] - own.start)
         self.log_share[far] = ways + self.log_finish[ahead] - self.log_finish[node[far]]
         share[far] = np.exp(self.log_share[far])
-        self.upto = np.full((n, int(slot.max(initial=0)) + 1), 2.0)  # running shares of each node's edges
-        running = share.copy()
-        for s in range(1, self.upto.shape[1]):  # node by node, so that no sum depends on the other units
-            at = np.flatnonzero(slot == s)
-            running[at] += running[at - 1]
-        self.upto[node, slot] = running
-        last_edge = self.first[1:] - 1
-        some = np.flatnonzero(np.diff(self.first) > 0)
-        self.upto[some, (last_edge - self.first[:-1])[some]] = 2.0  # rounding cannot leave a gap at the end
+        self.running = share  # running shares of each node's edges, node by node, so that no sum depends on the other units
+        for k in range(1, int(slot.max(initial=0)) + 1):
+            at = np.flatnonzero(slot == k)
+            share[at] += share[at - 1]
+        share[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0  # rounding cannot leave a gap at the end
+
+    def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """For each node the edge whose share holds u, halving the range of its edges."""
+        low, high = self.first[node], self.first[node + 1] - 1
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            beyond = self.running[middle] <= u
+            low, high = np.where(beyond & (low < high), middle + 1, low), np.where(beyond, high, middle)
+        return low
 
 
 def _later(key: np.uint64, n: int, factor: np.uint64) -> np.uint64:
@@ -163,7 +166,7 @@ def walk(lattices: Lattices, node: np.ndarray, key: np.ndarray) -> tuple[np.ndar
     while len(who):
         here = at[who]
         u = _uniform(key[who] + count[who].astype(np.uint64) * _A)
-        edge = lattices.first[here] + (lattices.upto[here] <= u[:, None]).sum(axis=1)
+        edge = lattices.draw(here, u)
         steps.append((who, edge))
         count[who] += 1
         at[who] = lattices.target[edge]
@@ -286,16 +289,20 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def encode(docs: DataFrame, vocabulary: str, k: int = K, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, k: int = K, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", copy_col: str | None = None) -> DataFrame:
     """Rows (id, sample, pieces, log_probability, log_inclusion, text_sha256), up to k for each row of ``docs``. One pass, no shuffle.
 
-    The vocabulary file is read on the driver; its arrays (about 2 MB) travel with the tasks.
+    ``copy_col`` numbers the copies of a row that are to be sampled apart; the first copy has the samples of a row without
+    number. The vocabulary file is read on the driver; its arrays (about 2 MB) travel with the tasks.
     """
+    key = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    if copy_col is not None:
+        key = F.when(F.col(copy_col) > 1, F.xxhash64(key, F.col(copy_col).cast("long"))).otherwise(key)
     model = docs.sparkSession.sparkContext.broadcast(PieceModel(vocabulary))
     chosen = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).alias("key"),
+        key.alias("key"),
     )
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +327,7 @@ def encode(docs: DataFrame, vocabulary: str, k: int = K, seed: int = 7, id_col:
 
     kind = chosen.schema["id"].dataType.simpleString()
     schema = f"id {kind}, sample int, pieces array<int>, log_probability double, log_inclusion double, text_sha256 string"
-    return chosen.mapInArrow(draw, schema).withColumnRenamed("id", id_col)
+    return chosen.mapInArrow(tidied(draw), schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, vocabulary: str, pieces_col: str = "pieces", text_col: str = "text") -> DataFrame:
@@ -341,4 +348,4 @@ def decode(encoded: DataFrame, vocabulary: str, pieces_col: str = "pieces", text
             texts = [b"".join(flat[a:b])[1:].decode() if ok else None for a, b, ok in zip(ends[:-1], ends[1:], valid)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*rest, text_col])
 
-    return chosen.mapInArrow(spell, StructType([*chosen.schema.fields[:-1], StructField(text_col, StringType())]))
+    return chosen.mapInArrow(tidied(spell), StructType([*chosen.schema.fields[:-1], StructField(text_col, StringType())]))
