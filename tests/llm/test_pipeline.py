@@ -88,6 +88,23 @@ def test_last_stage_encodes_every_row(spark, stages):
     assert all(r.text == texts[r.doc_id] for r in segmentation.decode(after, corpus_pipeline.VOCABULARY).collect())
 
 
+def test_stages_keep_rows_with_equal_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a, "en", "s", 1), (1, b, "de", "s", 1), (2, c, "en", "s", 1), (None, "d" + c[::-1], None, None, None), (2, c, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    texts = lambda df: sorted((str(r.doc_id), r.text, str(r.lang)) for r in df.collect())
+    one_each = texts(docs.dropDuplicates())
+    assert texts(corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)) == one_each
+    assert texts(corpus_pipeline.drop_repeats(spark, docs, SMALL)) == one_each
+
+
+def test_copies_are_sampled_apart(spark):
+    text = "xqzjvkwp bvnmzxq wkjhgfq zzxcvbp " * 8
+    docs = spark.createDataFrame([(1, text)] * 4 + [(None, text)] * 2 + [(1, text + "x")], "doc_id long, text string")
+    got = corpus_pipeline.encode_pieces(spark, docs, SMALL).where("sample = 1")
+    assert got.count() == 7 and got.select("pieces").distinct().count() == 7
+
+
 def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)

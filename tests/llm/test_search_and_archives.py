@@ -51,6 +51,41 @@ def test_search_stops_early():
     assert sum(reads) < 1000
 
 
+def counted(lists):
+    """The number of vectors scored from now on."""
+    reads, rest = [], lists.x
+    lists.x = type("Counted", (), {"__getitem__": lambda self, rows: (reads.append(len(rows)), rest[rows])[1]})()
+    return reads
+
+
+def test_a_floor_ends_searches_of_other_blocks():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-100, 100, size=(8000, 3))
+    q = np.array([5, 2, -1])
+    floor = int(np.sort(x[:4000] @ q)[-5])
+    lists = top_k.SortedLists(np.arange(4000, 8000), x[4000:])
+    reads = counted(lists)
+    ids, scores = lists.top(-1, q, 5, floor)
+    wanted = [(s, i) for s, i in zip(x[4000:] @ q, range(4000, 8000)) if s >= floor]
+    assert set(wanted) <= set(zip(scores.tolist(), ids.tolist())) or len(wanted) > 5
+    with_floor = sum(reads)
+    reads.clear()
+    lists.top(-1, q, 5)
+    assert with_floor <= sum(reads) < 4000
+
+
+def test_every_vector_is_met_where_the_bound_cannot_end():
+    # unit vectors without structure in 64 dimensions: the lists meet all of them before the bound falls
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int64)
+    lists = top_k.SortedLists(np.arange(2000), x)
+    reads = counted(lists)
+    ids, scores = lists.top(0, x[0], 5)
+    order = np.lexsort((np.arange(2000), -(x @ x[0])))
+    assert ids.tolist() == [i for i in order if i][:5] and sum(reads) == 1999
+
+
 @pytest.fixture
 def pages(spark):
     big = "<p>é" + "x" * 100
@@ -71,9 +106,20 @@ def test_archives_round_trip(spark, pages):
     assert rows[9].target_uri is None and rows[6].target_uri == "u%0D%0AX: y"
 
 
+def test_rows_with_equal_ids_keep_their_payloads(spark):
+    x, y = "x" * 200, "y" * 200
+    rows = [(3, "u", x), (5, "u", x), (5, "u", y), (5, "u", y), (6, "u", y), (7, "u", "z"), (7, "u", None)]
+    got = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    found = sorted((r.record_id, r.record_type, r.refers_to or 0, r.payload_bytes, (r.payload or b"").decode()) for r in got)
+    assert found == sorted([
+        (3, "response", 0, 200, x), (5, "revisit", 3, 200, ""), (5, "response", 0, 200, y), (5, "response", 0, 200, y), (6, "revisit", 5, 200, ""),
+        (7, "response", 0, 1, "z"), (7, "response", 0, 0, ""),
+    ])
+
+
 def test_filters_reach_the_headers(spark, pages):
     path = scratch_path(spark, "warc-test")
-    warc.write(warc.deduplicated(pages), path)
+    warc.write(warc.deduplicated(pages).repartition(3), path)
     assert {r.record_id for r in warc.read(spark, path).where("record_type = 'revisit'").collect()} == {5, 9}
     assert {r.record_id for r in warc.read(spark, path).where("record_id in (3, 7) and refers_to is null").collect()} == {3, 7}
     assert warc.read(spark, path, payload="false").where("payload is not null").count() == 0
@@ -138,6 +184,16 @@ def test_poisson_counts(spark):
     assert [r.n for r in got] == [count(r.m, r.u) for r in got]
 
 
+def test_weights_that_cannot_be_reached_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a"), (None, "a"), (None, None)], "doc_id long, source string")
+    for weights in ({"a": 0.0}, {"a": 1.0, None: -1.0}, {}):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, weights)
+    # null ids are drawn alike and are kept
+    rows = mixing.mix(docs, size=3000).groupBy("doc_id", "source").count().collect()
+    assert {(r.doc_id, r.source) for r in rows} == {(1, "a"), (None, "a"), (None, None)}
+
+
 def test_mixing_reaches_the_weights(spark, monkeypatch):
     rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 7}", 1, "m", 2.0) for i in range(6000)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, copy int, mean string, n double")

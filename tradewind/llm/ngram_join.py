@@ -17,9 +17,9 @@ pivots; what these leave outside the column's components is then
 paired with all documents of the column of other components. No link between components is lost.
 
 Defined results: null texts and texts without words have an empty set, no link, and their own id as
-component; a text with fewer words than a shingle has one shingle, its whole sequence; ids are unique (rows
-with a null id are left out, of rows with equal ids one is kept); an empty table gives an empty result; other
-columns are ignored.
+component; a text with fewer words than a shingle has one shingle, its whole sequence; every row is a document, also
+rows with equal or null ids (-2**63 counts as null), and a component's id is the smallest that is not null; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import LOWER, chunks, mixed, packed, prefix_hashes, row_bounds, stored, substring_hashes, words_of
+from tradewind.llm.common import LOWER, chunks, mixed, packed, prefix_hashes, row_bounds, stored, substring_hashes, tidied, words_of
 from tradewind.llm.components import components, extended
 
 WORDS = 5
@@ -41,6 +41,8 @@ SIMILARITY = Fraction(4, 5)
 CHUNK = 1 << 20
 #: Cells of the table of hashed counts, as a power of two. It only orders shingles; any order gives the same links.
 COUNT_BITS = 20
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 SLICES = 64
 #: Entries of the incidence matrix in a block, and documents in a column that is expanded into all pairs.
 BLOCK_ENTRIES = 500_000
@@ -86,11 +88,11 @@ def _segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def set_digests(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Of ``docs`` (id, text): rows (id, n, h1, h2), and as rows with a null id the slices of the hashed counts."""
+    """Of ``docs`` (id, text, key): rows (id, key, n, h1, h2), and as rows with a slice the slices of the hashed counts."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int64)
-        names = ["id", "n", "h1", "h2", "slice", "counts"]
+        names = ["id", "key", "n", "h1", "h2", "slice", "counts"]
         none = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
             for a, b, hashes, bounds in _batches(batch, words):
@@ -98,16 +100,17 @@ def set_digests(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 h1 = _segment_sums(mixed(hashes), bounds).view(np.int64)
                 h2 = _segment_sums(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), bounds).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds)), pa.array(h1), pa.array(h2), none(b - a, pa.int32()), none(b - a, pa.binary())], names
+                    [batch.column(k).slice(a, b - a) for k in (0, 2)] + [pa.array(np.diff(bounds)), pa.array(h1), pa.array(h2), none(b - a, pa.int32()), none(b - a, pa.binary())],
+                    names,
                 )
         width = len(counts) // SLICES
         full = [k for k in range(SLICES) if counts[k * width : (k + 1) * width].any()]
         parts = [zlib.compress(counts[k * width : (k + 1) * width].astype(np.uint32).tobytes(), 1) for k in full]
         m = len(full)
         longs = none(m, pa.int64())
-        yield pa.RecordBatch.from_arrays([longs, longs, longs, longs, pa.array(full, pa.int32()), pa.array(parts, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([longs, longs, longs, longs, longs, pa.array(full, pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(digest, "id long, n long, h1 long, h2 long, slice int, counts binary")
+    return docs.mapInArrow(tidied(digest), "id long, key long, n long, h1 long, h2 long, slice int, counts binary")
 
 
 def frequency_ranks(digests: DataFrame) -> np.ndarray:
@@ -142,7 +145,7 @@ def least_overlap(total: np.ndarray, similarity: Fraction) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, ranks, words: int, similarity: Fraction) -> DataFrame:
-    """(id, n, prefix): the rarest shingles of each set in order, eight bytes each: rank, then 56 bits of the hash."""
+    """Of (id, text, key) the rows (id, key, n, prefix): each set's rarest shingles in order, eight bytes each: rank, then 56 bits of the hash."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
@@ -151,9 +154,9 @@ def prefixes(docs: DataFrame, ranks, words: int, similarity: Fraction) -> DataFr
                 keys = (table[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
                 n = np.diff(bounds)
                 parts = [np.sort(keys[bounds[k] : bounds[k + 1]])[: prefix_length(int(n[k]), similarity) if n[k] else 0].tobytes() for k in range(b - a)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(parts, pa.binary())], ["id", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in (0, 2)), pa.array(n), pa.array(parts, pa.binary())], ["id", "key", "n", "prefix"])
 
-    return docs.mapInArrow(cut, "id long, n long, prefix binary")
+    return docs.mapInArrow(tidied(cut), "id long, key long, n long, prefix binary")
 
 
 def incidence_blocks(rows: DataFrame, n_blocks: int) -> DataFrame:
@@ -176,7 +179,7 @@ def incidence_blocks(rows: DataFrame, n_blocks: int) -> DataFrame:
                 values = [tokens[own].tobytes(), local.astype(np.uint16).tobytes(), place[own].tobytes(), ids[docs].tobytes(), n[docs].astype(np.uint32).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([v], pa.binary()) for v in values)], names)
 
-    return rows.mapInArrow(pack, "block int, tokens binary, owners binary, places binary, ids binary, sizes binary")
+    return rows.mapInArrow(tidied(pack), "block int, tokens binary, owners binary, places binary, ids binary, sizes binary")
 
 
 def _possible(n1, place1, n2, place2, similarity: Fraction) -> np.ndarray:
@@ -222,7 +225,7 @@ def _narrowed(wide: DataFrame, sets: DataFrame, ranks, similarity: Fraction) ->
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i)), pa.array(keys), pa.array(np.arange(len(keys)))], ["of", "t", "at"])
 
     ids = wide.select(F.col("id").alias("wide_id")).distinct()
-    prefixes_ = stored(sets.join(ids, F.col("id") == F.col("wide_id"), "left_semi").mapInArrow(cut, "of long, t long, at long"), "wide-prefixes")
+    prefixes_ = stored(sets.join(ids, F.col("id") == F.col("wide_id"), "left_semi").mapInArrow(tidied(cut), "of long, t long, at long"), "wide-prefixes")
     shared = prefixes_.groupBy("t").agg(F.count("*").alias("k")).where("k > 1").select(F.col("t").alias("shared_t"))
     before = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     alone = F.col("shared_t").isNull().cast("long")
@@ -301,7 +304,7 @@ def block_products(blocks: DataFrame, n_blocks: int, similarity: Fraction) -> Da
                 of = pa.array(np.full(len(rows), token[at]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(doc[rows]), pa.nulls(len(rows), pa.int64()), pa.array(n[rows]), pa.array(place[rows]), pa.nulls(len(rows), pa.int64()), of], names)
 
-    return blocks.repartition(n_blocks, "block").mapInArrow(multiply, "a long, b long, na long, nb long, overlap long, token long")
+    return blocks.repartition(n_blocks, "block").mapInArrow(tidied(multiply), "a long, b long, na long, nb long, overlap long, token long")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -313,7 +316,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["id", "s"])
 
-    return docs.mapInArrow(whole, "id long, s array<long>")
+    return docs.mapInArrow(tidied(whole), "id long, s array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -345,20 +348,32 @@ def _wide_pairs(rows: DataFrame, others: DataFrame, similarity: Fraction) -> Dat
     return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """(id, n_shingles, component_id) of every document; see the module's docstring."""
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, similarity: Fraction, words: int) -> tuple[DataFrame, DataFrame]:
+    """Two tables: (id, key, n, h1, h2) of every row, and (cn, c1, c2, component, component_id, first_id, first_key) of every class of equal sets.
+
+    ``key`` hashes a text. Of a component's rows, those with (first_id, first_key) come first; null ids come last.
+    """
     spark = docs.sparkSession
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    known = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    texts = docs.select(known.alias("id"), F.col(text_col).alias("text"), _text_key(text_col).alias("key"))
     digests = stored(set_digests(texts, words), "set-digests")
     ranks = spark.sparkContext.broadcast(frequency_ranks(digests))
-    rows = digests.where("id is not null").select("id", "n", "h1", "h2")
-    classes = rows.groupBy("n", "h1", "h2").agg(F.min("id").alias("class_id"))
-    classes = stored(classes, "set-classes")
-    filled = classes.where("n > 0").select(F.col("class_id").alias("rep"))
+    rows = digests.where("slice is null").select(F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "key", "n", "h1", "h2")
+    first = F.struct(F.col("id").isNull().alias("without"), "id", "key")
+    classes = rows.groupBy("n", "h1", "h2").agg(F.min(first).alias("first"))
+    classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "set-classes")
+    # one text stands for each class; equal rows give it once, as they are neighbours after the join
+    filled = classes.where("n > 0").select("class_id", F.coalesce("first.id", F.lit(NO_ID)).alias("first_id"), F.col("first.key").alias("first_key"))
+    stands = (F.col("id") == F.col("first_id")) & (F.col("key") == F.col("first_key"))
 
     total = classes.agg(F.sum(F.col("n"))).first()[0] or 0
     n_blocks = int(-(-total * (1 - float(similarity)) // BLOCK_ENTRIES)) + 1
-    narrow = prefixes(texts, ranks, words, similarity).join(filled, F.col("id") == F.col("rep"), "left_semi")
+    narrow = prefixes(texts, ranks, words, similarity).join(filled, stands).dropDuplicates(["id", "key"])
+    narrow = narrow.select(F.col("class_id").alias("id"), "n", "prefix")
     products = stored(block_products(incidence_blocks(narrow, n_blocks), n_blocks, similarity), "products")
 
     p, q = similarity.numerator, similarity.denominator
@@ -368,7 +383,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = stored(candidates, "candidates")
     wide = products.where("b is null").select("token", F.col("a").alias("id"), F.col("na").alias("n"), F.col("nb").alias("place"))
     needed = candidates.select(F.col("a").alias("need")).union(candidates.select("b")).union(wide.select("id")).distinct()
-    sets = stored(_sets(texts.join(needed, F.col("id") == F.col("need"), "left_semi"), words), "sets")
+    needed = needed.join(filled, F.col("need") == F.col("class_id"))
+    chosen = texts.join(needed, stands).dropDuplicates(["id", "key"]).select(F.col("class_id").alias("id"), "text")
+    sets = stored(_sets(chosen, words), "sets")
     labels = components(verified(candidates, sets, similarity))
     wide = _narrowed(wide, sets, ranks, similarity)
 
@@ -381,10 +398,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         others = spread if pivots is None else spread.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= pivots)
         labels = extended(labels, stored(verified(_wide_pairs(outsiders, others, similarity), sets, similarity), "links"))
 
-    of_class = classes.join(labels, F.col("class_id") == F.col("node"), "left").select(
-        F.col("n").alias("cn"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("label", "class_id").alias("component")
-    )
-    empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component"))
-    named = rows.where("n > 0").join(of_class, (F.col("n") == F.col("cn")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))).select("id", "n", "component")
-    out = empty.unionByName(named).groupBy("id").agg(F.min("n").alias("n_shingles"), F.min("component").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id")
+    of_class = classes.join(labels, F.col("class_id") == F.col("node"), "left").withColumn("component", F.coalesce("label", "class_id"))
+    of_class = stored(of_class.select("n", "h1", "h2", "first", "component"), "class-components")
+    least = of_class.where("n > 0").groupBy(F.col("component").alias("of")).agg(F.min("first").alias("first"))
+    named = least.select("of", F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key"))
+    of_class = of_class.where("n > 0").join(named, F.col("component") == F.col("of"))
+    return rows, of_class.select(F.col("n").alias("cn"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), "component", "first_id", "first_key")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """(id, n_shingles, component_id) of every document; see the module's docstring."""
+    rows, classes = _components(docs, id_col, text_col, similarity, words)
+    empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    equal = (F.col("n") == F.col("cn")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
+    named = rows.where("n > 0").join(classes, equal).select("id", "n", F.col("first_id").alias("component_id"))
+    return empty.unionByName(named).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: Fraction = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` that stay if one of each component stays: the one with the smallest id, null ids last.
+
+    Of rows with that id the one whose text has the smallest hash stays, of equal rows one. Texts without words all stay.
+    """
+    _, classes = _components(docs, id_col, text_col, similarity, words)
+    kept = classes.select("component", "first_id", "first_key").distinct()
+    known = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    chosen = (known == F.coalesce("first_id", F.lit(NO_ID))) & (_text_key(text_col) == F.col("first_key"))
+    # rows that share id and key have equal texts; they are neighbours after the join
+    place = F.row_number().over(Window.partitionBy("first_id", "first_key").orderBy("first_key"))
+    without = F.coalesce(F.col(text_col), F.lit("")).rlike("^[\\x20\\x09-\\x0D]*$")
+    first = docs.where(~without).join(kept, chosen).withColumn("nth", place).where("nth = 1")
+    return docs.where(without).unionByName(first.select(docs.columns))

@@ -19,27 +19,32 @@ document) is removed wherever it recurs. Strings are judged on the input; overla
 Every step's groups are bounded or dealt by hashes that no single passage can load. The marks of a document
 meet its text once.
 
-Defined results: a null text has no bytes; texts below ``length`` bytes are untouched; ids are unique (rows with
-a null id are left out; rows with equal ids are judged as one text after the other in no defined order and
-should not occur); an empty table gives an empty result; other columns are ignored.
+Defined results: a null text has no bytes; texts below ``length`` bytes are untouched; a null id comes before all others;
+rows with equal ids are documents of their own, in the order of a hash of their texts, so of equal rows one is the first
+and the others repeat it; lengths above MOST are refused; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tradewind.llm.common import chunks, mixed, packed, prefix_hashes, sliced, stored, substring_hashes
+from tradewind.llm.common import chunks, mixed, packed, prefix_hashes, sliced, stored, substring_hashes, tidied
 from tradewind.llm.run_length_index import RunLengthIndex
 
 LENGTH = 100
 GRAM = 32
+#: A context's further starts travel as one byte.
+MOST = GRAM + 255
+#: Stands for a null id.
+FIRST_ID = -(1 << 63)
 CHUNK = 1 << 20
 BLOCK_BYTES = 6 << 20
 #: A gram with more different contexts than this is compared window by window.
@@ -101,14 +106,19 @@ def _not_first(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ordered(ids: np.ndarray, first: np.ndarray, *before: np.ndarray) -> np.ndarray:
+    """The order by ``before``, then by document and start; a document is (id, hash of its text)."""
+    return np.lexsort((first, ids[:, 1], ids[:, 0], *before))
+
+
 def _owners(ids: np.ndarray, owner: np.ndarray) -> tuple[bytes, bytes]:
-    """(place of each entry's id in a list of ids, that list)"""
+    """(place of each entry's document in a list of documents, that list)"""
     used, local = np.unique(owner, return_inverse=True)
     return local.astype(np.uint32 if len(used) > 65536 else np.uint16).tobytes(), ids[used].tobytes()
 
 
 def _read_owners(local: bytes, ids: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(ids, np.int64)[np.frombuffer(local, np.uint16 if len(local) == 2 * n else np.uint32)]
+    return np.frombuffer(ids, np.int64).reshape(-1, 2)[np.frombuffer(local, np.uint16 if len(local) == 2 * n else np.uint32)]
 
 
 def _pack(n_blocks: int, ids, owner, first, more, key, context, pieces=None, crowded=False) -> Iterator[tuple]:
@@ -156,17 +166,17 @@ def _unpack(rows: list[dict]) -> tuple[np.ndarray, ...]:
     return (*(np.concatenate(c) for c in zip(*out)), *(np.concatenate(c) for c in zip(*sure)))
 
 
-_FOUND = "id long, first int, more int, key long, crowded boolean"
+_FOUND = "id long, h long, first int, more int, key long, crowded boolean"
 
 
 def _found(ids, first, more, key=None, crowded=None) -> pa.RecordBatch:
     n = len(ids)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(ids, pa.int64()), pa.array(first.astype(np.int32)), pa.array(more.astype(np.int32)),
+            pa.array(ids[:, 0], pa.int64()), pa.array(ids[:, 1], pa.int64()), pa.array(first.astype(np.int32)), pa.array(more.astype(np.int32)),
             pa.nulls(n, pa.int64()) if key is None else pa.array(key.view(np.int64)), pa.nulls(n, pa.bool_()) if crowded is None else pa.array(crowded),
         ],
-        ["id", "first", "more", "key", "crowded"],
+        ["id", "h", "first", "more", "key", "crowded"],
     )
 
 
@@ -177,7 +187,7 @@ def _compare_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return
     ids, first, more, key, context, _, s_ids, s_first, s_more = _unpack(rows)
     yield _found(s_ids, s_first, s_more)
-    order = np.lexsort((first, ids, key))
+    order = _ordered(ids, first, key)
     ids, first, more, key, context = (x[order] for x in (ids, first, more, key, context))
     again = _not_first(context, key)
     yield _found(ids[again], first[again], more[again])
@@ -260,7 +270,7 @@ def _compare_texts(length: int, gram: int):
             ids, first, more, key, context, _, s_ids, s_first, s_more = _unpack(some)
             yield _found(s_ids, s_first, s_more)
             if crowded:  # single windows: key is the window's hash
-                order = np.lexsort((first, ids, key))
+                order = _ordered(ids, first, key)
                 again = order[1:][key[order][1:] == key[order][:-1]]
                 yield _found(ids[again], first[again], more[again])
                 continue
@@ -271,7 +281,7 @@ def _compare_texts(length: int, gram: int):
             group = mixed(key[piece] ^ substring_hashes(sums, low, high))
             begin = bounds[piece] + start - first[piece]
             end = begin + further + length
-            order = np.lexsort((start, ids[piece]))
+            order = _ordered(ids[piece], start)
             piece, start, further, group, begin, end = (x[order] for x in (piece, start, further, group, begin, end))
             again = _not_first(substring_hashes(sums, begin, end), group)
             yield _found(ids[piece[again]], start[again], further[again])
@@ -283,52 +293,62 @@ def _compare_texts(length: int, gram: int):
                 for k, marked in zip(run, repeated_starts(group[run], [texts[begin[x] : end[x]] for x in run], length)):
                     if len(marked):
                         at, more_at = _runs_of(marked)
-                        yield _found(np.full(len(at), ids[piece[k]]), at + start[k], more_at)
+                        yield _found(np.repeat(ids[piece[k]][None], len(at), axis=0), at + start[k], more_at)
 
     return compare
 
 
-def _squeezed(docs: DataFrame) -> DataFrame:
-    """(id, z): texts compressed before they are shuffled."""
+def _documents(batch: pa.RecordBatch) -> np.ndarray:
+    """(id, h) of the rows of a batch that begins with these two columns."""
+    return np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1)
+
+
+def _squeezed(docs: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """``keep`` and (id, h, z): texts compressed before they are shuffled."""
+    rows = docs.select(*keep, "id", "h", "text")
+    names = [*rows.columns[:-1], "z"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdCompressor(level=1)
         for batch in sliced(batches, 2000):
-            data, offsets = packed(batch.column(1))
+            data, offsets = packed(batch.column(batch.num_columns - 1))
             z = [codec.compress(data[offsets[k] : offsets[k + 1]].tobytes()) for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], ["id", "z"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(z, pa.binary())], names)
 
-    return docs.mapInArrow(squeeze, "id long, z binary")
+    return rows.mapInArrow(tidied(squeeze), StructType([*rows.schema.fields[:-1], StructField("z", BinaryType())]))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Rows (id, first, more): the window starts first .. first + more of text ``id`` are repeats. ``docs`` is (id, text)."""
+    """Rows (id, h, first, more): the window starts first .. first + more of a document are repeats of windows of other ones, or of itself.
+
+    ``docs`` is (id, h, text), h a hash of the text. Rows with equal (id, h) are one document here.
+    """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = int(size // BLOCK_BYTES) + 1
 
     def hash_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4000):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = packed(batch.column(1))
+            ids = _documents(batch)
+            data, offsets = packed(batch.column(2))
             row, first, more, key, context = contexts(data, offsets, length, gram)
-            by_doc = np.lexsort((first, ids[row]))
+            by_doc = _ordered(ids[row], first)
             for r in _pack(n_blocks, ids, *(x[by_doc] for x in (row, first, more, key, context))):
                 yield _batch([r])
 
-    hashed = docs.mapInArrow(hash_contexts, _PACKED)
-    found = stored(hashed.repartition(n_blocks, "block").mapInArrow(_compare_hashes, _FOUND), "contexts")
+    hashed = docs.mapInArrow(tidied(hash_contexts), _PACKED)
+    found = stored(hashed.repartition(n_blocks, "block").mapInArrow(tidied(_compare_hashes), _FOUND), "contexts")
 
-    wanted = found.where("key is not null").groupBy(F.col("id").alias("want")).agg(F.collect_list(F.struct("first", "more", "key", "crowded")).alias("of"))
-    fetched = _squeezed(docs).join(wanted, F.col("id") == F.col("want")).select("id", "z", "of")
+    wanted = found.where("key is not null").groupBy(F.col("id").alias("want"), F.col("h").alias("want_h")).agg(F.collect_list(F.struct("first", "more", "key", "crowded")).alias("of"))
+    fetched = _squeezed(docs).join(wanted, (F.col("id") == F.col("want")) & (F.col("h") == F.col("want_h"))).select("id", "h", "z", "of")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdDecompressor()
         for batch in sliced(batches, 1000):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = _documents(batch)
             plain: list[list] = [[], [], [], [], []]  # owner, first, more, key, place of the gram from first on
             pieces: list[bytes] = []
             single: list[list] = [[], [], []]  # owner, start, hash
-            for k, (z, of) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            for k, (z, of) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 text = codec.decompress(z)
                 crowd = sorted((c["first"], c["more"]) for c in of if c["crowded"])
                 sums = prefix_hashes(np.frombuffer(text, np.uint8))
@@ -351,31 +371,49 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     yield _batch([r])
             if single[0]:
                 owner, first, key = (np.concatenate(c) for c in single)
-                by_doc = np.lexsort((first, ids[owner]))
+                by_doc = _ordered(ids[owner], first)
                 for r in _pack(n_blocks, ids, owner[by_doc], first[by_doc], np.zeros(len(owner), np.int64), key[by_doc], np.zeros(len(owner), np.uint64), crowded=True):
                     yield _batch([r])
 
-    compared = fetched.mapInArrow(fetch, _PACKED).repartition(n_blocks, "block").mapInArrow(_compare_texts(length, gram), _FOUND)
+    compared = fetched.mapInArrow(tidied(fetch), _PACKED).repartition(n_blocks, "block").mapInArrow(tidied(_compare_texts(length, gram)), _FOUND)
     compared = stored(compared, "matches")
-    return found.where("key is null").unionByName(compared).select("id", "first", "more")
+    return found.where("key is null").unionByName(compared).select("id", "h", "first", "more")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(id, kept, n_bytes, n_removed, n_spans, kept_sha256) of every document.
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, kept, n_bytes, n_removed, n_spans, kept_sha256) of every document, and the columns ``keep`` (none named like these).
 
     ``kept`` is what stays as text, without the halves of characters that a cut went through; the digest is that of
     all bytes that stay.
     """
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    spans = repeated_spans(texts, length).groupBy(F.col("id").alias("span_id")).agg(F.collect_list(F.struct("first", "more")).alias("spans"))
-    joined = _squeezed(texts).join(spans, F.col("id") == F.col("span_id"), "left").select("id", "z", "spans")
+    if not GRAM <= length <= MOST:
+        raise ValueError(f"length must be from {GRAM} to {MOST}")
+    texts = docs.select(
+        F.struct(F.col(id_col).cast("long").alias(id_col), *keep).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST_ID)).alias("id"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    key = ["id", "h"]
+    # equal rows are compared once; all but one of them repeat it whole
+    repeated = stored(texts.groupBy(*key).count().where("count > 1").select(*(F.col(c).alias(f"r_{c}") for c in key)), "equal-rows")
+    again = not repeated.isEmpty()
+    distinct = texts.select(*key, "text")
+    if again:
+        of_repeated = (F.col("id") == F.col("r_id")) & (F.col("h") == F.col("r_h"))
+        distinct = distinct.join(repeated, of_repeated, "left_anti").unionByName(distinct.join(repeated, of_repeated, "left_semi").dropDuplicates(key))
+    spans = repeated_spans(distinct, length).groupBy(F.col("id").alias("s_id"), F.col("h").alias("s_h")).agg(F.collect_list(F.struct("first", "more")).alias("spans"))
+    joined = _squeezed(texts, ["row"]).join(spans, (F.col("id") == F.col("s_id")) & (F.col("h") == F.col("s_h")), "left")
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy("h")) if again else F.lit(1)
+    joined = joined.withColumn("copy", copy).select("row", "z", "spans", "copy")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdDecompressor()
         for batch in sliced(batches, 1000):
             out = []
-            for z, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for z, spans, copy in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 text, n_spans = codec.decompress(z), 0
+                if copy > 1 and len(text) >= length:
+                    out.append(("", len(text), len(text), 1, hashlib.sha256(b"").hexdigest()))
+                    continue
                 kept, at = [], 0
                 for s in sorted(spans or (), key=lambda s: s["first"]):
                     a, b = s["first"], s["first"] + s["more"] + length
@@ -389,7 +427,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns = list(zip(*out)) or [()] * 5
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["row", *made])
 
-    done = joined.mapInArrow(cut, "id long, kept string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return done.withColumnRenamed("id", id_col)
+    made = {"kept": "string", "n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
+    fields = StructType([joined.schema["row"]])
+    for name, kind in made.items():
+        fields = fields.add(name, kind)
+    return joined.mapInArrow(tidied(cut), fields).select("row.*", *made)

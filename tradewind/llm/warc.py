@@ -6,7 +6,8 @@ the data. Reading: files are the partitions, packed up to ``split`` bytes by the
 on record type and on other header fields are pushed down: headers are parsed first, and the payload of a
 record that fails them, or that ``payload=false`` does not want, is skipped by seeking over its length.
 
-Defined results: rows with a null id are left out; a null payload is empty; null header values are left out and read back as null; equal
+Defined results: rows with a null id are left out; rows with equal ids are records of their own, each judged by its payload;
+a null payload is empty; null header values are left out and read back as null; equal
 payloads below the least size are all responses; of larger ones the record with the smallest id is the
 response; an archive without records reads as no rows; a payload that does not match its digest is an error.
 """
@@ -43,11 +44,23 @@ HEADERS = {
 }
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it for; a path without one must not end on a machine's disk."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    probe = f"{path}/qualify-{uuid.uuid4().hex}"
+    spark.range(1).coalesce(1).write.parquet(probe)
+    found = next(f for f in spark.read.parquet(probe).inputFiles())
+    return found[: found.index("/qualify-")]
+
+
 def filesystem(path: str):
     """(filesystem, path) for a shared folder given as a path or URI."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    if path.startswith("file:") and "://" not in path:
+        path = f"file://{path.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
 
 
 def encode(row: dict, compress: bool = True) -> bytes:
@@ -260,8 +273,9 @@ def deduplicated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     )
     first = rows.where(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("digest")).agg(F.min("record_id").alias("first_id"))
     keys = rows.where(F.col("payload_bytes") >= least).select("record_id", "payload_digest")
-    again = keys.join(first, F.col("payload_digest") == F.col("digest")).where("record_id > first_id").select(F.col("record_id").alias("again_id"), "first_id").distinct()
-    placed = rows.join(again, F.col("record_id") == F.col("again_id"), "left")
+    again = keys.join(first, F.col("payload_digest") == F.col("digest")).where("record_id > first_id")
+    again = again.select(F.col("record_id").alias("again_id"), F.col("digest").alias("again_digest"), "first_id").distinct()
+    placed = rows.join(again, (F.col("record_id") == F.col("again_id")) & (F.col("payload_digest") == F.col("again_digest")), "left")
     revisit = F.col("first_id").isNotNull()
     return placed.select(
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), "record_id", "target_uri", F.col("first_id").alias("refers_to"),
@@ -281,6 +295,6 @@ def read(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def archived(pages: DataFrame, **columns: str) -> DataFrame:
     """Write ``pages`` to a new archive in the shared folder and read it back."""
-    path = scratch_path(pages.sparkSession, "warc")
+    path = qualified(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
     write(deduplicated(pages, **columns), path)
     return read(pages.sparkSession, path)
