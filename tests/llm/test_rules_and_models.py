@@ -29,7 +29,7 @@ def test_base_counts_against_brute_force(spark, documents):
     texts = [None, "", " \n\t", "a", "a b", "a a a a", "x\n\nx\n x\nx", "é|é #*", "\x1c\xa0 b", "a b c d a b c", "w " * 5000]
     texts += [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 60))) for _ in range(60)]
     texts += ["\n".join(rng.choice(["l m", "n", ""]) for _ in range(20)) for _ in range(5)]
-    got = quality_rules.base_counts(documents(list(enumerate(texts)))).collect()
+    got = quality_rules.counted(documents(list(enumerate(texts)))).drop("cells").collect()
     assert {r[0]: tuple(r)[1:] for r in got} == {i: base(t) for i, t in enumerate(texts)}
 
 
@@ -43,8 +43,8 @@ def test_quality_rules_without_trusted_rows_or_rows(spark, documents):
 
 def test_all_trusted_documents_count(spark):
     docs = spark.range(30_000).selectExpr("id as doc_id", "if(id < 25000, 'aaa', 'bbb') as text")
-    got = {r.cell: r.weight for r in quality_rules.log_ratios(docs, docs.where("doc_id < 25000").select("doc_id")).collect()}
-    cell = lambda text: zlib.crc32(text.encode()) % quality_rules.CELLS
+    got = {r.cell: r.weight for r in quality_rules.log_ratios(quality_rules.counted(docs), docs.where("doc_id < 25000").select("doc_id")).collect()}
+    cell = lambda text: zlib.crc32(text.encode()) % quality_rules.CELLS - quality_rules.CELLS // 2
     share = lambda n, total: (n + 1) / (total + quality_rules.CELLS)
     weight = lambda t, r: round(1e6 * np.log(share(t, 25_000) / share(r, 30_000)))
     assert got == {cell(" aaa"): weight(25_000, 25_000), cell(" bbb"): weight(0, 5_000)}
@@ -57,6 +57,26 @@ def test_ratio_separates_junk(spark):
     assert kept.where("quality = 0 and kept").count() == 0
 
 
+def test_repeated_and_null_ids_are_judged_row_by_row(spark, documents):
+    one, two = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(70))
+    rows = [(1, one), (1, two), (None, one), (None, two), (None, None), (2, one), (3, "é x " * 40)]
+    got = quality_rules.quality_rules(documents(rows), spark.createDataFrame([(1,), (1,), (None,)], "doc_id long"))
+    cells = [[zlib.crc32(f"{a[-3:]} {b[-3:]}".encode()) % quality_rules.CELLS for a, b in zip(["", *w], w)] for w in (WORDS.findall(t or "") for _, t in rows)]
+    raw, trusted = Counter(c for own in cells for c in own), Counter(c for (i, _), own in zip(rows, cells) if i == 1 for c in own)
+    share = lambda counts, c: (counts[c] + 1) / (counts.total() + quality_rules.CELLS)
+    scores = [sum(round(1e6 * (np.log(share(trusted, c)) - np.log(share(raw, c)))) for c in own) for own in cells]
+    failed = [base(t)[0] < 50 or base(t)[4] * 2 > base(t)[0] for _, t in rows]
+    wanted = [(i or 0, len(own), s, not f and s >= quality_rules.THRESHOLD * len(own)) for (i, _), own, s, f in zip(rows, cells, scores, failed)]
+    assert sorted((r.doc_id or 0, r.n_words, r.llr_sum, r.kept) for r in got.collect()) == sorted(wanted)
+
+
+def test_filters_do_not_blow_up_the_plan(spark, documents):
+    got = quality_rules.quality_rules(documents([(1, "a b c " * 30)]), spark.createDataFrame([(1,)], "doc_id long"))
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    for condition in ("kept", "not base_failed", "kept and n_words > 3 and n_repeat_words < 5"):
+        assert size(got.where(condition)) < 2 * size(got)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 9, 40])
 def test_codewords_differ(n):
     code = language_id.codewords(n)

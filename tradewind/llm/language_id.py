@@ -62,9 +62,13 @@ def grams(data: np.ndarray, n_cells: int) -> np.ndarray:
     return ((key * np.uint32(2654435761)) >> np.uint32(16)) & np.uint32(n_cells - 1)
 
 
-def _spread(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two blanks after every row, so that no gram spans rows and every row has grams."""
-    return np.insert(data, np.repeat(offsets[1:], 2), 32), offsets + 2 * np.arange(len(offsets))
+def _row_grams(data: np.ndarray, offsets: np.ndarray, n_cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """(cells, bounds): the grams of every row with two blanks after it. The two that would reach into the next row have cell n_cells."""
+    part, bounds = np.insert(data, np.repeat(offsets[1:], 2), 32), offsets + 2 * np.arange(len(offsets))
+    cell = np.append(grams(part, n_cells), np.zeros(min(len(part), 2), np.uint32))
+    for k in (1, 2):
+        cell[bounds[1:] - k] = n_cells
+    return cell, bounds
 
 
 def language_counts(rows: DataFrame, text_col: str, lang_col: str, n_cells: int) -> DataFrame:
@@ -76,11 +80,10 @@ def language_counts(rows: DataFrame, text_col: str, lang_col: str, n_cells: int)
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             data, offsets = packed(_folded(batch.column(0)))
             for a, b in chunks(offsets, CHUNK):
-                part, bounds = _spread(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                cell = grams(part, n_cells)
-                owner = np.repeat(np.arange(b - a), np.diff(bounds))[: len(cell)]
+                cell, bounds = _row_grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n_cells)
+                owner = np.repeat(np.arange(b - a), np.diff(bounds))
                 for lang in set(langs[a:b]):
-                    own = np.bincount(cell[(langs[a:b] == lang)[owner]], minlength=n_cells)
+                    own = np.bincount(cell[(langs[a:b] == lang)[owner]], minlength=n_cells + 1)[:n_cells]
                     sums[lang] = sums.get(lang, 0) + own
         for lang, total in sums.items():
             cell = np.flatnonzero(total)
@@ -138,6 +141,7 @@ def predict(docs: DataFrame, model: Codes, text_col: str = "text", keep: list[st
     schema = StructType([*chosen.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratios = np.vstack([model.ratios, np.zeros((1, model.ratios.shape[1]), model.ratios.dtype)])
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             folded = _folded(texts)
@@ -146,14 +150,9 @@ def predict(docs: DataFrame, model: Codes, text_col: str = "text", keep: list[st
             bare = np.array([t is None or not _LETTER.search(t) for t in texts.to_pylist()], bool) if n else np.zeros(0, bool)
             margins = np.zeros((n, model.ratios.shape[1]))
             for a, b in chunks(offsets, CHUNK):
-                part, bounds = _spread(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                cell = grams(part, model.n_cells)
-                if len(cell) == 0:
-                    continue
-                width = bounds[1:] - bounds[:-1]
-                starts = np.minimum(bounds[:-1], len(cell) - 1)
+                cell, bounds = _row_grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], model.n_cells)
                 for bit in range(margins.shape[1]):
-                    margins[a:b, bit] = np.add.reduceat(model.ratios[:, bit][cell], starts) / width
+                    margins[a:b, bit] = np.add.reduceat(ratios[:, bit][cell], bounds[:-1]) / np.diff(bounds)
             if model.langs:
                 best, score, lead = model.decode(margins)
                 names = np.array(model.langs, dtype=object)[best]
