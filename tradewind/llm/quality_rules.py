@@ -4,9 +4,12 @@ DataFrame functions only. The multinomials run over hashed pairs of neighbouring
 to its last three characters so that the cells are dense. Every document's mean log ratio between the
 trusted-target and the raw-corpus multinomial is compared with a fixed threshold.
 
+Every text is split once. Its base counts and the cells of its pairs are written as one narrow row; both multinomials, the
+scores and the verdicts are taken from those rows, so no text is shuffled and a filter on the result meets stored columns.
+
 Defined results: a null or empty text has no words and fails the base rules; rows with equal ids are
-scored together and judged row by row; with no trusted rows every ratio is 0 and only the base rules
-decide; other columns, whatever their names, are ignored.
+scored and judged row by row, and all of them are trusted if their id is; a null id is never trusted; with no trusted
+rows every ratio is 0 and only the base rules decide; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,8 +25,6 @@ UNIT = 1_000_000
 #: Documents below this mean log ratio, in millionths, are dropped.
 THRESHOLD = -400_000
 TAIL = 3
-#: Read by the SQL twin only, which still takes at most so many trusted documents; the operator takes all.
-TRUSTED_BOUND = 20_000
 
 
 def words(text: Column) -> Column:
@@ -35,10 +36,11 @@ def _duplicate_lines(text: Column) -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
+def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_cells: int = CELLS) -> DataFrame:
+    """One row per row of ``docs``: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and cells.
 
-    Repeated three-word windows are found per row by sorting (hash, position) packed into one long; the
+    ``cells`` has the hashed cell of the pair that ends with each word, the first pair beginning with nothing, less half of
+    ``n_cells``, so that two bytes hold it as a rule. Repeated three-word windows are found per row by sorting (hash, position) packed into one long; the
     hash takes all bits that positions leave free.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -49,8 +51,9 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         symbols.cast("long").alias("n_symbols"),
         _duplicate_lines(F.col(text_col)).alias("n_dup_lines"),
     )
+    pair = F.expr(f"transform(w, (x, i) -> crc32(cast(concat(right(coalesce(get(w, i - 1), ''), {TAIL}), ' ', right(x, {TAIL})) as binary)) % {n_cells} - {n_cells // 2})")
     rows = rows.select(
-        "id", "n_symbols", "n_dup_lines", F.size("w").cast("long").alias("n_words"),
+        "id", "n_symbols", "n_dup_lines", pair.cast("array<smallint>" if n_cells <= CELLS else "array<int>").alias("cells"), F.size("w").cast("long").alias("n_words"),
         F.length(F.concat_ws("", "w")).cast("long").alias("word_chars"),
         F.when(F.size("w") >= 3, F.expr("transform(arrays_zip(w, slice(w, 2, size(w)), slice(w, 3, size(w))), x -> xxhash64(x.w, x.`1`, x.`2`))"))
         .otherwise(F.array().cast("array<bigint>")).alias("h"),
@@ -68,31 +71,21 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("p", positions)
     covered = F.array_union(F.array_union("p", F.transform("p", lambda x: x + 1)), F.transform("p", lambda x: x + 2))
     return rows.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        F.when(F.col("any_twice"), F.size(covered)).otherwise(0).cast("long").alias("n_repeat_words"),
+        "id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.when(F.col("any_twice"), F.size(covered)).otherwise(0).cast("long").alias("n_repeat_words"), "cells",
     )
 
 
-def cells(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_cells: int = CELLS) -> DataFrame:
-    """One row per word: the id and the hashed cell of the pair that ends with that word."""
-    pairs = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).select(
-        "id", F.explode(F.expr("arrays_zip(concat(array(''), w), w)")).alias("p")
-    )
-    key = F.concat(F.right("p.0", F.lit(TAIL)), F.lit(" "), F.right("p.w", F.lit(TAIL)))
-    return pairs.where("p.w is not null").select("id", (F.crc32(key.cast("binary")) % n_cells).cast("int").alias("cell"))
-
-
-def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_cells: int = CELLS) -> DataFrame:
+def log_ratios(rows: DataFrame, trusted_ids: DataFrame, n_cells: int = CELLS) -> DataFrame:
     """At most ``n_cells`` rows (cell, weight): ln of the smoothed trusted over the smoothed raw share, in millionths.
 
-    ``trusted_ids`` holds one column of ids, all of which are used; Spark chooses the join by their size. Both
-    counts come from one pass over all documents, summed by cell before the shuffle.
+    ``rows`` holds (id, cells) of all documents, ``trusted_ids`` one column of ids, all of which are used. The join is the
+    same at every size. Both counts come from one pass over the cells, summed by cell before the shuffle.
     """
     marked = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("trusted_id")).distinct()
-    flagged = docs.select(id_col, text_col).join(marked, F.col(id_col) == F.col("trusted_id"), "left")
-    pairs = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias(id_col), text_col)
-    counts = cells(pairs, id_col, text_col, n_cells).groupBy("cell").agg(F.sum("id").alias("t"), F.count("*").alias("r"))
-    counts = stored(counts, "cell-counts")
+    flagged = rows.select("id", "cells").join(marked.hint("merge"), F.col("id") == F.col("trusted_id"), "left")
+    pairs = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias("trusted"), F.explode("cells").alias("cell"))
+    counts = stored(pairs.groupBy("cell").agg(F.sum("trusted").alias("t"), F.count("*").alias("r")), "cell-counts")
     totals = counts.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("total_t"), F.coalesce(F.sum("r"), F.lit(0)).alias("total_r")).first()
     share = lambda count, total: (F.col(count) + 1) / F.lit(float(total + n_cells))
     weight = F.round((F.log(share("t", totals.total_t)) - F.log(share("r", totals.total_r))) * UNIT).cast("long")
@@ -106,19 +99,18 @@ def quality_rules(
 
     The table of log ratios has at most ``n_cells`` rows, so it may be broadcast.
     """
-    weights = log_ratios(docs, trusted_ids, id_col, text_col, n_cells)
+    rows = stored(counted(docs, id_col, text_col, n_cells).withColumn("row", F.monotonically_increasing_id()), "counted")
+    weights = log_ratios(rows, trusted_ids, n_cells)
     scores = (
-        cells(docs, id_col, text_col, n_cells)
+        rows.select(F.col("row").alias("scored"), F.explode("cells").alias("cell"))
         .join(F.broadcast(weights), "cell")
-        .groupBy(F.col("id").alias("score_id"))
-        .agg(F.sum("weight").alias("llr_sum"), F.count("*").alias("llr_n"))
+        .groupBy("scored")
+        .agg(F.sum("weight").alias("score"))
     )
-    base = base_counts(docs, id_col, text_col)
+    judged = rows.drop("cells").join(scores, F.col("row") == F.col("scored"), "left")
+    llr = F.coalesce(F.col("score"), F.lit(0).cast("long"))
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    rows = base.join(scores, F.col(id_col).eqNullSafe(F.col("score_id")), "left").withColumn("base_failed", failed)
-    llr = F.coalesce(F.col("llr_sum"), F.lit(0).cast("long"))
-    verdict = llr >= F.lit(threshold) * F.coalesce(F.col("llr_n"), F.lit(0))
-    return rows.select(
-        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & verdict).alias("kept"), llr.alias("llr_sum"),
+    return judged.select(
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (llr >= F.lit(threshold) * F.col("n_words"))).alias("kept"), llr.alias("llr_sum"),
     )

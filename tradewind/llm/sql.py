@@ -18,10 +18,7 @@ def crc32(text: str, crc_table: str = "t.crc") -> str:
 OP1 = rf"""
 with t as (select {CRC_TABLE} as crc),
 docs as (select doc_id, text, {WORDS} as w from documents),
-trusted as (
-  select doc_id from (select distinct doc_id from labels where quality = 1)
-  order by md5(doc_id::varchar), doc_id limit {quality_rules.TRUSTED_BOUND}
-),
+trusted as (select distinct doc_id from labels where quality = 1),
 spots as (select doc_id, unnest(range(1, len(w) + 1)) as i, w from docs),
 pairs as (
   select doc_id, right(coalesce(w[i - 1], ''), {quality_rules.TAIL}) || ' ' || right(w[i], {quality_rules.TAIL}) as pair from spots
