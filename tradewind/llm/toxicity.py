@@ -27,8 +27,6 @@ from tradewind.llm.common import sampled_rows, stored
 
 #: At most so many labelled rows are learned from.
 MAX_TRAINING = 12_000
-#: The test for chance allows for at most so many candidates.
-MAX_CANDIDATES = 20_000
 STEM_LENGTHS = range(4, 10)
 FUZZY_LENGTH = 5
 #: From so many hits of a term on, a text is judged by its own weight.
@@ -50,7 +48,8 @@ def _letters() -> np.ndarray:
 
 
 class Automaton:
-    """All words within one edit of a term: ``table[state, class]``, state 0 dead, 1 the start.
+    """All words within one edit of a term. State 0 is dead, 1 the start; a letter leads to ``default[state]`` unless the pair
+    of state and letter class is among ``exceptions``, so the size follows the lexicon's letters and not states times letters.
 
     ``hits[state]`` is the term a word ends on in that state, or -1; ``edits[state]`` its number of edits.
     """
@@ -98,10 +97,10 @@ class Automaton:
             return closed(out)
 
         numbers = {frozenset(): 0, closed({(0, 0)}): 1}
-        rows, waiting = {0: [0] * (len(letters) + 1)}, [closed({(0, 0)})]
+        default, told, waiting = {0: 0}, {}, [closed({(0, 0)})]
+        width = len(letters) + 1
         while waiting:
             state = waiting.pop()
-            row: list[int] = []
             told_apart = sorted({c for node, _ in state if node >= 0 for c in children[node]})
             for c in (0, *told_apart):  # all other letters lead where class 0 does
                 after = step(state, c)
@@ -109,10 +108,12 @@ class Automaton:
                     numbers[after] = len(numbers)
                     waiting.append(after)
                 if c == 0:
-                    row = [numbers[after]] * (len(letters) + 1)
-                row[c] = numbers[after]
-            rows[numbers[state]] = row
-        self.table = np.array([rows[k] for k in range(len(numbers))], np.int32)
+                    default[numbers[state]] = numbers[after]
+                elif numbers[after] != default[numbers[state]]:
+                    told[numbers[state] * width + c] = numbers[after]
+        self.default = np.array([default[k] for k in range(len(numbers))], np.int32)
+        self.exceptions = np.array(sorted(told), np.int64)
+        self.targets = np.array([told[k] for k in self.exceptions.tolist()], np.int32)
         self.hits, self.edits = np.full(len(numbers), -1), np.zeros(len(numbers), np.int8)
         for state, number in numbers.items():
             found = [(e, -len(terms[-1 - node][0]), -1 - node) for node, e in state if node < 0]
@@ -127,6 +128,15 @@ class Automaton:
                 self.class_of[ord(c)] = k
         self.wide = np.array([ord(c) for c in letters if ord(c) >= _LATIN], np.uint32)  # sorted, of the last classes
 
+    def step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The states after one more letter of the given classes."""
+        moved = self.default[state]
+        if len(self.exceptions):
+            key = state.astype(np.int64) * (len(self.classes) + 1) + kind
+            at = np.minimum(np.searchsorted(self.exceptions, key), len(self.exceptions) - 1)
+            moved = np.where(self.exceptions[at] == key, self.targets[at], moved)
+        return moved
+
     def find(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Of every hit: row, term, edits, quoted, and the word's place (start, end) in the joined text; and that text."""
         joined = "\n".join(texts)
@@ -144,7 +154,7 @@ class Automaton:
         t = 0
         while len(alive):
             alive = alive[width[alive] > t]
-            moved = self.table[state[alive], kind[starts[alive] + t]]
+            moved = self.step(state[alive], kind[starts[alive] + t])
             state[alive] = moved
             alive = alive[moved > 0]
             t += 1
@@ -213,7 +223,7 @@ def _runs(texts: list[str]) -> Iterator[list[str]]:
 
 def _least(candidates: int) -> float:
     """The log-likelihood ratio from which a term is no chance among so many."""
-    return math.log(min(candidates, MAX_CANDIDATES) + 1) + 2
+    return math.log(candidates + 1) + 2
 
 
 def choose_terms(counts: list[tuple], toxic: int, clean: int, candidates: int) -> list[tuple[str, bool]]:
@@ -271,11 +281,14 @@ def _term_counts(rows: DataFrame, only: set[tuple[str, bool]] | None = None) ->
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_TRAINING) -> Model:
     """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id.
 
-    Candidate terms are those of three toxic texts or more; only those that could pass the test leave the executors.
+    Candidate terms are those of three toxic texts or more; only those that could pass the test leave the executors. Of
+    several labels of an id the largest counts, of several documents of an id the one whose text has the smallest hash.
     """
-    chosen = sampled_rows(labels.where("label in (0, 1)").dropDuplicates(["id"]), "id", max_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    rows = stored(rows.select("id", "text", F.col("label").cast("int").alias("label")), "labelled")
+    judged = labels.where("label in (0, 1)").groupBy("id").agg(F.max("label").cast("int").alias("label"))
+    chosen = sampled_rows(judged, "id", max_rows)
+    texts = docs.select(F.col(id_col).alias("id"), F.struct(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).alias("t"))
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("t").alias("t"), F.max("label").alias("label"))
+    rows = stored(rows.select("id", "t.text", "label"), "labelled")
     totals = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     base = math.log((toxic + 0.5) / (clean + 0.5))
@@ -297,7 +310,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _training_hits(rows: DataFrame, automaton: Automaton) -> list[tuple]:
     """(id, label, term, edits, quoted, word) of every hit in the training rows."""
 
+    shared = rows.sparkSession.sparkContext.broadcast(automaton)
+
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = shared.value
         for batch in batches:
             ids, labels = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             out, at = [], 0
@@ -377,10 +393,12 @@ def _calibrated(model: Model, hits: list[tuple], toxic: int, clean: int, ridge:
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, n_hits, n_quoted) of every row. One pass, no shuffle."""
+    """(id, score, abuse, quotation) of every row. One pass, no shuffle; the model is broadcast once."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             parts = [model.features(p) for p in _runs(_folded(batch.column(1).to_pylist()))]
             x = np.concatenate(parts) if parts else np.zeros((0, 3))
