@@ -3,8 +3,9 @@
 Vectors are dealt into blocks. Each block keeps one sorted list per dimension; a query walks the lists of its
 non-zero dimensions in step (from the large end for positive components, else from the small end), scores
 every vector it meets in full, and stops once the score of an imaginary vector made of the values just
-reached cannot beat the kth result. When fewer vectors are unseen than the next steps would read entries, those are scored
-as they are. The best k of all blocks are merged per query.
+reached cannot beat the kth result, or no vector is left unseen. A query searches the block of its own vector first; its kth
+score there is a floor for all other blocks, which end where the imaginary vector falls below it. The best k of all blocks are
+merged per query.
 
 Defined results: vectors that are null, empty, of another length than most, or that hold null or non-finite
 components take no part, neither as query nor as candidate; ties go to the smaller id; of rows with equal
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import stored
 
 #: Vectors in a block, and queries that meet a block together.
-BLOCK = 4096
+BLOCK = 16384
 QUERIES = 8192
 FIRST_DEPTH = 16
 
@@ -44,8 +45,8 @@ class SortedLists:
             return (self.x[rows] @ q.astype(np.float64)).astype(np.int64)
         return self.x[rows].astype(np.int64) @ q
 
-    def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best, by falling score, then rising id."""
+    def top(self, query_id: int, q: np.ndarray, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best, by falling score, then rising id; those below ``floor`` may be missing."""
         n, used = len(self.ids), np.flatnonzero(q)
         if len(used) == 0:
             used = np.arange(len(q))
@@ -60,19 +61,14 @@ class SortedLists:
             met[lists.ravel()] = True
             rows = np.flatnonzero(met & ~seen)
             seen |= met
-            following = min(4 * high, n)
             rows_all, scores_all = np.concatenate([best_rows, rows]), np.concatenate([best, self._scores(rows, q)])
             kept = np.lexsort((rows_all, -scores_all))[:k]  # rows are in order of id
             best_rows, best = rows_all[kept], scores_all[kept]
             reached = np.where(up, self.values[used, high - 1], self.values[used, n - high])
-            if high == n or (len(best) == k and best[-1] > reached @ q[used]):
+            bound = reached @ q[used]
+            if high == n or seen.all() or (len(best) == k and best[-1] > bound) or (floor is not None and bound < floor):
                 return self.ids[best_rows], best
-            rest = np.flatnonzero(~seen)
-            if len(rest) <= (following - high) * len(used):
-                rows_all, scores_all = np.concatenate([best_rows, rest]), np.concatenate([best, self._scores(rest, q)])
-                kept = np.lexsort((rows_all, -scores_all))[:k]
-                return self.ids[rows_all[kept]], scores_all[kept]
-            low, high = high, following
+            low, high = high, min(4 * high, n)
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
@@ -99,7 +95,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     n_blocks, n_groups = -(-width["count"] // BLOCK), -(-max(chosen.count(), 1) // QUERIES)
     deal = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     left = x.withColumn("block", deal("block", n_blocks)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
-    right = chosen.withColumn("part", deal("part", n_groups)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    asked = stored(chosen.withColumn("part", deal("part", n_groups)).withColumn("own", deal("block", n_blocks)), "queries")
 
     def search(block: pa.Table, queries: pa.Table) -> pa.Table:
         def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -108,12 +104,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
         if block.num_rows and queries.num_rows:
             lists = SortedLists(*matrix(block))
-            out = [(int(i), *lists.top(i, q, k)) for i, q in zip(*matrix(queries))]
+            floors = queries.column("floor").to_pylist()
+            out = [(int(i), *lists.top(i, q, k, floor)) for i, q, floor in zip(*matrix(queries), floors)]
         sizes = [len(s) for _, _, s in out]
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return pa.table({"query_id": np.repeat(np.array([i for i, _, _ in out], np.int64), sizes), "vec_id": join([v for _, v, _ in out]), "score": join([s for _, _, s in out])})
 
-    near = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score long")
+    def searched(queries: DataFrame) -> DataFrame:
+        rows = queries.select("id", "x", "part", "block", "floor")
+        return left.groupBy("block", "part").cogroup(rows.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score long")
+
+    near = stored(searched(asked.withColumn("block", F.col("own")).withColumn("floor", F.lit(None).cast("long"))), "own-blocks")
+    if n_blocks > 1:
+        kth = F.sort_array(F.collect_list("score"), asc=False)  # at most k for a query, but for equal ids
+        floors = near.groupBy(F.col("query_id").alias("of")).agg(F.get(kth, F.lit(k - 1)).alias("floor"))
+        others = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).where("block <> own")
+        near = near.unionByName(searched(others.join(floors, F.col("id") == F.col("of"), "left")))
     from pyspark.sql import Window
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
