@@ -5,7 +5,7 @@ count inverts the Poisson distribution of that mean at a uniform number hashed f
 are exploded by their counts and shuffled globally by a hash of seed, id and copy.
 
 Defined results: rows with equal ids get equal counts; a null source is a source of its own (weighted by
-the key None); sources without a weight get weight 0 when weights are given; a null id is hashed as the
+the key None); sources without a weight get weight 0 when weights are given; weights that sum to 0 are refused; a null id is hashed as the
 word null; an empty table gives an empty result; a column of the input named like the copy column is replaced.
 """
 
@@ -55,6 +55,8 @@ def source_means(docs: DataFrame, source_col: str, weights: dict[str | None, flo
         share = F.lit(1.0 / max(totals.k, 1))
     else:
         total = math.fsum(weights.values())
+        if not total > 0 or min(weights.values()) < 0:
+            raise ValueError("weights must not be negative, and one must be above 0")
         share = F.lit(float(weights.get(None, 0.0)) / total)
         named = [x for kv in weights.items() if kv[0] is not None for x in (F.lit(kv[0]), F.lit(kv[1] / total))]
         if named:

@@ -174,13 +174,17 @@ def grow(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, rate: f
 
 
 def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING) -> Trees:
-    """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id."""
-    chosen = sampled_rows(labels.where("label in (0, 1)").dropDuplicates(["id"]), "id", max_rows)
+    """Learn from at most ``max_rows`` rows of ``labels`` (id, label), those with the smallest hash of the id.
+
+    Of several labels of an id the largest counts; of documents with equal ids each is learned from.
+    """
+    judged = labels.where("label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
+    chosen = sampled_rows(judged, "id", max_rows)
     rows = stats.join(chosen, "id").select("id", "x", "label").toArrow()
     if rows.num_rows == 0:
         return grow(np.zeros((0, len(STATISTICS))), np.zeros(0))
     x = np.array(rows.column("x").combine_chunks().flatten()).reshape(-1, len(STATISTICS))
-    order = np.argsort(np.array(rows.column("id")), kind="stable")
+    order = np.lexsort((*x.T, np.array(rows.column("id"))))
     return grow(x[order], np.array(rows.column("label"), float)[order])
 
 
