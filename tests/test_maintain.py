@@ -11,7 +11,7 @@ from tradewind.session import scratch_path
 from tradewind.sources import schemas
 from tradewind.sources.tables import TableStore
 
-FACTS = ("fact_order", "fact_order_line_item", "fact_fulfillment", "fact_refund")
+FACTS = ("fact_order", "fact_order_line_item", "fact_fulfillment", "fact_refund", "agg_product_day")
 TABLES = [t for t in schemas.STAGING]
 
 
@@ -45,7 +45,7 @@ def maintained(spark, warehouse, staged):
     staging = dict(staged[0])
     store = TableStore(spark, scratch_path(spark, "maintained"), buckets=16)
     w = Warehouse(spark, staging, store, TEST_AS_OF, TEST_CALENDAR, maintained=True)
-    w.prepare(["dim_customer", "dim_product", "dim_geography", "dim_discount", "dim_location", *FACTS])
+    w.prepare(["dim_date", "dim_customer", "dim_product", "dim_geography", "dim_discount", "dim_location", *FACTS])
     return w
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import id_digits
 from tradewind.plans import facts as fact
+from tradewind.plans.views import product_days
 from tradewind.plans.warehouse import Warehouse
 from tradewind.session import scratch_path
 from tradewind.sources import schemas
@@ -25,7 +26,7 @@ from tradewind.sources import schemas
 #: member changes only with the orders that have its address.
 USED = {
     "dim_customer": ("customer_id", ["customer_key", "email", "full_name", "customer_segment", "lifetime_order_count"]),
-    "dim_product": ("variant_id", ["product_key", "product_type", "vendor", "unit_cost"]),
+    "dim_product": ("variant_id", ["product_key", "product_id", "product_title", "product_type", "vendor", "unit_cost"]),
     "dim_discount": ("discount_code", ["discount_key"]),
     "dim_location": ("location_id", ["location_key", "location_name"]),
 }
@@ -117,10 +118,16 @@ def maintain(w: Warehouse, changed: DataFrame) -> DataFrame:
     def replace(table: str, rows: DataFrame) -> None:
         w.store.replace_children(table, rows, affected)
 
+    days = lambda: w.store.read("fact_order").join(affected.select(F.col("oid").alias("order_id")), "order_id", "left_semi").select("order_date_key")
+    before = _written(days(), "days")
     replace("fact_order", fact.fact_order(part, w, w.loaded_at, w.number))
+    touched = _written(before.unionByName(days()).distinct(), "days")
     orders = w.store.read("fact_order").join(affected.select(F.col("oid").alias("order_id")), "order_id", "left_semi")
     replace("fact_order_line_item", fact.fact_order_line_item(part["stg_order_line_items"], orders, w["dim_product"], w.loaded_at, w.number))
     shipped = part["stg_fulfillments"], part["stg_fulfillment_line_items"]
     replace("fact_fulfillment", fact.fact_fulfillment(*shipped, orders, w["dim_location"], w.loaded_at, w.number))
     replace("fact_refund", fact.fact_refund(part["stg_refunds"], part["stg_refund_line_items"], orders, w.loaded_at, w.number))
+    if w.store.exists("agg_product_day"):
+        lines = w["fact_order_line_item"].join(touched, "order_date_key", "left_semi")
+        w.store.replace_children("agg_product_day", product_days(w, lines), touched)
     return affected

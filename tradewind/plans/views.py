@@ -379,31 +379,38 @@ def abandoned_checkout_summary(checkouts: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_product_by_day(dwh: Tables, since: date | None = None) -> DataFrame:
-    """Revenue per day and product, the Unknown product included; refunds are not netted.
-
-    ``since`` limits the lines by their date key, a filter that reaches the Parquet scan;
-    a filter on the calendar's day alone would not.
-    """
+def product_days(dwh: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """The rows of ``agg_product_day``: revenue, units and orders of each product on each day of the calendar that ``lines`` (all) have."""
     products = dwh["dim_product"].select("product_key", "product_id", "product_title")
-    lines = dwh["fact_order_line_item"]
-    if since is not None:
-        lines = lines.filter(F.col("order_date_key") >= int(since.strftime("%Y%m%d")))
+    lines = dwh["fact_order_line_item"] if lines is None else lines
     # Lines meet once, by day and product: both sums below keep that partitioning. The calendar comes last.
     placed = (
         lines.select("order_date_key", "product_key", "order_key", "net_amount", "quantity_ordered")
-        .join(products.withColumnRenamed("product_title", "title"), "product_key")
-        .repartition("order_date_key", "product_id", "title")
+        .join(products, "product_key")
+        .repartition("order_date_key", "product_id", "product_title")
     )
-    day = ["order_date_key", "product_id", "title"]
+    day = ["order_date_key", "product_id", "product_title"]
     per_order = placed.groupBy(*day, "order_key").agg(F.sum("net_amount").alias("revenue"), F.sum("quantity_ordered").alias("units"))
     daily = per_order.groupBy(*day).agg(
         zero(F.sum("revenue")).alias("revenue"), zero(F.sum("units")).alias("units"), F.count(F.lit(1)).alias("orders")
     )
     days = calendar(dwh).select("date_key", F.col("full_date").alias("order_date"))
-    return daily.join(days, F.col("order_date_key") == F.col("date_key")).select(
-        "order_date", "product_id", F.col("title").alias("product_title"), "revenue", "units", "orders"
-    )
+    return daily.join(days, F.col("order_date_key") == F.col("date_key")).drop("date_key")
+
+
+def revenue_by_product_by_day(dwh: Tables, since: date | None = None) -> DataFrame:
+    """Revenue per day and product, the Unknown product included; refunds are not netted.
+
+    A warehouse keeps the table of product days; over other tables it is made here. ``since`` limits the days by their key,
+    a filter that reaches the Parquet scan; a filter on the calendar's day alone would not.
+    """
+    kept = "agg_product_day" in set(dwh)
+    recent = None if since is None else F.col("order_date_key") >= int(since.strftime("%Y%m%d"))
+    if kept:
+        daily = dwh["agg_product_day"] if recent is None else dwh["agg_product_day"].filter(recent)
+    else:
+        daily = product_days(dwh, None if recent is None else dwh["fact_order_line_item"].filter(recent))
+    return daily.select("order_date", "product_id", "product_title", "revenue", "units", "orders")
 
 
 # fixed values: the names queries use

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tradewind.operators.row_index import Numbering, row_index
 from tradewind.plans import dimensions as dim
 from tradewind.plans import facts as fact
-from tradewind.plans import vouchers
+from tradewind.plans import views, vouchers
 from tradewind.plans.keys import KeyRegistry
 from tradewind.session import scratch_path
 from tradewind.sources import adapter, schemas
@@ -146,6 +146,7 @@ BUILDS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_inventory_snapshot": lambda w: fact.fact_inventory_snapshot(
         w.stg["stg_inventory_levels"], w.stg["stg_product_variants"], w["dim_product"], w["dim_location"], w.loaded_at
     ),
+    "agg_product_day": lambda w: views.product_days(w),
     "dim_channel": lambda w: vouchers.dim_channel(w.stg["stg_channels"], w.loaded_at),
     "ref_commission_rate": lambda w: vouchers.ref_commission_rate(w.commission_rates(), w["dim_channel"], w.loaded_at),
     "dim_voucher": lambda w: vouchers.dim_voucher(w.stg, w, w.loaded_at),
@@ -171,6 +172,7 @@ NEEDS = {
     ),
     "fact_order_line_item": ("fact_order", "dim_product"),
     "fact_fulfillment": ("fact_order", "dim_location", "stg_fulfillments", "stg_fulfillment_line_items"),
+    "agg_product_day": ("fact_order_line_item", "dim_date"),
     "fact_refund": ("fact_order", "stg_refunds", "stg_refund_line_items"),
     "fact_inventory_snapshot": ("dim_product", "dim_location", "stg_inventory_levels"),
     "dim_voucher": ("dim_channel", "dim_discount", "stg_orders", "stg_gift_cards"),
@@ -184,6 +186,7 @@ FILE_ORDER = {
     "fact_fulfillment": ("fulfillment_date_key",),
     "fact_refund": ("refund_date_key",),
     "fact_inventory_snapshot": ("snapshot_date",),
+    "agg_product_day": ("order_date_key",),
     "fact_voucher_lifecycle": ("creation_date_key",),
     "fact_channel_daily": ("date_key",),
 }

@@ -133,7 +133,7 @@ BUCKET_KEYS: dict[str, tuple[str, ...]] = {
         "stg_order_shipping_lines", "stg_fulfillments", "stg_refunds",
         "fact_order", "fact_order_line_item", "fact_fulfillment", "fact_refund",
     )
-}
+} | {"agg_product_day": ("order_date_key",)}
 
 # --- fixed values: the warehouse tables ---------------------------------------
 WAREHOUSE: dict[str, str] = {
@@ -322,6 +322,14 @@ VOUCHER: dict[str, str] = {
 }
 
 
+# --- aggregates kept beside the facts ------------------------------------------
+DERIVED: dict[str, str] = {
+    "agg_product_day": (
+        "order_date_key int, order_date date, product_id string, product_title string, revenue decimal(28,2), units bigint, "
+        "orders bigint"
+    ),
+}
+
 #: How many payments, taxes and discounts of an order become columns of ``fact_order``.
 PIVOT_WIDTHS = {"payments": 3, "taxes": 2, "discounts": 2}
 _PIVOTED = {"payment": "payments", "tax": "taxes", "discount": "discounts"}
@@ -348,7 +356,7 @@ def ddl(table: str) -> str:
     table = table.removesuffix("_overflow")  # the rows beyond a list's limit
     if table == "fact_order":
         return _widened(WAREHOUSE[table])
-    for group in (STAGING, WAREHOUSE, VOUCHER):
+    for group in (STAGING, WAREHOUSE, VOUCHER, DERIVED):
         if table in group:
             return group[table]
     raise KeyError(f"no declared table {table!r}")
