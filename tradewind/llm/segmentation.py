@@ -113,12 +113,17 @@ class Lattices:
         by_left = np.argsort(of_edge, kind="stable")
         edges = np.concatenate([[0], np.cumsum(np.bincount(of_edge, minlength=int(left.max(initial=0)) + 1))])
         near = min(len(edges) - 1, LINEAR_BYTES + 1)
+        # edges side by side in the order of their distance from the unit's end
+        close = by_left[: edges[near]]
+        begun, ahead, ways = node[close], self.target[close], p[close]
+        heads = np.flatnonzero(np.diff(begun, prepend=-1))
+        bounds = np.searchsorted(heads, edges[: near + 1])
         for d in range(1, near):
-            own = by_left[edges[d] : edges[d + 1]]
-            if len(own):
-                p[own] *= finish[self.target[own]]
-                heads = np.flatnonzero(np.concatenate([[True], node[own][1:] != node[own][:-1]]))
-                finish[node[own[heads]]] = np.add.reduceat(p[own], heads)
+            own, some = slice(edges[d], edges[d + 1]), heads[bounds[d] : bounds[d + 1]]
+            if len(some):
+                ways[own] *= finish[ahead[own]]
+                finish[begun[some]] = np.add.reduceat(ways[own], some - edges[d])
+        p[close] = ways
         far = by_left[edges[near] :]
         finish[node[far]] = 1.0  # those follow as logarithms
         share = p / finish[node]
@@ -134,8 +139,10 @@ class Lattices:
         self.log_share[far] = ways + self.log_finish[ahead] - self.log_finish[node[far]]
         share[far] = np.exp(self.log_share[far])
         self.running = share  # running shares of each node's edges, node by node, so that no sum depends on the other units
-        for k in range(1, int(slot.max(initial=0)) + 1):
-            at = np.flatnonzero(slot == k)
+        by_slot = np.argsort(slot.astype(np.min_scalar_type(int(slot.max(initial=0)))), kind="stable")
+        turns = np.cumsum(np.bincount(slot))
+        for k in range(1, len(turns)):
+            at = by_slot[turns[k - 1] : turns[k]]
             share[at] += share[at - 1]
         share[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0  # rounding cannot leave a gap at the end
 
