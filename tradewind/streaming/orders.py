@@ -1,7 +1,7 @@
 """Order documents as a stream: each micro-batch is upserted into staging.
 
 The source watches a folder for new JSON-lines files. A batch carries whole documents, so
-no state is kept between batches; the keyed upsert makes a replayed batch harmless.
+no state is kept between batches; keyed upserts and replacement by order make a replayed batch harmless.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tradewind.functions.scalars import parse_utc
 from tradewind.operators.flatten import ORDER_FLATTENERS
+from tradewind.operators.relational import latest_per_key
 from tradewind.sources import documents, schemas
 from tradewind.sources.tables import TableStore
 
@@ -28,12 +30,17 @@ def upsert_batch(store: TableStore, docs: DataFrame, run_ts: datetime, tables: I
 
 
 def _upsert_tables(store: TableStore, docs: DataFrame, run_ts: datetime, tables: Iterable[str]) -> None:
+    """Orders and what hangs on their children are upserted by key; children are replaced order by order, so none stays behind."""
+    # A document that arrives twice in one batch: the later update wins; a hash settles ties.
+    order = [parse_utc(F.col("updatedAt")).desc_nulls_last(), F.xxhash64(*docs.columns)]
+    latest = latest_per_key(docs, ["id"], order)
     for table in tables:
         store.create_if_absent(table)
-        rows = ORDER_FLATTENERS[table](docs, run_ts)
-        # A document that arrives twice in one batch: the later update wins.
-        newest = [F.col("updated_at").desc_nulls_last()] if "updated_at" in rows.columns else []
-        store.upsert(table, rows, schemas.STAGING_KEYS[table], newest)
+        rows = ORDER_FLATTENERS[table](latest, run_ts)
+        if table in schemas.BUCKET_KEYS:
+            store.replace_children(table, rows, latest.select("id"))
+        else:
+            store.upsert(table, rows, schemas.STAGING_KEYS[table])
 
 
 def stream_orders(
