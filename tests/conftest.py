@@ -37,3 +37,12 @@ def store(spark):
     from tradewind.sources.tables import TableStore
 
     return TableStore(spark, scratch_path(spark, "test-store"))
+
+
+@pytest.fixture(autouse=True, scope="module")
+def no_views_left(spark):
+    """Views that a module registers end with it: ``listTables`` shows them under every database."""
+    yield
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
