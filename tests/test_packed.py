@@ -45,3 +45,20 @@ def test_no_text_is_shuffled(warehouse):
 def test_line_lists_are_grouped_where_lines_lie(warehouse, spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert shuffled(gen.line_list_documents(warehouse.base, warehouse.stg)) == []
+
+
+def test_staged_orders_stay_where_they_lie(warehouse, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [re.findall(r"\w+(?=#)", columns) for columns, _ in shuffled(gen.order_documents(warehouse.base, warehouse.stg))] == [
+            ["order_num", "o_orderkey", "o_orderdate", "o_totalprice"]
+        ]
+        made = shuffled(gen.bulk_lines(warehouse.base, warehouse.stg))
+        assert made and not any(re.search(r"\b(shipping_address_json|tracking_url|note|collect_list|buf)#", columns) for columns, _ in made)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_are_made_without_a_stored_copy(warehouse):
+    for made in (gen.line_documents, gen.fulfillment_line_documents, gen.refund_line_documents):
+        assert not any("/stg_" in f for f in made(warehouse.base, warehouse.stg).inputFiles())
