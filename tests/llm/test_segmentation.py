@@ -160,3 +160,18 @@ def test_round_trip_of_odd_texts(spark, documents, model):
     again = {(r.doc_id, r.sample): r.pieces for r in segmentation.encode(documents(rows), VOCABULARY).collect()}
     assert again == {(r.doc_id, r.sample): r.pieces for r in encoded.collect()}
     assert segmentation.encode(documents(rows).limit(0), VOCABULARY).count() == 0
+
+
+def test_memory_of_a_task_is_bounded(model):
+    import tracemalloc
+
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(400)) for _ in range(400)]
+    seeds = np.arange(len(texts), dtype=np.uint64)
+    segmentation.sample(texts[:2], seeds[:2], model)
+    tracemalloc.start()
+    for a, b in segmentation._chunks(texts):
+        segmentation.sample(texts[a:b], seeds[a:b], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120_000_000

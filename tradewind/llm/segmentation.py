@@ -36,7 +36,8 @@ from tradewind.llm.piece_model import META, PieceModel
 K = 2
 #: So near to a unit's end the sums are products of doubles, which cannot underflow there even if all bytes are spelled out.
 LINEAR_BYTES = 40
-CHUNK = 800_000
+#: Characters that one set of lattices covers; a task holds about 340 bytes for each while it samples.
+CHUNK = 250_000
 #: Siblings of nodes below this log-probability are first looked at together.
 _DEEP = -12.0
 _SPELLED = b"\xff\xff\xff"  # stands for a literal U+2581; UTF-8 has no such bytes
