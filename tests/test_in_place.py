@@ -55,3 +55,17 @@ def test_settings_come_back_after_the_last_of_two_builds(spark):
             assert spark.conf.get(wh.WIDTH) == "9"
         assert spark.conf.get(wh.WIDTH) == "9" and spark.conf.get(wh.ALL_KEYS) == "false"
     assert spark.conf.get(wh.WIDTH) == before and spark.conf.get(wh.ALL_KEYS) == "true"
+
+
+def sorted_again(df):
+    """The sorts of a plan that take what a join gives, with no shuffle between."""
+    tree = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [[line for line in tree[i + 1 :] if "Project [" not in line][0] for i, line in enumerate(tree) if " Sort [" in line]
+    return [line for line in below if "Join" in line]
+
+
+@pytest.mark.parametrize("table", ["fact_order_line_item", "fact_fulfillment", "fact_refund"])
+def test_wide_rows_are_sorted_once(warehouse, spark, no_broadcast, table):
+    warehouse[table]
+    with wh.joined_in_place(spark, warehouse.store.buckets):
+        assert not sorted_again(wh.BUILDS[table](warehouse))
