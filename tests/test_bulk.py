@@ -50,3 +50,14 @@ def test_discounts_are_numbered_in_the_order_of_the_export(spark, tmp_path):
 def test_empty_export(spark, tmp_path):
     lines = export(spark, tmp_path, [""])
     assert all(df.count() == 0 for df in bulk.pages(lines).values()) and bulk.orphans(lines).count() == 0
+
+
+def test_orphans_are_found_in_one_reading(spark, tmp_path):
+    rows = [{"id": ORDER.format(1), "fulfillments": [{"id": FULFILLMENT.format(7)}], "refunds": [{"id": "gid://x/Refund/7"}]}, {"id": ORDER.format(2), "refunds": None}]
+    rows += [line(n, 3 + n % 2) for n in range(5)] + [line(9, 1)]
+    rows += [{"code": "c", "__parentId": ORDER.format(3)}, {"id": "gid://x/ShippingLine/1", "__parentId": ORDER.format(2)}]
+    rows += [{"quantity": 1, "__parentId": f"gid://x/Refund/{n}"} for n in (7, 8, 8)] + [{"quantity": 1, "__parentId": FULFILLMENT.format(7)}]
+    lost = bulk.orphans(export(spark, tmp_path, rows, files=3))
+    assert lost._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    found = {("lines", ORDER.format(3), 3), ("lines", ORDER.format(4), 2), ("discounts", ORDER.format(3), 1), ("refund_lines", "gid://x/Refund/8", 2)}
+    assert {(r.page, r.parent, r.lines) for r in lost.collect()} == found
